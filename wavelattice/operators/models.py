@@ -335,10 +335,10 @@ def fit_stacked(base: Sequence[Fitted], train: DataFrame, key: str, label: str =
         # base probabilities are columns of the same row: no join
         scored = df
         for b in base:
-            scored = b.score(scored).withColumnRenamed("prob", f"_p_{b.name}")
+            scored = b.score(scored).withColumnRenamed("prob", f"_base_{b.name}")
         z = F.lit(float(meta.intercept))
         for b, w in zip(base, meta.coefficients):
-            z = z + F.col(f"_p_{b.name}") * F.lit(float(w))
+            z = z + F.col(f"_base_{b.name}") * F.lit(float(w))
         return scored.withColumn("prob", 1.0 / (1.0 + F.exp(-z))).select(*df.columns, "prob")
 
     return Fitted("ensemble_stacked", list(base[0].columns), score, meta,

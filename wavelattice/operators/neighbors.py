@@ -152,6 +152,7 @@ def compare_blocks(queries: DataFrame, candidates: DataFrame, func, result: str)
          .withColumn("cs", F.pmod(F.xxhash64("pt"), F.col("nc")).cast("int"))
          .withColumn("qs", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
          .drop("_cell", "nq", "nc"))
+    c = c.select(*[F.col(x).alias(x) for x in c.columns])  # both sides may stem from one table
     keys = ["cell", "qs", "cs"]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -53,7 +53,7 @@ def _(spark, sf):
 @query("smote", f"""{W}, {knn_sql('a.rare = 1 AND b.rare = 1', 5)}, c AS (SELECT count_if(rare = 1) AS n1, count_if(rare = 0) AS n0 FROM pts),
   ord AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM pts WHERE rare = 1),
   draw AS (SELECT i, floor({V.sql_uniform('i', '42|base')} * n1) AS base_pos, floor({V.sql_uniform('i', '42|near')} * 5) + 1 AS rank,
-    {V.sql_uniform('i', '42|lam')} AS lam FROM (SELECT unnest(range(greatest(0, n0 - n1))) AS i, n1 FROM c))
+    {V.sql_uniform('i', '42|lam')} AS lam FROM (SELECT unnest(range(greatest(0, n0 - n1)::BIGINT)) AS i, n1 FROM c))
   SELECT d.i AS synth_id, o.vec_id AS base, n.neighbor, {rnd('d.lam')} AS lam, {', '.join(f"{rnd(f'a.{c} + d.lam * (b.{c} - a.{c})')} AS {c}" for c in X)}, 1 AS rare
   FROM draw d JOIN ord o ON o.pos = d.base_pos JOIN near n ON n.vec_id = o.vec_id AND n.rank = d.rank
   JOIN pts a ON a.vec_id = o.vec_id JOIN pts b ON b.vec_id = n.neighbor""")
