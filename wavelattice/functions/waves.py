@@ -15,6 +15,17 @@ from wavelattice import schema as S
 from wavelattice.functions.scalars import zero_guarded_ratio
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Spark re-evaluates an expression that a lambda mentions for every element; inside a lambda over
+    a one-element array it is a plain variable. An expression whose inner lambda uses such a
+    variable cannot be the direct argument of a Python UDF (Spark 4.1 fails to extract the UDF), so
+    the functions that feed UDFs do not use it.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
@@ -29,9 +40,16 @@ def energy(wave: Column) -> Column:
     return F.aggregate(wave, F.lit(0.0), lambda acc, x: acc + x * x)
 
 
-def scale_by(wave: Column, divisor: Column) -> Column:
-    """Every sample divided by one scalar; a zero divisor gives null samples."""
-    return F.transform(wave, lambda x: F.try_divide(x, divisor))
+def normalized(wave: Column, divisor: Column) -> Column:
+    """Every sample over one scalar; 0 where the quotient is not a finite number.
+
+    NaN compares as larger than infinity and a zero divisor gives null, so one test covers all.
+    """
+    def quotient(x):
+        q = F.try_divide(x, divisor)
+        return F.when(F.abs(q) < F.lit(float("inf")), q).otherwise(F.lit(0.0))
+
+    return F.transform(wave, quotient)
 
 
 def _is_bad(x: Column) -> Column:
@@ -62,27 +80,33 @@ def zoom_window(wave: Column, peak: Column, left: int = 50, right: int = 100) ->
     return window(wave, peak, left, right)
 
 
-def argmax_near(wave: Column, centre: Column, half_width: int = S.PEAK_SEARCH_HALF_WIDTH) -> Column:
+def argmax_near(wave: Column, centre: Column, half_width: int = S.PEAK_SEARCH_HALF_WIDTH,
+                scaled=lambda part: part) -> Column:
     """First maximum within ``half_width`` of ``centre`` as ``struct<idx, amp>``.
 
     Beyond the end of the wave the centre itself is kept, with the last sample as amplitude.
+    ``scaled`` is applied to the window only, so a long wave need not be normalised as a whole.
     """
-    near = window(wave, centre, half_width, half_width)
-    top = F.array_max(near)
     lo = F.greatest(centre - half_width, F.lit(0))
-    found = F.struct((lo + F.array_position(near, top) - 1).cast("int").alias("idx"),
-                     top.alias("amp"))
-    last = F.element_at(wave, F.least(centre + 1, F.size(wave)).cast("int"))
-    outside = F.struct(centre.cast("int").alias("idx"), last.alias("amp"))
-    return F.when(F.size(near) > 0, found).otherwise(outside)
+
+    def pick(near):
+        top = F.array_max(near)
+        found = F.struct((lo + F.array_position(near, top) - 1).cast("int").alias("idx"), top.alias("amp"))
+        last = scaled(F.slice(wave, F.least(centre + 1, F.size(wave)).cast("int"), 1))[0]
+        outside = F.struct(centre.cast("int").alias("idx"), last.alias("amp"))
+        return F.when(F.size(near) > 0, found).otherwise(outside)
+
+    return bind(scaled(window(wave, centre, half_width, half_width)), pick)
 
 
 def moving_average3(wave: Column) -> Column:
     """Three-sample mean with zeros beyond both ends."""
     third = F.lit(1.0 / 3.0)
-    padded = F.concat(F.array(F.lit(0.0)), wave, F.array(F.lit(0.0)))
-    return F.transform(wave, lambda x, i: (F.element_at(padded, i + 1) * third + x * third
-                                           + F.element_at(padded, i + 3) * third))
+    zero = F.array(F.lit(0.0))
+    before = F.concat(zero, F.slice(wave, 1, F.size(wave) - 1))
+    after = F.concat(F.slice(wave, 2, F.size(wave) - 1), zero)
+    two = F.zip_with(before, wave, lambda a, b: a * third + b * third)
+    return F.zip_with(two, after, lambda s, c: s + c * third)
 
 
 def local_maxima(wave: Column) -> Column:
@@ -107,8 +131,11 @@ def local_maxima(wave: Column) -> Column:
 
 
 def _run_at_least(values: Column, threshold: Column) -> Column:
-    first_below = F.array_position(F.transform(values, lambda x: x < threshold), F.lit(True))
-    return F.when(first_below > 0, first_below - 1).otherwise(F.size(values)).cast("double")
+    def count(below):
+        first = F.array_position(below, F.lit(True))
+        return F.when(first > 0, first - 1).otherwise(F.size(below)).cast("double")
+
+    return bind(threshold, lambda t: bind(F.transform(values, lambda x: x < t), count))
 
 
 def rise_time(wave: Column, idx: Column, amp: Column, half_width: int = S.FEATURE_HALF_WIDTH) -> Column:
@@ -125,23 +152,41 @@ def decay_time(wave: Column, idx: Column, amp: Column, half_width: int = S.FEATU
 
 def excess_kurtosis(values: Column) -> Column:
     """Population excess kurtosis of an array; 0 for a constant array."""
-    mean = _total(values) / F.size(values)
     zero = F.struct(F.lit(0.0).alias("m2"), F.lit(0.0).alias("m4"))
-    centred = F.transform(values, lambda x: x - mean)
-    sums = F.aggregate(
-        centred, zero,
-        lambda acc, d: F.struct((acc["m2"] + d * d).alias("m2"),
-                                (acc["m4"] + d * d * d * d).alias("m4")),
-        lambda acc: F.when(acc["m2"] > 0,
-                           F.size(values) * acc["m4"] / (acc["m2"] * acc["m2"]) - 3.0)
-        .otherwise(F.lit(0.0)))
-    return sums
+
+    def about(mean):
+        def add(acc, x):
+            d2 = (x - mean) * (x - mean)
+            return F.struct((acc["m2"] + d2).alias("m2"), (acc["m4"] + d2 * d2).alias("m4"))
+
+        return F.aggregate(values, zero, add, lambda acc: F.when(
+            acc["m2"] > 0, F.size(values) * acc["m4"] / (acc["m2"] * acc["m2"]) - 3.0).otherwise(F.lit(0.0)))
+
+    return bind(_total(values) / F.size(values), about)
 
 
 def local_kurtosis(wave: Column, idx: Column, half_width: int = S.FEATURE_HALF_WIDTH) -> Column:
     """Kurtosis of the window around a peak, when it has more than three samples."""
-    near = window(wave, idx, half_width, half_width)
-    return F.when(F.size(near) > 3, excess_kurtosis(near)).otherwise(F.lit(0.0))
+    return bind(window(wave, idx, half_width, half_width),
+                lambda near: F.when(F.size(near) > 3, excess_kurtosis(near)).otherwise(F.lit(0.0)))
+
+
+def local_shape(wave: Column, idx: Column, amp: Column, half_width: int = S.FEATURE_HALF_WIDTH,
+                scaled=lambda part: part) -> Column:
+    """``struct<rise, decay, kurtosis, energy>`` of the window around a detected peak, else zeros."""
+    zero = F.lit(0.0)
+
+    def shape(near):
+        at = F.least(idx, F.lit(half_width))
+        left = F.reverse(F.slice(near, 1, at + 1))
+        right = F.slice(near, at + 1, half_width + 1)
+        bar = amp * F.lit(S.EDGE_FRACTION)
+        kurt = F.when(F.size(near) > 3, excess_kurtosis(near)).otherwise(zero)
+        return F.struct(_run_at_least(left, bar).alias("rise"), _run_at_least(right, bar).alias("decay"),
+                        kurt.alias("kurtosis"), energy(near).alias("energy"))
+
+    nothing = F.struct(*[zero.alias(n) for n in ("rise", "decay", "kurtosis", "energy")])
+    return F.when(amp > 0, bind(scaled(window(wave, idx, half_width, half_width)), shape)).otherwise(nothing)
 
 
 def energy_ratio(wave: Column, idx: Column, half_width: int = S.FEATURE_HALF_WIDTH) -> Column:
@@ -157,10 +202,12 @@ def mean_excess_delay(wave: Column) -> Column:
 
 def rms_delay_spread(wave: Column) -> Column:
     """Square root of the power-weighted second central moment of the sample position."""
-    mean = mean_excess_delay(wave)
-    spread = F.zip_with(wave, F.sequence(F.lit(0), F.size(wave) - 1),
-                        lambda x, k: (k - mean) * (k - mean) * x * x)
-    return F.sqrt(zero_guarded_ratio(_total(spread), energy(wave)))
+    def spread(mean):
+        moments = F.zip_with(wave, F.sequence(F.lit(0), F.size(wave) - 1),
+                             lambda x, k: (k - mean) * (k - mean) * x * x)
+        return F.sqrt(zero_guarded_ratio(_total(moments), energy(wave)))
+
+    return bind(mean_excess_delay(wave), spread)
 
 
 def max_to_mean(wave: Column) -> Column:
@@ -177,16 +224,19 @@ def tail_energy_ratio(wave: Column, idx: Column) -> Column:
 
 def resample_linear(values: Column, n: int) -> Column:
     """``n`` equally spaced points of the piecewise linear curve through ``values``."""
-    last = F.size(values) - 1
+    def curve(v):
+        last = F.size(v) - 1
+
+        def point(i):
+            where = i * last / F.lit(float(max(n - 1, 1)))
+            left = F.least(F.floor(where).cast("int"), F.greatest(last - 1, F.lit(0)))
+            a = F.element_at(v, left + 1)
+            b = F.element_at(v, F.least(left + 1, last) + 1)
+            return a + (b - a) * (where - left)
 
-    def point(i):
-        where = i * last / F.lit(float(max(n - 1, 1)))
-        left = F.least(F.floor(where).cast("int"), F.greatest(last - 1, F.lit(0)))
-        a = F.element_at(values, left + 1)
-        b = F.element_at(values, F.least(left + 1, last) + 1)
-        return a + (b - a) * (where - left)
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), point)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), point)
+    return bind(values, curve)
 
 
 def shift_zero_fill(wave: Column, shift: Column) -> Column:

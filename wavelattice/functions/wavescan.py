@@ -162,12 +162,13 @@ _NAMES = SCAN_TYPE.names
 
 
 @F.arrow_udf(SCAN_TYPE)
-def _scan_udf(waves: pa.Array, idx1: pa.Array, amp1: pa.Array) -> pa.Array:
+def _scan_udf(waves: pa.Array, divisor: pa.Array, idx1: pa.Array, amp1: pa.Array) -> pa.Array:
     values = waves.flatten().to_numpy(zero_copy_only=False)
     sizes = np.diff(waves.offsets.to_numpy())
     starts = np.concatenate([[0], np.cumsum(sizes)])
     i1 = idx1.to_numpy(zero_copy_only=False)
     a1 = amp1.to_numpy(zero_copy_only=False)
+    by = divisor.to_numpy(zero_copy_only=False)
     blocks = []
     at = 0
     while at < len(sizes):
@@ -176,6 +177,9 @@ def _scan_udf(waves: pa.Array, idx1: pa.Array, amp1: pa.Array) -> pa.Array:
         differ = np.nonzero(sizes[at:stop] != sizes[at])[0]
         stop = at + differ[0] if len(differ) else stop
         block = values[starts[at]:starts[stop]].reshape(stop - at, sizes[at])
+        with np.errstate(all="ignore"):
+            block = block / by[at:stop, None]
+        block[~np.isfinite(block)] = 0.0
         blocks.append(_scan(block, i1[at:stop], a1[at:stop]))
         at = stop
     columns = [np.concatenate(c) for c in zip(*blocks)] if blocks else [np.zeros(0)] * len(_NAMES)
@@ -184,9 +188,12 @@ def _scan_udf(waves: pa.Array, idx1: pa.Array, amp1: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(arrays, _NAMES)
 
 
-def scan_wave(wave: Column, path1_idx: Column, path1_amp: Column) -> Column:
-    """``struct`` of second path, wave-wide statistics and the tail energies of both paths."""
-    return _scan_udf(wave, path1_idx, path1_amp)
+def scan_wave(wave: Column, path1_idx: Column, path1_amp: Column, divisor: Column | None = None) -> Column:
+    """``struct`` of second path, wave-wide statistics and the tail energies of both paths.
+
+    With ``divisor`` the wave is normalised on the way, as :func:`waves.normalized` would.
+    """
+    return _scan_udf(wave, F.lit(1.0) if divisor is None else divisor.cast("double"), path1_idx, path1_amp)
 
 
 @F.arrow_udf(PEAKS_TYPE)

@@ -61,13 +61,13 @@ def noise(wave: Column, key: Column, level: float | Column = 0.05, seed: int | C
 def jitter(wave: Column, key: Column, max_shift: int = 3, seed: int = S.SEED) -> Column:
     """Shift by a whole number of samples in ``-max_shift .. max_shift``; zeros move in."""
     shift = (F.floor(keyed_uniform(key, seed) * (2 * max_shift + 1)) - max_shift).cast("int")
-    return W.shift_zero_fill(wave, shift)
+    return W.bind(shift, lambda s: W.shift_zero_fill(wave, s))
 
 
 def amplitude(wave: Column, key: Column, scale: tuple[float, float] = (0.8, 1.2), seed: int = S.SEED) -> Column:
     """Multiply the wave by one uniform factor."""
     factor = F.lit(scale[0]) + keyed_uniform(key, seed) * F.lit(scale[1] - scale[0])
-    return F.transform(wave, lambda x: x * factor)
+    return F.zip_with(wave, F.array_repeat(factor, F.size(wave)), lambda x, f: x * f)
 
 
 def augment_waveforms(df: DataFrame, key: str = "sample_id", wave: str = "cir", factor: int = 1,

@@ -88,7 +88,7 @@ def near_constant(df: DataFrame, columns: Sequence[str], threshold_pct: float =
 
 def normalize_wave(df: DataFrame, wave: str = "cir", divisor: str = "RXPACC") -> DataFrame:
     """Divide the wave by its accumulation count; anything not finite becomes 0."""
-    return df.withColumn(wave, W.finite_or_zero(W.scale_by(F.col(wave), F.col(divisor).cast("double"))))
+    return df.withColumn(wave, W.normalized(F.col(wave), F.col(divisor).cast("double")))
 
 
 def nonfinite_report(df: DataFrame, wave: str = "cir") -> DataFrame:

@@ -17,22 +17,32 @@ from wavelattice.operators.graph import connected_components
 from wavelattice.operators.profiling import centred_moments
 from wavelattice.operators.quantiles import prefix_sums
 from wavelattice.operators.splits import apply_scaling, sampled_subset, scaler_statistics
-from wavelattice.session import cut_lineage
+from wavelattice.session import concurrently, cut_lineage
 
 
-def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10,
-               seed: int = S.SEED) -> tuple[np.ndarray, float]:
-    """Centres and cost of the best of several seeded k-means runs."""
+def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int | Sequence[int], restarts: int = 10,
+               seed: int = S.SEED, parallelism: int = 8):
+    """Centres and cost of the best of several seeded k-means runs.
+
+    For a list of ``k`` the result is a dict. The runs are independent Spark jobs over one cached
+    input and are submitted from ``parallelism`` driver threads, as Spark's cross-validator does.
+    """
+    ks = [k] if isinstance(k, int) else list(k)
     data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, maxIter=100, tol=1e-6).fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (np.array(model.clusterCenters()), cost)
+
+    def run(task):
+        n, r = task
+        model = KMeans(k=n, seed=seed + r, maxIter=300, tol=1e-4).fit(data)
+        return n, r, np.array(model.clusterCenters()), model.summary.trainingCost
+
+    done = concurrently(df.sparkSession, run, [(n, r) for n in ks for r in range(restarts)], parallelism)
     data.unpersist()
-    return best
+    best = {}
+    for n, r, centres, cost in done:
+        if n not in best or cost < best[n][1]:
+            best[n] = (centres, cost)
+    return best[k] if isinstance(k, int) else best
 
 
 def kmeans_assign(df: DataFrame, columns: Sequence[str], centres: Sequence[Sequence[float]]) -> DataFrame:
@@ -90,65 +100,73 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
         F.try_divide(F.col("sab") - expected, top - expected)).alias("ari"))
 
 
-def silhouette_values(df: DataFrame, key: str, vec: str, cluster: str) -> DataFrame:
-    """``key, cluster, s``: exact Euclidean silhouette of every row.
+def silhouette_values(df: DataFrame, key: str, vec: str, clusters: Sequence[str]) -> DataFrame:
+    """``labeling, key, s``: exact Euclidean silhouette of every row under one or more labelings.
 
     The definition needs all distances, so the cost is quadratic; the rows are cut into chunks and
-    every pair of chunks is one task that returns distance sums per (row, cluster). Use
-    ``sample_size`` of :func:`silhouette` for large tables, as the evaluation protocol does.
+    every pair of chunks is one task that returns distance sums per (labeling, row, cluster). The
+    distances are computed once for all labelings. Use ``sample_size`` of :func:`silhouette` for
+    large tables, as the evaluation protocol does.
     """
+    names = list(clusters)
     rows = df.select(F.col(key).cast("long").alias("pt"), F.col(vec).cast("array<double>").alias("vec"),
-                     F.col(cluster).cast("int").alias("own"), F.lit(0).alias("cell"))
+                     F.array(*[F.col(c).cast("int") for c in names]).alias("own"), F.lit(0).alias("cell"))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         d = np.sqrt(N.squared_distances(np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())))
-        names, code = np.unique(right["own"].to_numpy(), return_inverse=True)
-        member = np.zeros((len(code), len(names)))
-        member[np.arange(len(code)), code] = 1.0
-        sums = d @ member
-        return pd.DataFrame({
-            "pt": np.repeat(left["pt"].to_numpy(), len(names)), "own": np.repeat(left["own"].to_numpy(), len(names)),
-            "other": np.tile(names, len(left)), "total": sums.ravel(),
-            "n": np.tile(member.sum(axis=0).astype(np.int64), len(left))})
+        mine, theirs = np.stack(left["own"].to_numpy()), np.stack(right["own"].to_numpy())
+        out = []
+        for j in range(len(names)):
+            found, code = np.unique(theirs[:, j], return_inverse=True)
+            member = np.zeros((len(code), len(found)))
+            member[np.arange(len(code)), code] = 1.0
+            out.append(pd.DataFrame({
+                "labeling": j, "pt": np.repeat(left["pt"].to_numpy(), len(found)),
+                "own": np.repeat(mine[:, j], len(found)), "other": np.tile(found, len(left)),
+                "total": (d @ member).ravel(), "n": np.tile(member.sum(axis=0).astype(np.int64), len(left))}))
+        return pd.concat(out)
 
     sums = N.compare_blocks(rows.withColumn("to_cell", F.col("cell")), rows, block,
-                            "pt long, own int, other int, total double, n long")
-    per = sums.groupBy("pt", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+                            "labeling int, pt long, own int, other int, total double, n long")
+    per = sums.groupBy("labeling", "pt", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     mine = F.col("own") == F.col("other")
-    both = per.groupBy("pt", "own").agg(
+    both = per.groupBy("labeling", "pt").agg(
         F.max(F.when(mine, F.col("n"))).alias("n_own"),
         F.max(F.when(mine & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
         F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"))
     s = F.when(F.col("n_own") == 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-    return both.select(F.col("pt").alias(key), F.col("own").alias("cluster"), s.alias("s"))
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("labeling") + 1)
+    return both.select(name.alias("labeling"), F.col("pt").alias(key), s.alias("s"))
 
 
-def silhouette(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int | None = None,
+def silhouette(df: DataFrame, key: str, vec: str, clusters: Sequence[str], sample_size: int | None = None,
                seed: int = S.SEED) -> DataFrame:
-    """Mean silhouette over all rows, or over a reproducible sample of ``sample_size``."""
+    """``labeling, silhouette, n``: mean over all rows, or over a reproducible sample of ``sample_size``."""
     rows = df if sample_size is None else sampled_subset(df, key, sample_size, seed)
-    return silhouette_values(rows, key, vec, cluster).agg(F.avg("s").alias("silhouette"), F.count("*").alias("n"))
+    return silhouette_values(rows, key, vec, clusters).groupBy("labeling").agg(
+        F.avg("s").alias("silhouette"), F.count("*").alias("n"))
 
 
 def elbow_silhouette(train: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)),
                      sample_size: int = 10_000, restarts: int = 10, seed: int = S.SEED) -> DataFrame:
     """``k, inertia, silhouette`` for several k, fitted and scored on one sample of scaled rows.
 
-    The sample size is part of the analysis; scaling is fitted on all train rows.
+    The sample size is part of the analysis; scaling is fitted on all train rows. The assignments of
+    all k are columns of one table, so costs and distances are each computed in one pass.
     """
     columns = list(columns)
     scaled = apply_scaling(train, scaler_statistics(train, columns))
     sample = cut_lineage(sampled_subset(scaled, key, sample_size, seed).select(key, *columns))
-    out = None
-    for k in ks:
-        centres, _ = kmeans_fit(sample, columns, k, restarts, seed)
-        assigned = kmeans_assign(sample, columns, centres)
-        cost = inertia(assigned)
-        quality = silhouette(assigned.withColumn("vec", F.array(*columns)), key, "vec", "cluster")
-        row = cost.join(quality.select("silhouette")).select(F.lit(k).alias("k"), "inertia", "silhouette")  # 1 x 1 row
-        out = row if out is None else out.unionByName(row)
-    return out
+    wide = sample
+    for k, (centres, _) in kmeans_fit(sample, columns, list(ks), restarts, seed).items():
+        wide = kmeans_assign(wide, columns, centres).withColumnsRenamed({"cluster": f"k{k}", "dist2": f"cost{k}"})
+    wide = cut_lineage(wide.withColumn("vec", F.array(*columns)))
+    costs = wide.agg(*[F.sum(f"cost{k}").alias(f"k{k}") for k in ks]).unpivot(
+        [], [f"k{k}" for k in ks], "labeling", "inertia")
+    quality = silhouette(wide, key, "vec", [f"k{k}" for k in ks])
+    return costs.join(quality, "labeling").select(
+        F.substring("labeling", 2, 9).cast("int").alias("k"), "inertia", "silhouette")
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:

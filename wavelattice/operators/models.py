@@ -17,14 +17,16 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from wavelattice import schema as S
 from wavelattice.functions.scalars import predicted_class
+from wavelattice.functions.waves import bind
 from wavelattice.operators.profiling import attach_weights
 from wavelattice.operators.splits import apply_scaling, scaler_statistics, stratified_folds
+from wavelattice.session import concurrently
 
 
 @dataclass
@@ -166,25 +168,40 @@ def _param_maps(estimator, grid: dict) -> list:
     return builder.build()
 
 
-def grid_search(estimator, grid: dict, ready: DataFrame, evaluator, folds: int, parallelism: int = 4):
-    """Exhaustive search with the folds of column ``fold``; returns the cross-validated model."""
+@dataclass
+class Search:
+    """Outcome of a grid search: refitted best model, its parameters and every mean score."""
+
+    model: Model
+    best: dict
+    scores: list[tuple[dict, float]]
+
+
+def grid_search(estimator, grid: dict, ready: DataFrame, evaluator, folds: int, parallelism: int = 8) -> Search:
+    """Exhaustive search over the folds given by column ``fold``, then a refit on all rows.
+
+    All (parameters, fold) fits are independent jobs on one cached table.
+    """
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=_param_maps(estimator, grid), evaluator=evaluator,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, collectSubModels=False)
-    model = cv.fit(ready)
-    ready.unpersist()
-    return model
+    maps = _param_maps(estimator, grid)
 
+    def run(task):
+        i, f = task
+        model = estimator.copy(maps[i]).fit(ready.filter(F.col("fold") != f))
+        return evaluator.evaluate(model.transform(ready.filter(F.col("fold") == f)))
 
-def grid_scores(cv_model, grid: dict) -> list[tuple[dict, float]]:
-    """Parameter combinations with their mean cross-validated score."""
-    return [({p.name: v for p, v in m.items() if p.name in grid}, float(s))
-            for m, s in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)]
+    tasks = [(i, f) for i in range(len(maps)) for f in range(folds)]
+    values = np.array(concurrently(ready.sparkSession, run, tasks, parallelism)).reshape(len(maps), folds).mean(axis=1)
+    best = int(values.argmax() if evaluator.isLargerBetter() else values.argmin())
+    model = estimator.copy(maps[best]).fit(ready)
+    ready.unpersist()
+    named = [{p.name: v for p, v in m.items()} for m in maps]
+    return Search(model, named[best], list(zip(named, map(float, values))))
 
 
 def fit_grid(name: str, estimator, grid: dict, train: DataFrame, columns: Sequence[str], key: str,
              label: str = "label", weight: str | None = "balanced_weight", folds: int = 5,
-             parallelism: int = 4) -> Fitted:
+             parallelism: int = 8) -> Fitted:
     """Grid search of a Spark ML classifier by weighted F1 over stratified folds, then refit."""
     columns = list(columns)
     data = attach_weights(train, label, weight) if weight else train
@@ -194,35 +211,35 @@ def fit_grid(name: str, estimator, grid: dict, train: DataFrame, columns: Sequen
     est = estimator.copy().setFeaturesCol("features").setLabelCol("label")
     if weight:
         est = est.setWeightCol("weight")
-    cv = grid_search(est, grid, ready, MulticlassClassificationEvaluator(metricName="f1"), folds, parallelism)
-    best = cv.bestModel
-    chosen = {p: best.getOrDefault(p) for p in grid}
+    found = grid_search(est, grid, ready, MulticlassClassificationEvaluator(metricName="f1"), folds, parallelism)
 
     def score(df: DataFrame) -> DataFrame:
-        out = best.transform(assemble(df, columns))
+        out = found.model.transform(assemble(df, columns))
         return out.withColumn("prob", _probability(out)).select(*df.columns, "prob")
 
-    final = est.copy(best.extractParamMap()) if not chosen else est.copy({est.getParam(p): v for p, v in chosen.items()})
-    return Fitted(name, columns, score, best, {"best": chosen, "scores": grid_scores(cv, grid)},
+    final = est.copy({est.getParam(p): v for p, v in found.best.items()})
+    return Fitted(name, columns, score, found.model, {"best": found.best, "scores": found.scores},
                   refit=lambda rows: _vector_fit(name, final, rows, columns, label, weight))
 
 
 def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str = "label",
-                 grid: dict | None = None, folds: int = 5, size: int = 256) -> Fitted:
+                 grid: dict | None = None, folds: int = 5, size: int = 256, parallelism: int = 8) -> Fitted:
     """Grid search of :func:`fit_svm_rbf` over its own folds by weighted F1."""
     grid = grid or SVM_GRID
     folded = stratified_folds(train, key, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = MulticlassClassificationEvaluator(metricName="f1", labelCol="_y", predictionCol="_p")
-    scores = []
-    for c in grid["c"]:
-        for gamma in grid["gamma"]:
-            total = 0.0
-            for f in range(folds):
-                fit = fit_svm_rbf(folded.filter(F.col("fold") != f), columns, label, c, gamma, size)
-                out = fit.predict(folded.filter(F.col("fold") == f), [key], label)
-                total += evaluator.evaluate(out.select(F.col("label").cast("double").alias("_y"),
-                                                       F.col("pred").cast("double").alias("_p")))
-            scores.append(({"c": c, "gamma": gamma}, total / folds))
+    combos = [(c, gamma) for c in grid["c"] for gamma in grid["gamma"]]
+
+    def run(task):
+        (c, gamma), f = task
+        fit = fit_svm_rbf(folded.filter(F.col("fold") != f), columns, label, c, gamma, size)
+        out = fit.predict(folded.filter(F.col("fold") == f), [key], label)
+        return evaluator.evaluate(out.select(F.col("label").cast("double").alias("_y"),
+                                             F.col("pred").cast("double").alias("_p")))
+
+    values = concurrently(train.sparkSession, run, [(c, f) for c in combos for f in range(folds)], parallelism)
+    means = np.array(values).reshape(len(combos), folds).mean(axis=1)
+    scores = [({"c": c, "gamma": g}, float(m)) for (c, g), m in zip(combos, means)]
     folded.unpersist()
     best = max(scores, key=lambda s: s[1])[0]
     fitted = fit_svm_rbf(train, columns, label, best["c"], best["gamma"], size)
@@ -269,14 +286,17 @@ def fit_boost(train, columns, label="label", iters=200, depth=6, step=0.1, subsa
 
 def pooled_wave(wave: Column, parts: int) -> Column:
     """Mean amplitude of ``parts`` equal stretches of the wave."""
-    n = F.size(wave)
+    def pool(w):
+        n = F.size(w)
+
+        def mean(i):
+            lo = F.floor(i * n / parts).cast("int")
+            hi = F.greatest(F.floor((i + 1) * n / parts).cast("int"), lo + 1)
+            return F.aggregate(F.slice(w, lo + 1, hi - lo), F.lit(0.0), lambda a, x: a + x) / (hi - lo)
 
-    def mean(i):
-        lo = F.floor(i * n / parts).cast("int")
-        hi = F.greatest(F.floor((i + 1) * n / parts).cast("int"), lo + 1)
-        return F.aggregate(F.slice(wave, lo + 1, hi - lo), F.lit(0.0), lambda a, x: a + x) / (hi - lo)
+        return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), mean)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), mean)
+    return bind(wave, pool)
 
 
 def fit_waveform_nn(train: DataFrame, scalars: Sequence[str], wave: str = "cir", label: str = "label",
@@ -306,13 +326,17 @@ def fit_waveform_nn(train: DataFrame, scalars: Sequence[str], wave: str = "cir",
 
 
 def cross_val_predict(fitted: Fitted, train: DataFrame, key: str, label: str = "label", folds: int = 5,
-                      seed: int = S.SEED) -> DataFrame:
+                      seed: int = S.SEED, parallelism: int = 8) -> DataFrame:
     """Out-of-fold predictions: every train row scored by a model that never saw it."""
     folded = stratified_folds(train, key, label, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
-    for f in range(folds):
-        part = fitted.refit(folded.filter(F.col("fold") != f)).predict(folded.filter(F.col("fold") == f), [key], label)
-        out = part if out is None else out.unionByName(part)
+
+    def run(f):
+        return fitted.refit(folded.filter(F.col("fold") != f)).predict(folded.filter(F.col("fold") == f), [key], label)
+
+    parts = concurrently(train.sparkSession, run, range(folds), parallelism)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
@@ -356,7 +380,7 @@ def predict_all(models: Sequence[Fitted], df: DataFrame, keys: Sequence[str], la
 
 
 def train_classifiers(train: DataFrame, columns: Sequence[str], key: str, label: str = "label",
-                      grids: dict | None = None, folds: int = 5, parallelism: int = 4,
+                      grids: dict | None = None, folds: int = 5, parallelism: int = 8,
                       seed: int = S.SEED) -> dict[str, Fitted]:
     """All classifier families with their grids (overridable per family)."""
     grids = {"svm_rbf": SVM_GRID, "random_forest": FOREST_GRID, "gbt": GBT_GRID, "boost": BOOST_GRID, **(grids or {})}
@@ -410,25 +434,30 @@ def _eliminate(estimator, train: DataFrame, columns: list[str], stop: int, each=
 
 
 def rfecv(train: DataFrame, columns: Sequence[str], key: str, label: str = "label", estimator=None,
-          folds: int = 3, seed: int = S.SEED) -> dict:
+          folds: int = 3, seed: int = S.SEED, parallelism: int = 8) -> dict:
     """Recursive feature elimination with cross-validated accuracy.
 
     Returns the curve (``n_features -> mean accuracy``), the best size (smallest on ties), the
-    selected features and the ranking. Fits run one after another; each is distributed.
+    selected features and the ranking. The folds run side by side; every fit is distributed.
     """
     columns = list(columns)
     estimator = (estimator or forest(seed=seed)).copy().setFeaturesCol("features").setLabelCol("label")
     data = stratified_folds(train.select(key, *columns, F.col(label).cast("double").alias("label")), key, "label",
                             folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    curve = dict.fromkeys(range(1, len(columns) + 1), 0.0)
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
-    for f in range(folds):
+
+    def run(f):
         held = data.filter(F.col("fold") == f)
+        reached = {}
 
         def each(left, model):
-            curve[len(left)] += evaluator.evaluate(model.transform(assemble(held, left))) / folds
+            reached[len(left)] = evaluator.evaluate(model.transform(assemble(held, left)))
 
         _eliminate(estimator, data.filter(F.col("fold") != f), columns, 1, each)
+        return reached
+
+    curves = concurrently(train.sparkSession, run, range(folds), parallelism)
+    curve = {n: sum(c[n] for c in curves) / folds for n in range(1, len(columns) + 1)}
     best = min(curve, key=lambda n: (-round(curve[n], 12), n))
     order = _eliminate(estimator, data, columns, best)
     data.unpersist()
@@ -471,7 +500,7 @@ def linear_score(df: DataFrame, model: dict, name: str = "yhat") -> DataFrame:
 
 
 def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str], key: str, target: str = "range_m",
-                     grids: dict | None = None, folds: int = 3, parallelism: int = 4, seed: int = S.SEED) -> DataFrame:
+                     grids: dict | None = None, folds: int = 3, parallelism: int = 8, seed: int = S.SEED) -> DataFrame:
     """Ridge, forest and two boosted regressors; returns ``model, <key>, y, yhat`` for the test rows.
 
     Trees search their grids by mean squared error over unshuffled folds.
@@ -490,8 +519,8 @@ def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str],
                   "boost": GBTRegressor(seed=seed, subsamplingRate=0.8)}
     scored = assemble(scored, columns)
     for name, est in estimators.items():
-        cv = grid_search(est, grids[name], ready, RegressionEvaluator(metricName="mse"), folds, parallelism)
-        scored = cv.bestModel.setPredictionCol(f"_p_{name}").transform(scored)
+        found = grid_search(est, grids[name], ready, RegressionEvaluator(metricName="mse"), folds, parallelism)
+        scored = found.model.setPredictionCol(f"_p_{name}").transform(scored)
     train.unpersist()
     names = ["ridge", *estimators]
     rows = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_p_{m}").alias("yhat")) for m in names])

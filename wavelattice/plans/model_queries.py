@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from wavelattice import schema as S
 from wavelattice.functions.scalars import rounded as r
 from wavelattice.operators import augment, clustering, explain, metrics, models, neighbors, profiling, splits
+from wavelattice.operators.cleaning import drop_degenerate
+from wavelattice.operators.paths import measurement_features
 from wavelattice.plans import views as V
 from wavelattice.plans.registry import query
 from wavelattice.plans.views import rnd
-from wavelattice.plans.wave_queries import features
 from wavelattice.session import cut_lineage
 
 W = "WITH " + V.PTS
@@ -105,7 +106,8 @@ def _(spark, sf):
     min(CASE WHEN own <> other THEN total / n END) AS b FROM pair GROUP BY vec_id)
   SELECT {rnd('avg(CASE WHEN n_own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette, count(*) AS n FROM ab""")
 def _(spark, sf):
-    return clustering.silhouette(assigned(spark, sf, 3), "vec_id", "vec", "cluster").withColumn("silhouette", r(F.col("silhouette")))
+    return clustering.silhouette(assigned(spark, sf, 3), "vec_id", "vec", ["cluster"]).select(
+        r(F.col("silhouette")).alias("silhouette"), "n")
 
 
 @query("adjusted_rand", f"""{W}, {assigned_sql(3)}, c AS (SELECT y, cluster, count(*)::DOUBLE AS n FROM assigned GROUP BY y, cluster),
@@ -162,19 +164,19 @@ def _split_pts(spark, sf) -> DataFrame:
 @query("kmeans_k2")
 def _(spark, sf):
     rows = cut_lineage(splits.standard_scale(_split_pts(spark, sf), X))
-    centres, _ = clustering.kmeans_fit(rows.filter(F.col("split") == "train"), X, 2)
+    centres, _ = clustering.kmeans_fit(rows.filter(F.col("split") == "train"), X, 2, restarts=4)
     labelled = clustering.kmeans_assign(rows, X, centres)
     mapping = clustering.cluster_label_map(labelled.filter(F.col("split") == "test"), "cluster", "y")
     mapped = clustering.apply_label_map(labelled, mapping)
     acc = mapped.groupBy("split").agg(F.avg((F.col("cluster") == F.col("y")).cast("double")).alias("accuracy"), F.count("*").alias("n"))
     test = mapped.filter(F.col("split") == "test")
-    quality = clustering.silhouette(test.withColumn("vec", F.array(*X)), "vec_id", "vec", "cluster").select("silhouette")
+    quality = clustering.silhouette(test.withColumn("vec", F.array(*X)), "vec_id", "vec", ["cluster"]).select("silhouette")
     return acc.join(quality).join(clustering.adjusted_rand(test, "y", "cluster"))  # one-row tables
 
 
 @query("elbow_silhouette")
 def _(spark, sf):
-    return clustering.elbow_silhouette(_split_pts(spark, sf).filter(F.col("split") == "train"), "vec_id", X, restarts=3)
+    return clustering.elbow_silhouette(_split_pts(spark, sf).filter(F.col("split") == "train"), "vec_id", X, restarts=2)
 
 
 @query("pca_2d")
@@ -225,9 +227,8 @@ FAST = ["p_path_idx", "p_path_amp", "p_kurtosis_local", "p_energy_ratio", "p_rms
 
 def study(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Train and test rows of the expanded feature table; both paths of a measurement share the split."""
-    from wavelattice.operators.paths import expand_two_paths, with_paths
-    split = splits.stratified_split(V.clean(spark, sf), "sample_id", "NLOS")
-    rows = expand_two_paths(with_paths(split), keys=("sample_id", "env_id", "split"))
+    split = splits.stratified_split(drop_degenerate(V.sig(spark, sf)), "sample_id", "NLOS")
+    rows = measurement_features(split, keys=("sample_id", "env_id", "split"))
     rows = cut_lineage(rows.withColumn("row_id", F.col("sample_id") * 2 + F.col("path_id")))
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
 
@@ -339,7 +340,7 @@ def _(spark, sf):
     return metrics.metric_delta(before, metrics.metric_table(again.predict(test, KEYS)))
 
 
-REG_GRIDS = {"random_forest": {"numTrees": [5, 10]}, "gbt": {"maxIter": [3, 5]}, "boost": {"maxIter": [3], "maxDepth": [3, 4]}}
+REG_GRIDS = {"random_forest": {"numTrees": [5, 10]}, "gbt": {"maxIter": [2, 3], "maxDepth": [3]}, "boost": {"maxIter": [2], "maxDepth": [3, 4]}}
 
 
 def _regression(name: str, path_id: int, only: str | None = None) -> None:

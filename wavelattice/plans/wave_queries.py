@@ -210,7 +210,7 @@ def _peaks(spark, sf) -> DataFrame:
     rows = rows.withColumn("p1", W.argmax_near(F.col("cir"), F.col("FP_IDX").cast("int")))
     bar = F.when(F.col("p1.amp") > 0, F.col("p1.amp") * S.PEAK_FRACTION).otherwise(F.lit(float("inf")))
     found = wavescan.find_peaks(W.moving_average3(F.col("cir")), bar, S.PEAK_DISTANCE, bar)
-    return rows.select("sample_id", F.explode(found).alias("k")).select("sample_id", "k.idx", "k.prominence")
+    return rows.select("sample_id", found.alias("ks")).select("sample_id", F.explode("ks").alias("k")).select("sample_id", "k.idx", "k.prominence")
 
 
 @query("find_peaks", f"WITH RECURSIVE {V.SECOND} SELECT sample_id, idx FROM peaks")
@@ -410,8 +410,8 @@ def _(spark, sf):
   SELECT sample_id, p AS path_id, env_id::INTEGER AS env_id, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END AS split
   FROM ranked JOIN q2 USING (nlos), (VALUES (1), (2)) v(p)""")
 def _(spark, sf):
-    split = splits.stratified_split(V.clean(spark, sf), "sample_id", "NLOS")
-    rows = paths.expand_two_paths(paths.with_paths(split), keys=("sample_id", "env_id", "split"))
+    split = splits.stratified_split(cleaning.drop_degenerate(V.sig(spark, sf)), "sample_id", "NLOS")
+    rows = paths.measurement_features(split, keys=("sample_id", "env_id", "split"))
     return rows.select("sample_id", "path_id", "env_id", "split")
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +51,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(_shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def concurrently(spark: SparkSession, run: Callable, tasks: Sequence, parallelism: int) -> list:
+    """``[run(t) for t in tasks]`` with the Spark jobs submitted from several driver threads.
+
+    For independent model fits: each fit is distributed, and together they keep the cluster busy.
+    """
+    pool = ThreadPool(max(1, min(parallelism, len(tasks))))
+    try:
+        return pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
+    finally:
+        pool.close()
