@@ -14,15 +14,24 @@ from wavelattice import schema as S
 from wavelattice.session import scratch_path
 
 
+MAX_BROADCAST_NAMES = 100_000  # about 10 MB of names
+
+
 def _base(path: str) -> str:
     return unquote(os.path.basename(urlparse(path).path))
 
 
-def _environments(raw: DataFrame, by: str) -> DataFrame:
-    """``_env_name, ENV_ID`` from the file listing the reader already holds; no data is scanned."""
-    files = raw.inputFiles()
-    names = sorted({_base(f) if by == "file" else _base(os.path.dirname(f)) for f in files})
-    return raw.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_env_name string, ENV_ID int")
+def _with_environment(rows: DataFrame, raw: DataFrame, by: str) -> DataFrame:
+    """Number the environments of ``_env_name`` in the order of their names.
+
+    The names come from the file listing the reader already holds; no data is scanned. The table of
+    names is broadcast, so the waves are not shuffled, unless the listing is very long.
+    """
+    names = sorted({_base(f) if by == "file" else _base(os.path.dirname(f)) for f in raw.inputFiles()})
+    env = raw.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_env_name string, ENV_ID int")
+    if len(names) <= MAX_BROADCAST_NAMES:
+        env = F.broadcast(env)
+    return rows.join(env, "_env_name").drop("_env_name")
 
 
 def scan_csv(spark: SparkSession, path: str, wave_length: int = S.WAVE_LENGTH, recursive: bool = False,
@@ -41,18 +50,19 @@ def scan_csv(spark: SparkSession, path: str, wave_length: int = S.WAVE_LENGTH, r
             else F.element_at(F.split("_metadata.file_path", "/"), -2))
     rows = raw.select(*scalars, waves.alias("cir"), F.url_decode(name).alias("_env_name"),
                       F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"))
-    return rows.join(_environments(raw, env_by), "_env_name").drop("_env_name")
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_at"))
+    return _with_environment(rows, raw, env_by)
 
 
 def load_dataset(spark: SparkSession, path: str, wave_length: int = S.WAVE_LENGTH, env_by: str = "file") -> DataFrame:
     """All measurements of a directory with ``ENV_ID``."""
-    return scan_csv(spark, path, wave_length, env_by=env_by).drop("_file", "_block")
+    return scan_csv(spark, path, wave_length, env_by=env_by).drop("_file", "_block", "_at")
 
 
 def load_recursive(spark: SparkSession, path: str, wave_length: int = S.WAVE_LENGTH) -> DataFrame:
     """All measurements of a directory tree, without environments."""
-    return scan_csv(spark, path, wave_length, recursive=True).drop("_file", "_block", "ENV_ID")
+    return scan_csv(spark, path, wave_length, recursive=True).drop("_file", "_block", "_at", "ENV_ID")
 
 
 def ingest_csv(spark: SparkSession, source: str, target: str, wave_length: int = S.WAVE_LENGTH,
@@ -63,7 +73,7 @@ def ingest_csv(spark: SparkSession, source: str, target: str, wave_length: int =
     was written; ``blocks`` holds one line per input split, from which :func:`read_measurements`
     computes a row number that depends on the files only.
     """
-    raw = scan_csv(spark, source, wave_length, env_by=env_by).withColumn("_at", F.monotonically_increasing_id())
+    raw = scan_csv(spark, source, wave_length, env_by=env_by)
     raw.write.mode("overwrite").partitionBy("ENV_ID").parquet(f"{target}/rows")
     written = spark.read.parquet(f"{target}/rows")
     blocks = written.groupBy("ENV_ID", "_file", "_block").agg(F.min("_at").alias("first_at"), F.count("*").alias("n"))
