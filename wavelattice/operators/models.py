@@ -87,7 +87,7 @@ def fit_logistic(train: DataFrame, columns: Sequence[str], label: str = "label",
     stats = scaler_statistics(train, columns)
     n = train.count()
     est = LogisticRegression(regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                             maxIter=max_iter, tol=1e-8)
+                             maxIter=max_iter, tol=1e-6)
     inner = _vector_fit("logistic", est, apply_scaling(train, stats), columns, label,
                         "balanced_weight" if balanced else None)
 
