@@ -107,3 +107,34 @@ def test_augmentation(spark):
     noisy = df.select(augment.noise(F.col("cir"), F.col("sample_id"), 0.1).alias("w")).collect()
     e = np.array([r["w"] for r in noisy]) - np.array(wave)
     assert e.std() == pytest.approx(0.1 * np.std(wave), rel=0.05) and abs(e.mean()) < 0.002
+
+
+def test_tree_attributions_are_shapley_values(spark, data):
+    from itertools import combinations
+    from math import factorial
+    train, test = data
+    rows = test.limit(12).cache()
+    for fit, margin in ((models.fit_forest(train, X, trees=3, depth=4), False), (models.fit_gbt(train, X, iters=2, depth=3), True)):
+        leaves = explain._leaves(fit, spark)
+
+        def value(x, known):
+            total = 0.0
+            for feats, lo, hi, z, v in leaves:
+                for f, a, b, share in zip(feats, lo, hi, z):
+                    v = v * (float(a < x[f] <= b) if f in known else share)
+                total += v
+            return total
+
+        scored = fit.model.transform(models.assemble(rows, X)).collect()
+        got = {r["id"]: r["shap"] for r in explain.tree_shap(rows, fit).collect()}
+        for r in scored:
+            x = [r[c] for c in X]
+            whole = value(x, {0, 1, 2})
+            assert whole == pytest.approx(r["rawPrediction"][1] if margin else r["probability"][1])
+            for j in range(3):
+                others = [i for i in range(3) if i != j]
+                want = sum(factorial(k) * factorial(2 - k) / 6 * (value(x, {*s, j}) - value(x, set(s)))
+                           for k in range(3) for s in combinations(others, k))
+                assert got[r["id"]][j] == pytest.approx(want, abs=1e-9)
+        imp = {r["feature"]: r["mean_abs_shap"] for r in explain.tree_shap_importance(test, fit).collect()}
+        assert max(imp, key=imp.get) == "a"

@@ -330,6 +330,12 @@ def _(spark, sf):
     return explain.permutation_importance(models.fit_forest(train, FAST, trees=10, depth=5), test, "row_id")
 
 
+@query("tree_shap_importance")
+def _(spark, sf):
+    train, test = study(spark, sf)
+    return explain.tree_shap_importance(test, models.fit_forest(train, FAST, trees=10, depth=5))
+
+
 @query("rf_on_smote")
 def _(spark, sf):
     train, test = study(spark, sf)
