@@ -74,11 +74,16 @@ def classification_report(pred: DataFrame) -> DataFrame:
     return _class_scores(pred).select("model", F.inline(rows))
 
 
-def _score_steps(pred: DataFrame) -> DataFrame:
-    """Cumulative positives and negatives per distinct score, descending, with class totals."""
+def _running_counts(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Positives and negatives per distinct score, and the same with running counts, highest first."""
     steps = pred.groupBy("model", "prob").agg(F.sum(F.col("label").cast("bigint")).alias("pos"),
                                               F.sum((1 - F.col("label")).cast("bigint")).alias("neg"))
-    running = prefix_sums(steps, ["model"], "prob", ["pos", "neg"], descending=True)
+    return steps, prefix_sums(steps, ["model"], "prob", ["pos", "neg"], descending=True)
+
+
+def _score_steps(pred: DataFrame) -> DataFrame:
+    """Running counts per distinct score with the class totals of the model on every row."""
+    steps, running = _running_counts(pred)
     totals = steps.groupBy(F.col("model").alias("_m")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return running.join(totals, F.col("model") == F.col("_m")).drop("_m")
 
@@ -99,10 +104,10 @@ def auc_trapezoid(pred: DataFrame) -> DataFrame:
     A step of ``pos`` positives and ``neg`` negatives starts at ``cum_pos - pos``, so each trapezoid
     is known from its own row and the area is a plain sum.
     """
-    s = _score_steps(pred)
+    _, s = _running_counts(pred)
     area = F.col("neg") * (2.0 * F.col("cum_pos") - F.col("pos")) / 2.0
     return s.groupBy("model").agg(
-        _ratio(F.sum(area), F.max(F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"))
+        _ratio(F.sum(area), F.max("cum_pos").cast("double") * F.max("cum_neg")).alias("auc"))
 
 
 def pr_curve(pred: DataFrame) -> DataFrame:
@@ -117,9 +122,9 @@ def pr_curve(pred: DataFrame) -> DataFrame:
 
 def average_precision(pred: DataFrame) -> DataFrame:
     """``model, ap``: precision at each threshold weighted by the recall gained there."""
-    s = _score_steps(pred)
+    _, s = _running_counts(pred)
     gain = F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
-    return s.groupBy("model").agg(_ratio(F.sum(gain), F.max("n_pos")).alias("ap"))
+    return s.groupBy("model").agg(_ratio(F.sum(gain), F.max("cum_pos")).alias("ap"))
 
 
 def no_skill_rate(pred: DataFrame) -> DataFrame:
