@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators."""
 
-from wavelattice.llm import mixing
+from wavelattice.llm import mixing, topk
 
-QUERIES = {"op9_mix_sources": mixing.query}
-ORACLES = {"op9_mix_sources": mixing.SQL}
+QUERIES = {"op8_top_k": topk.query, "op9_mix_sources": mixing.query}
+ORACLES = {"op8_top_k": topk.SQL, "op9_mix_sources": mixing.SQL}
