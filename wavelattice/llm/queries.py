@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators."""
 
-from wavelattice.llm import mixing, topk
+from wavelattice.llm import chat, mixing, topk
 
-QUERIES = {"op8_top_k": topk.query, "op9_mix_sources": mixing.query}
-ORACLES = {"op8_top_k": topk.SQL, "op9_mix_sources": mixing.SQL}
+QUERIES = {"op6_chat_format": chat.query, "op8_top_k": topk.query, "op9_mix_sources": mixing.query}
+ORACLES = {"op6_chat_format": chat.SQL, "op8_top_k": topk.SQL, "op9_mix_sources": mixing.SQL}
