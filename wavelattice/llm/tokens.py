@@ -14,6 +14,12 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+#: Folds ASCII case and turns ASCII other than letters into blanks; other bytes stay.
+FOLD = np.full(256, 32, np.uint8)
+FOLD[65:91] = FOLD[97:123] = np.arange(97, 123)
+FOLD[128:] = np.arange(128, 256)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x ^ (x >> U64(30))
