@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators."""
 
-from wavelattice.llm import chat, mixing, topk, warc
+from wavelattice.llm import chat, langid, mixing, topk, toxicity, warc
 
-QUERIES = {"op2_warc_zip": warc.query, "op6_chat_format": chat.query, "op8_top_k": topk.query, "op9_mix_sources": mixing.query}
+QUERIES = {"op2_warc_zip": warc.query, "op4_toxicity": toxicity.query, "op5_language": langid.query,
+           "op6_chat_format": chat.query, "op8_top_k": topk.query, "op9_mix_sources": mixing.query}
 ORACLES = {"op2_warc_zip": warc.SQL, "op6_chat_format": chat.SQL, "op8_top_k": topk.SQL, "op9_mix_sources": mixing.SQL}
