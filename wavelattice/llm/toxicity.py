@@ -23,11 +23,11 @@ POSITIVE_ROWS = 3000
 UNLABELLED_ROWS = 8000
 EPOCHS = 15
 BATCHES = 8
-RATE = 1.0
+RATE = 0.3
 DECAY = 1e-6
 _BLOCK_DOCS = 64
 #: Added to the counts from which a bin's value comes, and to the squared length of a text.
-_PRIOR_COUNT = 10.0
+_PRIOR_COUNT = 20.0
 _FLOOR = 5.0
 
 
