@@ -44,18 +44,30 @@ def _running(lengths: Column) -> Column:
     return F.flatten(F.zip_with(blocks, sums(totals, F.lit(0)), sums))
 
 
-def _spans(text: Column, pattern: str, keep=None) -> Column:
-    """Start and end of the leftmost non-overlapping matches, in code points; ``keep(match)`` drops some."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("m")))
-    before = _running(F.transform(lengths, lambda x: x["p"] + x["m"]))
-    spans = F.zip_with(F.zip_with(before, lengths, lambda b, x: F.struct((b + x["p"]).alias("s"), (b + x["p"] + x["m"]).alias("e"))),
-                       found, lambda s, m: F.struct(s["s"].alias("s"), s["e"].alias("e"), m.alias("m")))
-    if keep is not None:
-        spans = F.filter(spans, lambda x: keep(x["m"]))
-    spans = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
+def _with_spans(df: DataFrame, text: str, kinds: dict) -> DataFrame:
+    """A column of spans per kind: the leftmost non-overlapping matches, in code points.
+
+    ``kinds`` gives pattern and a condition on the match (or None). Each step is a projection of its own, so that the
+    pattern runs over a text once and only texts with matches are split.
+    """
+    rest = [c for c in df.columns if c not in kinds]
+    df = df.select(*rest, *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"_m_{k}") for k, (p, _) in kinds.items()])
+    some = {k: F.size(f"_m_{k}") > 0 for k in kinds}
+    df = df.select(*[c for c in rest if c != text], *[f"_m_{k}" for k in kinds], *[
+        F.when(some[k], F.transform(F.split(text, p, -1), lambda x: F.length(x))).alias(f"_p_{k}") for k, (p, _) in kinds.items()])
+    rest = [c for c in rest if c != text]
+    sizes = {k: F.zip_with(F.slice(f"_p_{k}", 1, F.size(f"_m_{k}")), f"_m_{k}", lambda p, m: p + F.length(m)) for k in kinds}
+    df = df.select(*rest, *[f"_m_{k}" for k in kinds], *[f"_p_{k}" for k in kinds], *[
+        F.when(some[k], _running(sizes[k])).alias(f"_b_{k}") for k in kinds])
+
+    def spans(kind: str, keep) -> Column:
+        starts = F.zip_with(f"_b_{kind}", F.slice(f"_p_{kind}", 1, F.size(f"_m_{kind}")), lambda b, p: b + p)
+        out = F.zip_with(starts, f"_m_{kind}", lambda s, m: F.struct(s.alias("s"), (s + F.length(m)).alias("e"), m.alias("m")))
+        out = F.filter(out, lambda x: keep(x["m"])) if keep is not None else out
+        out = F.transform(out, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+        return F.when(some[kind], out).otherwise(F.array().cast(_SPAN)).alias(kind)
+
+    return df.select(*rest, *[spans(k, keep) for k, (_, keep) in kinds.items()])
 
 
 def _mixed(m: Column) -> Column:
@@ -64,14 +76,12 @@ def _mixed(m: Column) -> Column:
 
 def _found(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_key, _mark`` (a hash of the text) and an array of spans per kind."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    src = docs.select(F.col(key).alias("_key"), t.alias("_t"))
+    src = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    src = src.withColumn("_mark", F.xxhash64("_t"))
     long_value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 12
-    t = F.col("_t")
-    return src.select(
-        "_key", F.xxhash64("_t").alias("_mark"), _spans(t, ASSIGN, long_value).alias("assign"), _spans(t, ACCESS).alias("access"),
-        _spans(t, HEX).alias("hex"), _spans(t, IDENT).alias("ident"), _spans(t, SECRET, _mixed).alias("secret"),
-        _spans(t, ENDPOINT).alias("endpoint"))
+    return _with_spans(src, "_t", {
+        "assign": ("(?=[pPsStTaA])" + ASSIGN, long_value), "access": (ACCESS, None), "hex": ("(?<![0-9a-f])" + HEX, None),
+        "ident": (IDENT, None), "secret": ("(?<![A-Za-z0-9+/])" + SECRET, _mixed), "endpoint": (ENDPOINT, None)})
 
 
 def _linked(found: DataFrame, scope: int) -> DataFrame:
