@@ -1,8 +1,9 @@
 """Registered queries of the training-data operators."""
 
-from wavelattice.llm import chat, langid, mixing, secrets, topk, toxicity, warc
+from wavelattice.llm import chat, decontam, langid, mixing, secrets, topk, toxicity, warc
 
-QUERIES = {"op2_warc_zip": warc.query, "op3_secrets": secrets.query, "op4_toxicity": toxicity.query,
+QUERIES = {"op1_decontaminate": decontam.query,
+           "op2_warc_zip": warc.query, "op3_secrets": secrets.query, "op4_toxicity": toxicity.query,
            "op5_language": langid.query, "op6_chat_format": chat.query, "op8_top_k": topk.query,
            "op9_mix_sources": mixing.query}
 ORACLES = {"op2_warc_zip": warc.SQL, "op3_secrets": secrets.SQL, "op6_chat_format": chat.SQL, "op8_top_k": topk.SQL,
