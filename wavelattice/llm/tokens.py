@@ -91,7 +91,7 @@ def shingles(doc: np.ndarray, h: np.ndarray, n_docs: int, k: int = 5) -> tuple[n
         short = np.flatnonzero(n_words == n)
         if len(short):
             x = sum((h[first[short] + j] * PLACES[j] for j in range(n)), np.zeros(len(short), U64))
-            sh, at = np.concatenate([sh, mix(x + U64(n) * U64(_BASE))]), np.concatenate([at, short])
+            sh, at = np.concatenate([sh, mix(x + U64(n * _BASE & (1 << 64) - 1))]), np.concatenate([at, short])
     order = np.lexsort((sh, at))
     sh, at = sh[order], at[order]
     keep = np.ones(len(sh), bool)
