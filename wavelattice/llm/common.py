@@ -47,6 +47,18 @@ def keyed_fraction(key: Column, seed: str) -> Column:
                   16, 10).cast("double") / float(16 ** 13)
 
 
+def with_rows(docs: DataFrame, key: str, text: str, into: str = "_row") -> DataFrame:
+    """``docs`` with a unique bigint per row that orders rows by key (nulls first), then text.
+
+    It is the key itself where keys are unique and not null. Otherwise the rows are sorted and written once.
+    """
+    out = docs.withColumn(into, F.col(key).cast("bigint"))
+    again = out.groupBy(into).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > 1 OR {into} IS NULL")
+    if again.isEmpty():
+        return out
+    return settled(out.orderBy(F.col(into).asc_nulls_first(), text).withColumn(into, F.monotonically_increasing_id()))
+
+
 def text_pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTES):
     """``(batch slice, bytes, offsets)`` of at most ``limit`` bytes of text each, or one row; null texts are empty."""
     for batch in batches:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wavelattice.llm.common import fresh_path, in_runs, settled, table, text_pieces
+from wavelattice.llm.common import fresh_path, in_runs, table, text_pieces, with_rows
 from wavelattice.llm.tokens import U64, mix
 
 WINDOW = 100
@@ -390,20 +390,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     are null, rows are ordered by key (nulls first) and text, and of equal rows all but one are repeats. An empty table
     gives an empty result. Other columns are not read.
     """
-    src = docs.select(F.col(key).cast("bigint").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    counts = src.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR _row IS NULL")
-    if not counts.isEmpty():
-        ordered = src.withColumnRenamed("_row", "_key").orderBy(F.col("_key").asc_nulls_first(), "_t")
-        src = settled(ordered.withColumn("_row", F.monotonically_increasing_id()))
-        names = src.select(F.col("_row").alias("row"), F.col("_key").alias(key))
-        src = src.select("_row", "_t")
-    else:
-        names = None
+    src = with_rows(docs.select(F.col(key).cast("bigint").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_t")), "_key", "_t")
+    names = src.select(F.col("_row").alias("row"), F.col("_key").alias(key))
+    src = src.select("_row", "_t")
     runs = repeated_runs(src, hot).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     out = src.join(runs, F.col("_row") == F.col("row"), "left").select("_row", "_t", "runs").mapInArrow(
         _removed, "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    out = out.join(names, "row").drop("row") if names is not None else out.withColumnRenamed("row", key)
-    return out.select(key, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.join(names, "row").select(key, "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def query(spark, sf: str) -> DataFrame:

@@ -150,8 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return (np.frombuffer(model[0]["w"], np.float32).reshape(2, BINS).astype(np.float64), model[0]["b"]) if model else None
 
 
-def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``score``: the probability of the toxic class; 0 if there is no model."""
+def score(docs: DataFrame, model, text: str = "text", into: str = "score") -> DataFrame:
+    """All columns of ``docs`` with ``into``: the probability of the toxic class; 0 if there is no model."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # one weight per bin
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -163,9 +163,9 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
                 doc, bins = features(data, offsets)
                 length = np.sqrt(_FLOOR + np.bincount(doc, square[bins], minlength=part.num_rows))
                 out = _logistic(np.bincount(doc, w[bins], minlength=part.num_rows) / length + b)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.float64())], names=[*part.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.float64())], names=[*part.schema.names, into])
 
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return docs.mapInArrow(run, f"{schema}, `{into}` double")
 
 
 def rate_documents(docs: DataFrame, labels: DataFrame, held_out, key: str = "doc_id", text: str = "text",
@@ -178,7 +178,7 @@ def rate_documents(docs: DataFrame, labels: DataFrame, held_out, key: str = "doc
     """
     src = docs.select(key, text)
     model = train(src.where(~held_out), labels.where(~held_out), key, text, toxic)
-    out = score(src, model, key, text)
+    out = score(src, model, text)
     return out.select(key, held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
