@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wavelattice.llm.common import table, text_pieces
-from wavelattice.llm.tokens import FOLD, PLACES, U64, combined, words
+from wavelattice.llm.tokens import FOLD_ALNUM, PLACES, U64, combined, words
 
 #: The second to fourth still match where every fifth, fourth or third word was replaced.
 MASKS = ("111111", "1111011", "1110111", "11011011", "1100101101")
@@ -35,7 +35,7 @@ class Seeds:
 
     def __init__(self, ids: list[int], texts: list[str]):
         raw = [t.lower().encode() for t in texts]
-        data = FOLD[np.frombuffer(b"".join(raw), np.uint8)]
+        data = FOLD_ALNUM[np.frombuffer(b"".join(raw), np.uint8)]
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)])
         _, _, owner, h = words(data, offsets)
         cut = np.searchsorted(owner, np.arange(len(ids) + 1))
@@ -55,7 +55,7 @@ class Seeds:
     def overlaps(self, data: np.ndarray, offsets: np.ndarray) -> list[list[dict]]:
         """Per text its best overlap with every item that it contains a passage of."""
         out: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
-        _, _, owner, h = words(FOLD[data], offsets)
+        _, _, owner, h = words(FOLD_ALNUM[data], offsets)
         found = []
         for m, shifts in enumerate(SHIFTS):
             x = combined(h, shifts) + PLACES[100 + m]
@@ -101,7 +101,7 @@ def with_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                   slice_bytes: int = SLICE_BYTES, into: str = "overlaps") -> DataFrame:
     """``docs`` with a column ``overlaps``: one entry per benchmark item of which the text contains a passage.
 
-    Words are runs of letters, in lower case. An entry has the item, the equal words, the length of the passage and its
+    Words are runs of letters and digits, in lower case. An entry has the item, the equal words, the length of the passage and its
     first word in the document. Null texts have none; null ids and null, empty or short items (under six words) are not
     searched; items that repeat an id are searched each. All other columns stay, whatever their names are, but for
     ``into``, which is replaced. An empty table gives an empty result. The benchmark is broadcast in slices of bounded size, each in a pass of its own.

@@ -18,6 +18,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 FOLD = np.full(256, 32, np.uint8)
 FOLD[65:91] = FOLD[97:123] = np.arange(97, 123)
 FOLD[128:] = np.arange(128, 256)
+#: The same with digits kept.
+FOLD_ALNUM = FOLD.copy()
+FOLD_ALNUM[48:58] = np.arange(48, 58)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
