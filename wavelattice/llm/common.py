@@ -16,7 +16,7 @@ from wavelattice.session import cut_lineage, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a numpy kernel works on at a time; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
