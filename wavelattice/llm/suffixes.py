@@ -33,10 +33,10 @@ GRAM = 32
 BEFORE = WINDOW - GRAM
 CONTEXT = BEFORE + WINDOW
 #: Anchors that a task gathers before it sends them off.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 #: Contexts that are sorted at a time, and contexts of one gram beyond which its windows are grouped by hash.
-CHUNK, HOT = 1 << 13, 100_000
-_SEGMENT = 1 << 20
+CHUNK, HOT = 1 << 12, 100_000
+_SEGMENT = 1 << 19
 _LUT = mix(np.arange(1, 258, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _ODD = [U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xD6E8FEB86659FD93), U64(0xC2B2AE3D27D4EB4F)]
 _MAX = U64(0xFFFFFFFFFFFFFFFF)
