@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 from wavelattice import schema as S
@@ -140,6 +141,8 @@ def _guarded(num: np.ndarray, den: np.ndarray) -> np.ndarray:
 
 def _scan(waves: np.ndarray, idx1: np.ndarray, amp1: np.ndarray) -> list[np.ndarray]:
     n = waves.shape[1]
+    if n == 0:
+        return [np.zeros(len(waves), int)] + [np.zeros(len(waves))] * (len(_NAMES) - 1)
     idx2, amp2 = second_paths(waves, idx1, amp1)
     pdp = waves * waves
     total = pdp.sum(axis=1)
@@ -161,14 +164,19 @@ def _scan(waves: np.ndarray, idx1: np.ndarray, amp1: np.ndarray) -> list[np.ndar
 _NAMES = SCAN_TYPE.names
 
 
+def _flat(waves: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All samples in a row, and the number of samples of every wave; a null wave has none, a null sample is NaN."""
+    sizes = pc.fill_null(pc.list_value_length(waves), 0).to_numpy(zero_copy_only=False)
+    return waves.flatten().to_numpy(zero_copy_only=False).astype(float), sizes
+
+
 @F.arrow_udf(SCAN_TYPE)
 def _scan_udf(waves: pa.Array, divisor: pa.Array, idx1: pa.Array, amp1: pa.Array) -> pa.Array:
-    values = waves.flatten().to_numpy(zero_copy_only=False)
-    sizes = np.diff(waves.offsets.to_numpy())
+    values, sizes = _flat(waves)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    i1 = idx1.to_numpy(zero_copy_only=False)
-    a1 = amp1.to_numpy(zero_copy_only=False)
-    by = divisor.to_numpy(zero_copy_only=False)
+    i1 = pc.fill_null(idx1, 0).to_numpy(zero_copy_only=False)
+    a1 = pc.fill_null(amp1, 0.0).to_numpy(zero_copy_only=False)
+    by = pc.fill_null(divisor, 1.0).to_numpy(zero_copy_only=False)
     blocks = []
     at = 0
     while at < len(sizes):
@@ -189,7 +197,7 @@ def _scan_udf(waves: pa.Array, divisor: pa.Array, idx1: pa.Array, amp1: pa.Array
 
 
 def scan_wave(wave: Column, path1_idx: Column, path1_amp: Column, divisor: Column | None = None) -> Column:
-    """``struct`` of second path, wave-wide statistics and the tail energies of both paths.
+    """``struct`` of second path, wave-wide statistics and the tail energies of both paths; zeros for null or empty waves.
 
     With ``divisor`` the wave is normalised on the way, as :func:`waves.normalized` would.
     """
@@ -198,8 +206,7 @@ def scan_wave(wave: Column, path1_idx: Column, path1_amp: Column, divisor: Colum
 
 @F.arrow_udf(PEAKS_TYPE)
 def _find_peaks_udf(waves: pa.Array, height: pa.Array, distance: pa.Array, prom: pa.Array) -> pa.Array:
-    values = waves.flatten().to_numpy(zero_copy_only=False)
-    sizes = np.diff(waves.offsets.to_numpy())
+    values, sizes = _flat(waves)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     h = height.to_numpy(zero_copy_only=False).astype(float)
     p = prom.to_numpy(zero_copy_only=False).astype(float)
@@ -211,7 +218,10 @@ def _find_peaks_udf(waves: pa.Array, height: pa.Array, distance: pa.Array, prom:
         differ = np.nonzero((sizes[at:stop] != sizes[at]) | (d[at:stop] != d[at]))[0]
         stop = at + differ[0] if len(differ) else stop
         block = values[starts[at]:starts[stop]].reshape(stop - at, sizes[at])
-        row, pos, pr = peaks_of(block, h[at:stop], int(d[at]), p[at:stop])
+        if sizes[at]:
+            row, pos, pr = peaks_of(block, h[at:stop], int(d[at]), p[at:stop])
+        else:
+            row, pos, pr = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
         counts.append(np.bincount(row, minlength=stop - at))
         idx.append(pos)
         prominence.append(pr)
@@ -226,6 +236,6 @@ def _find_peaks_udf(waves: pa.Array, height: pa.Array, distance: pa.Array, prom:
 
 
 def find_peaks(wave: Column, height: Column, distance: int = 1, prominence: Column | None = None) -> Column:
-    """Peaks of a wave as ``array<struct<idx, prominence>>`` in order of position."""
+    """Peaks of a wave as ``array<struct<idx, prominence>>`` in order of position; none for null or empty waves."""
     floor = F.lit(float("-inf")) if prominence is None else prominence
     return _find_peaks_udf(wave, height.cast("double"), F.lit(int(distance)), floor.cast("double"))

@@ -149,24 +149,24 @@ def silhouette(df: DataFrame, key: str, vec: str, clusters: Sequence[str], sampl
 
 
 def elbow_silhouette(train: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)),
-                     sample_size: int = 10_000, restarts: int = 10, seed: int = S.SEED) -> DataFrame:
-    """``k, inertia, silhouette`` for several k, fitted and scored on one sample of scaled rows.
+                     sample_size: int | None = None, restarts: int = 10, seed: int = S.SEED) -> DataFrame:
+    """``k, inertia, silhouette, n`` for several k, fitted and costed on all scaled rows.
 
-    The sample size is part of the analysis; scaling is fitted on all train rows. The assignments of
-    all k are columns of one table, so costs and distances are each computed in one pass.
+    The silhouette is taken over all rows, or over a reproducible sample of ``sample_size``, as it costs a distance per pair
+    of rows; ``n`` says over how many. The assignments of all k are columns of one table, so costs and distances
+    are each computed in one pass.
     """
     columns = list(columns)
     scaled = apply_scaling(train, scaler_statistics(train, columns))
-    sample = cut_lineage(sampled_subset(scaled, key, sample_size, seed).select(key, *columns))
-    wide = sample
-    for k, (centres, _) in kmeans_fit(sample, columns, list(ks), restarts, seed).items():
+    wide = cut_lineage(scaled.select(key, *columns))
+    for k, (centres, _) in kmeans_fit(wide, columns, list(ks), restarts, seed).items():
         wide = kmeans_assign(wide, columns, centres).withColumnsRenamed({"cluster": f"k{k}", "dist2": f"cost{k}"})
     wide = cut_lineage(wide.withColumn("vec", F.array(*columns)))
     costs = wide.agg(*[F.sum(f"cost{k}").alias(f"k{k}") for k in ks]).unpivot(
         [], [f"k{k}" for k in ks], "labeling", "inertia")
-    quality = silhouette(wide, key, "vec", [f"k{k}" for k in ks])
+    quality = silhouette(wide, key, "vec", [f"k{k}" for k in ks], sample_size, seed)
     return costs.join(quality, "labeling").select(
-        F.substring("labeling", 2, 9).cast("int").alias("k"), "inertia", "silhouette")
+        F.substring("labeling", 2, 9).cast("int").alias("k"), "inertia", "silhouette", "n")
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:

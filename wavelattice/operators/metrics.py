@@ -75,8 +75,12 @@ def classification_report(pred: DataFrame) -> DataFrame:
 
 
 def _running_counts(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Positives and negatives per distinct score, and the same with running counts, highest first."""
-    steps = pred.groupBy("model", "prob").agg(F.sum(F.col("label").cast("bigint")).alias("pos"),
+    """Positives and negatives per distinct score, and the same with running counts, highest first.
+
+    A prediction without a probability has no place among the scores and fails the job.
+    """
+    missing = F.raise_error(F.concat(F.lit("null probability of model "), F.col("model"))).cast("double")
+    steps = pred.withColumn("prob", F.coalesce("prob", missing)).groupBy("model", "prob").agg(F.sum(F.col("label").cast("bigint")).alias("pos"),
                                               F.sum((1 - F.col("label")).cast("bigint")).alias("neg"))
     return steps, prefix_sums(steps, ["model"], "prob", ["pos", "neg"], descending=True)
 
@@ -85,7 +89,7 @@ def _score_steps(pred: DataFrame) -> DataFrame:
     """Running counts per distinct score with the class totals of the model on every row."""
     steps, running = _running_counts(pred)
     totals = steps.groupBy(F.col("model").alias("_m")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return running.join(totals, F.col("model") == F.col("_m")).drop("_m")
+    return running.join(F.broadcast(totals), F.col("model") == F.col("_m")).drop("_m")  # one row per model
 
 
 def roc_curve(pred: DataFrame) -> DataFrame:
@@ -123,7 +127,7 @@ def pr_curve(pred: DataFrame) -> DataFrame:
 def average_precision(pred: DataFrame) -> DataFrame:
     """``model, ap``: precision at each threshold weighted by the recall gained there."""
     _, s = _running_counts(pred)
-    gain = F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
+    gain = F.col("pos").cast("double") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
     return s.groupBy("model").agg(_ratio(F.sum(gain), F.max("cum_pos")).alias("ap"))
 
 

@@ -46,7 +46,7 @@ def attach_weights(df: DataFrame, label: str, kind: str = "balanced_weight",
                    name: str = "weight") -> DataFrame:
     """Add the class weight of every row; the weight table has one row per class."""
     weights = class_weights(df, label).select(F.col("label").alias("_wl"), F.col(kind).alias(name))
-    return df.join(F.broadcast(weights), F.col(label) == F.col("_wl")).drop("_wl")
+    return df.join(F.broadcast(weights), F.col(label).eqNullSafe(F.col("_wl"))).drop("_wl")
 
 
 def centred_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,7 +109,8 @@ def histogram(df: DataFrame, columns: Sequence[str], group: str | None = None, b
     fixed = (F.when(F.col("value") < F.col("lo") + F.col("g") * step, F.col("g") - 1)
              .when((F.col("value") >= F.col("lo") + (F.col("g") + 1) * step) & (F.col("g") < bins - 1),
                    F.col("g") + 1).otherwise(F.col("g")))
-    counted = (long.join(limits, on).withColumn("g", guess).withColumn("bin", fixed.cast("int"))
+    # the limits are one row per variable and class
+    counted = (long.join(F.broadcast(limits), on).withColumn("g", guess).withColumn("bin", fixed.cast("int"))
                .groupBy(*by, "bin", "lo", "hi", "n_all").agg(F.count("*").alias("n")))
     return counted.select(*by, "bin", (F.col("lo") + F.col("bin") * step).alias("left_edge"), "n",
                           (F.col("n") / (F.col("n_all") * step)).alias("density"))

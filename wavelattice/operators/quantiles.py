@@ -44,8 +44,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Sequen
     on_key = F.lit(True)
     for k in keys:
         on_key = on_key & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-    # without keys the cut points are exactly one row
-    joined = src.join(cuts, on_key) if keys else src.join(F.broadcast(cuts))
+    joined = src.join(F.broadcast(cuts), on_key)  # one row per group; without keys exactly one
     ranged = _with_range(joined, "_o", ranges).select(*df.columns, "_o", "_range")
     totals = (ranged.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_range").alias("_t_range"))
               .agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures]))
@@ -54,14 +53,16 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Sequen
     offsets = totals.select(*[f"_t_{k}" for k in keys], "_t_range",
                             *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}")
                               for m in measures])
-    here = (Window.partitionBy(*keys, "_range").orderBy("_o")
+    # doubles are good enough to pick a range, not to order large integers inside it
+    exact = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_first()
+    here = (Window.partitionBy(*keys, "_range").orderBy(exact)
             .rowsBetween(Window.unboundedPreceding, 0))
     inside = ranged.select(*df.columns, "_range",
                            *[F.sum(m).over(here).alias(f"_in_{m}") for m in measures])
     match = F.col("_range") == F.col("_t_range")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    return inside.join(offsets, match).select(
+    return inside.join(F.broadcast(offsets), match).select(  # one row per group and range
         *df.columns, *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures])
 
 

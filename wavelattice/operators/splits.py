@@ -18,8 +18,9 @@ BUCKET_HEX_DIGITS = 3  # 4096 buckets per class
 
 
 def _bucketed(df: DataFrame, key: str, label: str | None, seed: int) -> DataFrame:
-    digest = keyed_digest(F.col(key), seed)
-    cls = F.col(label).cast("string") if label else F.lit("all")
+    digest = F.coalesce(keyed_digest(F.col(key), seed), F.lit(""))
+    # rows without a label are a class of their own
+    cls = F.coalesce(F.col(label).cast("string"), F.lit("\0null")) if label else F.lit("all")
     return df.withColumn("_d", digest).withColumn("_c", cls).withColumn(
         "_b", F.substring("_d", 1, BUCKET_HEX_DIGITS))
 
@@ -72,36 +73,40 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float =
 
 def stratified_folds(df: DataFrame, key: str, label: str | None, k: int = 5, seed: int = S.SEED,
                      name: str = "fold") -> DataFrame:
-    """Add a fold number 0..k-1; fold sizes differ by at most one within every class.
+    """Add a fold number 0..k-1; fold sizes differ by at most one key within every class.
 
-    Only (class, bucket, key) is ordered; the fold joins back on the key, so wide rows move at most
-    once.
+    Only distinct (class, bucket, key) are ordered; the fold joins back on key and class, so wide rows move at most
+    once. Rows that share key and class share the fold; null keys and null labels count as values.
     """
-    bucketed = _bucketed(df.select(key, *([label] if label else [])), key, label, seed)
+    bucketed = _bucketed(df.select(key, *([label] if label else [])).distinct(), key, label, seed)
     offsets = _bucket_offsets(bucketed)
     rank = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_d"))
     placed = bucketed.withColumn("_r", rank).join(offsets.select("_c", "_b", "_before"), ["_c", "_b"])
     fold = ((F.col("_before") + F.col("_r") - 1) % k).cast("int")
-    return df.join(placed.select(F.col(key).alias("_fk"), fold.alias(name)),
-                   F.col(key) == F.col("_fk")).drop("_fk")
+    match = F.col(key).eqNullSafe(F.col("_fk"))
+    if label:
+        match = match & F.col(label).eqNullSafe(F.col("_fl"))
+    placed = placed.select(F.col(key).alias("_fk"), *([F.col(label).alias("_fl")] if label else []), fold.alias(name))
+    return df.join(placed, match).drop("_fk", "_fl")
 
 
 def contiguous_folds(df: DataFrame, order: str, k: int = 3, name: str = "fold") -> DataFrame:
-    """Unshuffled folds: the rows in ``order`` (a unique number) cut into k near-equal runs.
+    """Unshuffled folds: the rows in ``order`` cut into k near-equal runs.
 
-    The first ``n % k`` folds have one row more. Positions come from distributed prefix sums.
+    The first ``n % k`` folds have one row more. Positions come from distributed prefix sums. Rows of equal order (nulls
+    first) share the fold of the first of them.
     """
     from wavelattice.operators.quantiles import prefix_sums
-    ones = df.select(F.col(order).alias("_fk"), F.lit(1).alias("one"))
+    ones = df.groupBy(F.col(order).alias("_fk")).agg(F.count("*").alias("one"))
     placed = prefix_sums(ones, [], "_fk", ["one"])
     total = df.agg(F.count("*").alias("_n"))
-    pos = F.col("cum_one") - 1
+    pos = F.col("cum_one") - F.col("one")
     small = F.floor(F.col("_n") / k)
     extra = F.col("_n") % k
     fold = F.when(pos < extra * (small + 1), F.floor(pos / (small + 1))).otherwise(
         extra + F.floor(F.try_divide(pos - extra * (small + 1), small)))
     folds = placed.join(F.broadcast(total)).select("_fk", fold.cast("int").alias(name))  # one row
-    return df.join(folds, F.col(order) == F.col("_fk")).drop("_fk")
+    return df.join(folds, F.col(order).eqNullSafe(F.col("_fk"))).drop("_fk")
 
 
 def sampled_subset(df: DataFrame, key: str, n: int, seed: int = S.SEED) -> DataFrame:

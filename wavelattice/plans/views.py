@@ -238,6 +238,8 @@ def regp(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for model, by in (("customer_mean", "o_custkey"), ("priority_mean", "o_orderpriority")):
         means = o.groupBy(F.col(by).alias("_g")).agg(F.avg("y").alias("yhat"))
+        if by == "o_orderpriority":
+            means = F.broadcast(means)  # five priorities; customers are many and join by shuffle
         part = o.join(means, F.col(by) == F.col("_g")).select(F.lit(model).alias("model"), "o_orderkey", "y", "yhat")
         out = part if out is None else out.unionByName(part)
     return out

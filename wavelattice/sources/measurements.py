@@ -6,6 +6,7 @@ A file (or a directory of files) is one environment; environments are numbered b
 from __future__ import annotations
 
 import os
+import re
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -14,42 +15,51 @@ from wavelattice import schema as S
 from wavelattice.session import scratch_path
 
 
-MAX_BROADCAST_NAMES = 100_000  # about 10 MB of names
+MAX_BROADCAST_FILES = 100_000  # about 20 MB of paths
 
 
 def _base(path: str) -> str:
     return unquote(os.path.basename(urlparse(path).path))
 
 
+def _plain_scheme(path: str) -> str:
+    """The listing writes ``file:///x``, the row metadata may write ``file:/x``."""
+    return re.sub("^file:/+", "file:/", path)
+
+
 def _with_environment(rows: DataFrame, raw: DataFrame, by: str) -> DataFrame:
-    """Number the environments of ``_env_name`` in the order of their names.
+    """Number the environments in the order of their names.
 
-    The names come from the file listing the reader already holds; no data is scanned. The table of
-    names is broadcast, so the waves are not shuffled, unless the listing is very long.
+    The names come from the file listing the reader already holds; no data is scanned. Rows find theirs by the path of
+    their file, written the same way on both sides; a row whose file is not in the listing fails the job. The table of paths is
+    broadcast, so the waves are not shuffled, unless the listing is very long.
     """
-    names = sorted({_base(f) if by == "file" else _base(os.path.dirname(f)) for f in raw.inputFiles()})
-    env = raw.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_env_name string, ENV_ID int")
-    if len(names) <= MAX_BROADCAST_NAMES:
+    files = raw.inputFiles()
+    name = {f: _base(f) if by == "file" else _base(os.path.dirname(f)) for f in files}
+    number = {n: i for i, n in enumerate(sorted(set(name.values())))}
+    env = raw.sparkSession.createDataFrame([(_plain_scheme(f), number[name[f]]) for f in files], "_listed string, _env int")
+    if len(files) <= MAX_BROADCAST_FILES:
         env = F.broadcast(env)
-    return rows.join(env, "_env_name").drop("_env_name")
+    own = F.regexp_replace("_file", F.lit("^file:/+"), F.lit("file:/"))
+    unknown = F.raise_error(F.concat(F.lit("file is not in the listing: "), F.col("_file"))).cast("int")
+    out = rows.join(env, own == F.col("_listed"), "left")
+    return out.withColumn("ENV_ID", F.coalesce("_env", unknown)).drop("_listed", "_env")
 
 
 def scan_csv(spark: SparkSession, path: str, wave_length: int = S.WAVE_LENGTH, recursive: bool = False,
-             env_by: str = "file") -> DataFrame:
+             env_by: str = "file", on_error: str = "FAILFAST") -> DataFrame:
     """Measurement files below ``path`` with an explicit schema, ``ENV_ID`` and the wave as ``cir``.
 
     ``env_by`` is ``"file"`` (every CSV file is one environment) or ``"directory"`` (every folder of
-    files is one). Nothing is inferred from the data.
+    files is one). Nothing is inferred from the data. A file whose header differs from the schema fails the job, and so
+    does a broken line, unless ``on_error`` is ``"PERMISSIVE"`` (nulls instead) or ``"DROPMALFORMED"``.
     """
     schema = S.raw_csv_schema(wave_length)
-    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", on_error).option("pathGlobFilter", "*.csv")
     raw = reader.option("recursiveFileLookup", "true" if recursive or env_by == "directory" else "false").csv(path)
     waves = F.array(*[F.col(c) for c in S.wave_columns(schema.names)])
     scalars = [c for c in schema.names if c not in set(S.wave_columns(schema.names))]
-    name = (F.col("_metadata.file_name") if env_by == "file"
-            else F.element_at(F.split("_metadata.file_path", "/"), -2))
-    rows = raw.select(*scalars, waves.alias("cir"), F.url_decode(name).alias("_env_name"),
-                      F.col("_metadata.file_path").alias("_file"),
+    rows = raw.select(*scalars, waves.alias("cir"), F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.file_block_start").alias("_block"),
                       F.monotonically_increasing_id().alias("_at"))
     return _with_environment(rows, raw, env_by)
