@@ -138,8 +138,10 @@ def _dealt(batches, bits: int):
 
         if not first.all():  # repeats of an earlier place among the same texts need not travel by gram
             add(int(row[0] % (1 << bits)), b"", b"", row[~first].tobytes(), off[~first].astype(np.int64).tobytes(), True)
-        gram, ctx, row, off = gram[first], ctx[first], row[first], off[first]
-        bucket = (gram >> U64(64 - bits)).astype(np.int64)
+        # anchors are the smallest hashes around, so their own high bits would not spread them
+        bucket = (mix(gram[first]) >> U64(64 - bits)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        bucket, (gram, ctx, row, off) = bucket[by], (x[first][by] for x in (gram, ctx, row, off))
         cut = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         for b in np.flatnonzero(np.diff(cut)):
             i, j = cut[b], cut[b + 1]
