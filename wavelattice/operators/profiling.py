@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from wavelattice.operators.quantiles import exact_quantiles
 
+EXPRESSION_COLUMNS = 24
+
 
 def dataset_profile(df: DataFrame, label: str = "NLOS", env: str = "ENV_ID") -> DataFrame:
     """Row count, class counts, number of environments and the largest environment id."""
@@ -49,13 +54,40 @@ def attach_weights(df: DataFrame, label: str, kind: str = "balanced_weight",
     return df.join(F.broadcast(weights), F.col(label).eqNullSafe(F.col("_wl"))).drop("_wl")
 
 
+def _matrix_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`centred_moments` with one matrix product per batch; a pair is averaged over rows where both are there."""
+    src = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    first = src.agg(*[F.avg(c).alias(c) for c in src.columns]).first()
+    means = np.array([0.0 if x is None else x for x in first])
+    a, b = np.triu_indices(len(columns))
+
+    def run(batches):
+        total, n = np.zeros((len(means),) * 2), np.zeros((len(means),) * 2)
+        for batch in batches:
+            there = np.stack([~np.asarray(pc.is_null(c)) for c in batch.columns], axis=1).astype(float)
+            x = np.stack([np.asarray(pc.fill_null(c, 0.0)) for c in batch.columns], axis=1)
+            x = np.where(there > 0, x - means, 0.0)
+            total += x.T @ x
+            n += there.T @ there
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(total[a, b]), pa.array(n[a, b])],
+                                         names=["i", "j", "total", "n"])
+
+    sums = src.mapInArrow(run, "i int, j int, total double, n double").groupBy("i", "j").agg(
+        F.try_divide(F.sum("total"), F.sum("n")).alias("cov"))
+    names = F.array(*map(F.lit, columns))
+    return sums.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), "cov")
+
+
 def centred_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Population covariance of all column pairs as ``a, b, cov`` (``a`` before or equal to ``b``).
 
     Two passes: means first, then sums of centred products. All pairs are sums in one aggregate,
-    so each task ships a single row.
+    so each task ships a single row; beyond ``EXPRESSION_COLUMNS`` columns that aggregate would have too many expressions
+    to compile, and each task multiplies its rows as a matrix instead.
     """
     columns = list(columns)
+    if len(columns) > EXPRESSION_COLUMNS:
+        return _matrix_moments(df, columns)
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in columns])
     centred = df.join(F.broadcast(means)).select(  # exactly one row of means
         *[(F.col(c).cast("double") - F.col(f"_m_{c}")).alias(c) for c in columns])

@@ -42,10 +42,10 @@ def _(spark, sf):
     return out.withColumn("distance", r(F.col("distance")))
 
 
-@query("eps_neighbor_join", f"{W} SELECT a.vec_id, count(*) AS n_near FROM pts a JOIN pts b ON {dist2('a', 'b')} <= 0.0625 GROUP BY a.vec_id")
+@query("eps_neighbor_join", f"{W} SELECT a.vec_id, count(*) AS n_near FROM pts a JOIN pts b ON {dist2('a', 'b')} <= 1.44 GROUP BY a.vec_id")
 def _(spark, sf):
     cells = neighbors.build_cells(neighbors.collapse_copies(V.pts(spark, sf), "vec_id", "vec"))
-    counts = neighbors.eps_neighbor_counts(cells, 0.25)
+    counts = neighbors.eps_neighbor_counts(cells, 1.2)
     # one count per distinct vector, joined back to all rows that share it
     near = cells.points.join(counts, "pt").select(F.col("vec").alias("_v"), "n_near")
     return V.pts(spark, sf).select("vec_id", "vec").join(near, F.col("vec") == F.col("_v")).select("vec_id", "n_near")
@@ -65,9 +65,9 @@ def _(spark, sf):
 
 # --- clustering --------------------------------------------------------------------------------------
 
-# Example centres, two and three of them.
-CENTRES = [[0.05, 0.05, -0.05, -0.05, 0.05, 0.0, 0.05, 0.0], [-0.05, -0.05, 0.05, 0.05, 0.0, 0.05, -0.05, 0.05],
-           [0.1, -0.1, 0.1, -0.1, 0.1, -0.1, 0.1, -0.1]]
+# Example centres, two and three of them; the pattern repeats along the dimensions.
+CENTRES = [pattern * (len(X) // 8) for pattern in ([0.05, 0.05, -0.05, -0.05, 0.05, 0.0, 0.05, 0.0], [-0.05, -0.05, 0.05, 0.05, 0.0, 0.05, -0.05, 0.05],
+           [0.1, -0.1, 0.1, -0.1, 0.1, -0.1, 0.1, -0.1])]
 
 
 def assigned_sql(n: int) -> str:
@@ -118,7 +118,7 @@ def _(spark, sf):
     return clustering.adjusted_rand(assigned(spark, sf, 3), "y", "cluster").select(r(F.col("ari")).alias("ari"))
 
 
-EPS, MIN_ROWS = 0.25, 10
+EPS, MIN_ROWS = 1.2, 10
 DBSCAN = f"""near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM pts a JOIN pts b ON {dist2('a', 'b')} <= {EPS * EPS}),
   core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {MIN_ROWS}),
   edge AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
@@ -188,9 +188,9 @@ def _(spark, sf):
         F.lit(float(model["explained"][1])).alias("explained2"))
 
 
-@query("covariance", f"{W} " + " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, {rnd(f'covar_pop({a}, {b})', 9)} AS cov FROM pts"
-    for i, a in enumerate(X) for b in X[i:]))
+@query("covariance", f"""{W}, l AS (SELECT vec_id, unnest(range(1, len(vec) + 1)) AS i, unnest(vec) AS v FROM pts)
+  SELECT 'x' || a.i AS a, 'x' || b.i AS b, {rnd('covar_pop(a.v, b.v)', 9)} AS cov
+  FROM l a JOIN l b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""")
 def _(spark, sf):
     return profiling.centred_moments(V.pts(spark, sf), X).withColumn("cov", r(F.col("cov"), 9))
 

@@ -3,7 +3,7 @@
 ``sig``      measurements: the embedding vectors taken as waves, scalars derived from the id
 ``pred``     predictions of three pseudo-models for the labelled documents
 ``regp``     predictions of two pseudo-regressors for order prices
-``pts``      the first eight embedding dimensions as points
+``pts``      the embeddings as points
 ``scal``     numeric line item columns, some values missing
 ``epochs``   loss traces of 50 epochs each, cut from the event stream
 """
@@ -16,7 +16,7 @@ from wavelattice.functions.scalars import keyed_uniform, predicted_class
 from wavelattice.operators.cleaning import drop_degenerate, normalize_wave
 
 WAVE_LENGTH = 64
-DIMS = 8
+DIMS = 64
 POINT_COLUMNS = [f"x{i}" for i in range(1, DIMS + 1)]
 MODELS = ["length_linear", "length_logistic", "coin"]
 
@@ -255,7 +255,7 @@ regp AS (
 
 def pts(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
-    vec = F.transform(F.slice("embedding", 1, DIMS), lambda x: x.cast("double"))
+    vec = F.transform("embedding", lambda x: x.cast("double"))
     return e.select("vec_id", (F.col("label") >= 5).cast("int").alias("y"),
                     (F.col("label") >= 7).cast("int").alias("rare"), F.col("label").alias("digit"), vec.alias("vec"),
                     *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(POINT_COLUMNS)])
@@ -263,7 +263,7 @@ def pts(spark: SparkSession, sf: str) -> DataFrame:
 
 PTS = f"""pts AS (
   SELECT vec_id, CAST(label >= 5 AS INTEGER) AS y, CAST(label >= 7 AS INTEGER) AS rare, label AS digit,
-         list_transform(embedding[1:{DIMS}], lambda x: CAST(x AS DOUBLE)) AS vec,
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec,
          {', '.join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS {c}' for i, c in enumerate(POINT_COLUMNS))}
   FROM embeddings)"""
 
