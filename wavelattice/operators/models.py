@@ -26,7 +26,7 @@ from wavelattice.functions.scalars import predicted_class
 from wavelattice.functions.waves import bind
 from wavelattice.operators.profiling import attach_weights
 from wavelattice.operators.splits import apply_scaling, scaler_statistics, stratified_folds
-from wavelattice.session import concurrently
+from wavelattice.session import concurrently, cut_lineage
 
 
 @dataclass
@@ -328,7 +328,7 @@ def fit_waveform_nn(train: DataFrame, scalars: Sequence[str], wave: str = "cir",
 def cross_val_predict(fitted: Fitted, train: DataFrame, key: str, label: str = "label", folds: int = 5,
                       seed: int = S.SEED, parallelism: int = 8) -> DataFrame:
     """Out-of-fold predictions: every train row scored by a model that never saw it."""
-    folded = stratified_folds(train, key, label, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = cut_lineage(stratified_folds(train, key, label, folds, seed))
 
     def run(f):
         return fitted.refit(folded.filter(F.col("fold") != f)).predict(folded.filter(F.col("fold") == f), [key], label)

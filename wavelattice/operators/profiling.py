@@ -188,7 +188,7 @@ def error_by_bin(df: DataFrame, columns: Sequence[str], correct: str, bins: int
 def iqr_outliers(df: DataFrame, columns: Sequence[str], label: str, whisker: float = 1.5) -> DataFrame:
     """Tukey outliers per column: fences, count, share of rows and class-1 share among them.
 
-    A last row, ``any``, counts the rows that are outliers in at least one column.
+    A last row, ``any``, counts the rows that are outliers in at least one column. Nulls and NaN are no outliers.
     """
     columns = list(columns)
     q = exact_quantiles(df, columns, [0.25, 0.75])
@@ -203,7 +203,8 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], label: str, whisker: flo
 
     def outside(c):
         f = F.col("_f")[c]
-        return F.coalesce((F.col(c) < f["low"]) | (F.col(c) > f["high"]), F.lit(False))
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN is missing, not the largest number
+        return F.coalesce((x < f["low"]) | (x > f["high"]), F.lit(False))
 
     flags = joined.select("_f", F.col(label).cast("int").alias("_y"),
                           *[outside(c).alias(c) for c in columns])

@@ -193,16 +193,16 @@ def _(spark, sf):
 @query("iqr_outlier_report", "WITH " + V.SCAL + ", q AS (SELECT " + ", ".join(
     f"quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lo_{c}, "
     f"quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS hi_{c}"
-    for c in ("price", "tax", "line")) + " FROM scal), f AS (SELECT returned, " + ", ".join(
-    f"({c} < lo_{c} OR {c} > hi_{c}) AS o_{c}, lo_{c}, hi_{c}" for c in ("price", "tax", "line")) + " FROM scal, q) " +
+    for c in V.SCALAR_COLUMNS) + " FROM scal), f AS (SELECT returned, " + ", ".join(
+    f"coalesce({c} < lo_{c} OR {c} > hi_{c}, false) AS o_{c}, lo_{c}, hi_{c}" for c in V.SCALAR_COLUMNS) + " FROM scal, q) " +
        " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {lo} AS low, {hi} AS high, count_if({o})::BIGINT AS n_outliers, "
     f"{rnd(f'100.0 * count_if({o}) / count(*)')} AS pct_outliers, "
     f"CASE WHEN count_if({o}) > 0 THEN {rnd(f'100.0 * count_if({o} AND returned = 1) / count_if({o})')} END AS pct_positive FROM f"
-    for c, lo, hi, o in [*((c, rnd(f"any_value(lo_{c})"), rnd(f"any_value(hi_{c})"), f"o_{c}") for c in ("price", "tax", "line")),
-                         ("any", "NULL::DOUBLE", "NULL::DOUBLE", "(o_price OR o_tax OR o_line)")]))
+    for c, lo, hi, o in [*((c, rnd(f"any_value(lo_{c})"), rnd(f"any_value(hi_{c})"), f"o_{c}") for c in V.SCALAR_COLUMNS),
+                         ("any", "NULL::DOUBLE", "NULL::DOUBLE", "(" + " OR ".join(f"o_{c}" for c in V.SCALAR_COLUMNS) + ")")]))
 def _(spark, sf):
-    return _r(profiling.iqr_outliers(V.scal(spark, sf), ["price", "tax", "line"], "returned"),
+    return _r(profiling.iqr_outliers(V.scal(spark, sf), V.SCALAR_COLUMNS, "returned"),
               "low", "high", "pct_outliers", "pct_positive")
 
 
@@ -308,10 +308,9 @@ def _(spark, sf):
 
 # --- scalar functions and loss traces ------------------------------------------------------------
 
-@query("label_smoothing", f"{P} SELECT doc_id, {rnd('label * 0.95 + 0.025')} AS smooth FROM docs")
+@query("label_smoothing", f"{P} SELECT model, doc_id, {rnd('label * 0.95 + 0.025')} AS smooth FROM pred")
 def _(spark, sf):
-    one = V.pred(spark, sf).filter(F.col("model") == V.MODELS[0])
-    return one.select("doc_id", r(scalars.smoothed_label(F.col("label"))).alias("smooth"))
+    return V.pred(spark, sf).select("model", "doc_id", r(scalars.smoothed_label(F.col("label"))).alias("smooth"))
 
 
 @query("stable_sigmoid", f"SELECT event_id, {rnd('CASE WHEN value >= 200 THEN 1 / (1 + exp(-(value - 200))) ELSE exp(value - 200) / (1 + exp(value - 200)) END', 9)} AS p FROM events")

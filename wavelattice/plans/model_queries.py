@@ -164,7 +164,7 @@ def _split_pts(spark, sf) -> DataFrame:
 @query("kmeans_k2")
 def _(spark, sf):
     rows = cut_lineage(splits.standard_scale(_split_pts(spark, sf), X))
-    centres, _ = clustering.kmeans_fit(rows.filter(F.col("split") == "train"), X, 2, restarts=4)
+    centres, _ = clustering.kmeans_fit(rows.filter(F.col("split") == "train"), X, 2)
     labelled = clustering.kmeans_assign(rows, X, centres)
     mapping = clustering.cluster_label_map(labelled.filter(F.col("split") == "test"), "cluster", "y")
     mapped = clustering.apply_label_map(labelled, mapping)
@@ -176,7 +176,7 @@ def _(spark, sf):
 
 @query("elbow_silhouette")
 def _(spark, sf):
-    return clustering.elbow_silhouette(_split_pts(spark, sf).filter(F.col("split") == "train"), "vec_id", X, restarts=2)
+    return clustering.elbow_silhouette(_split_pts(spark, sf).filter(F.col("split") == "train"), "vec_id", X)
 
 
 @query("pca_2d")
@@ -221,10 +221,6 @@ def _(spark, sf):
 
 # --- trained models: quality tables -------------------------------------------------------------------
 
-FAST = ["p_path_idx", "p_path_amp", "p_kurtosis_local", "p_energy_ratio", "p_rms_delay_spread", "p_mean_excess_delay",
-        "p_max_to_mean", "p_tail_energy_ratio", "STDEV_NOISE", "path_delay_separation"]
-
-
 def study(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Train and test rows of the expanded feature table; both paths of a measurement share the split."""
     split = splits.stratified_split(drop_degenerate(V.sig(spark, sf)), "sample_id", "NLOS")
@@ -266,7 +262,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, test = study(spark, sf)
     grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
-    fitted = models.fit_grid("random_forest", models.forest(), grid, train, FAST, "row_id", folds=3)
+    fitted = models.fit_grid("random_forest", models.forest(), grid, train, S.FEATURES, "row_id", folds=3)
     rows = [(p["numTrees"], p["maxDepth"], s, p == fitted.params["best"]) for p, s in fitted.params["scores"]]
     return spark.createDataFrame(rows, "trees int, depth int, f1_weighted double, chosen boolean")
 
@@ -274,14 +270,14 @@ def _(spark, sf):
 @query("cross_val_predict")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    fitted = models.fit_forest(train, FAST, trees=5, depth=4)
+    fitted = models.fit_forest(train, S.FEATURES, trees=5, depth=4)
     return models.cross_val_predict(fitted, train, "row_id", folds=3)
 
 
 @query("ensemble_stacked")
 def _(spark, sf):
     train, test = study(spark, sf)
-    base = [models.fit_forest(train, FAST, trees=5, depth=4), models.fit_gbt(train, FAST, iters=3, depth=3)]
+    base = [models.fit_forest(train, S.FEATURES, trees=5, depth=4), models.fit_gbt(train, S.FEATURES, iters=3, depth=3)]
     stacked = models.fit_stacked(base, train, "row_id", folds=3)
     long = models.predict_all([*base, stacked], test, KEYS)
     return metrics.model_summary_table(long)
@@ -290,7 +286,7 @@ def _(spark, sf):
 @query("rfecv")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    found = models.rfecv(train, FAST[:5], "row_id", estimator=models.forest(5, 4), folds=3)
+    found = models.rfecv(train, S.FEATURES, "row_id", estimator=models.forest(5, 4), folds=3)
     return spark.createDataFrame([(n, float(s), n == found["best"]) for n, s in found["curve"].items()],
                                  "n_features int, score double, chosen boolean")
 
@@ -298,7 +294,7 @@ def _(spark, sf):
 @query("rfe_rank_top")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    found = models.rfecv(train, FAST[:5], "row_id", estimator=models.forest(5, 4), folds=3)
+    found = models.rfecv(train, S.FEATURES, "row_id", estimator=models.forest(5, 4), folds=3)
     return spark.createDataFrame(list(found["ranking"].items()), "feature string, rank int").orderBy("rank", "feature").limit(10)
 
 
@@ -319,29 +315,29 @@ def _(spark, sf):
 @query("model_complexity")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    return models.model_complexity(spark, [models.fit_forest(train, FAST, trees=5, depth=4),
-                                           models.fit_gbt(train, FAST, iters=3, depth=3),
-                                           models.fit_logistic(train, FAST, max_iter=50)])
+    return models.model_complexity(spark, [models.fit_forest(train, S.FEATURES, trees=5, depth=4),
+                                           models.fit_gbt(train, S.FEATURES, iters=3, depth=3),
+                                           models.fit_logistic(train, S.FEATURES, max_iter=50)])
 
 
 @query("permutation_importance")
 def _(spark, sf):
     train, test = study(spark, sf)
-    return explain.permutation_importance(models.fit_forest(train, FAST, trees=10, depth=5), test, "row_id")
+    return explain.permutation_importance(models.fit_forest(train, S.FEATURES, trees=10, depth=5), test, "row_id")
 
 
 @query("tree_shap_importance")
 def _(spark, sf):
     train, test = study(spark, sf)
-    return explain.tree_shap_importance(test, models.fit_forest(train, FAST, trees=10, depth=5))
+    return explain.tree_shap_importance(test, models.fit_forest(train, S.FEATURES, trees=10, depth=5))
 
 
 @query("rf_on_smote")
 def _(spark, sf):
     train, test = study(spark, sf)
-    plain = models.fit_forest(train, FAST, trees=10, depth=6)
-    more = augment.with_smote(train, "row_id", FAST, "label", 0.5, 5)
-    again = models.fit_forest(cut_lineage(more), FAST, trees=10, depth=6)
+    plain = models.fit_forest(train, S.FEATURES, trees=10, depth=6)
+    more = augment.with_smote(train, "row_id", S.FEATURES, "label", 0.5, 5)
+    again = models.fit_forest(cut_lineage(more), S.FEATURES, trees=10, depth=6)
     before = metrics.metric_table(plain.predict(test, KEYS))
     return metrics.metric_delta(before, metrics.metric_table(again.predict(test, KEYS)))
 

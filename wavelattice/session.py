@@ -21,6 +21,8 @@ def build_session(app: str = "wavelattice", master: str | None = None, **conf) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # checkpoints go once nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # One wave of 1016 doubles is 8 KB: 2048 rows keep a batch near 16 MB.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     }
