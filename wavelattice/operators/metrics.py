@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wavelattice.functions.scalars import predicted_class
 from wavelattice.operators.profiling import histogram
 from wavelattice.operators.quantiles import prefix_sums
+from wavelattice.session import cut_lineage
 
 _CELLS = [("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1)]
 
@@ -77,27 +78,30 @@ def classification_report(pred: DataFrame) -> DataFrame:
 def _running_counts(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Positives and negatives per distinct score, and the same with running counts, highest first.
 
-    A prediction without a probability has no place among the scores and fails the job.
+    A prediction without a probability has no place among the scores and fails the job. The distinct scores are written
+    once, as cut points, running sums and totals all read them.
     """
     missing = F.raise_error(F.concat(F.lit("null probability of model "), F.col("model"))).cast("double")
     steps = pred.withColumn("prob", F.coalesce("prob", missing)).groupBy("model", "prob").agg(F.sum(F.col("label").cast("bigint")).alias("pos"),
                                               F.sum((1 - F.col("label")).cast("bigint")).alias("neg"))
+    steps = cut_lineage(steps)
     return steps, prefix_sums(steps, ["model"], "prob", ["pos", "neg"], descending=True)
 
 
-def _score_steps(pred: DataFrame) -> DataFrame:
-    """Running counts per distinct score with the class totals of the model on every row."""
+def _score_steps(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Running counts per distinct score with the class totals of the model on every row, and the models."""
     steps, running = _running_counts(pred)
     totals = steps.groupBy(F.col("model").alias("_m")).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return running.join(F.broadcast(totals), F.col("model") == F.col("_m")).drop("_m")  # one row per model
+    # one row per model
+    return running.join(F.broadcast(totals), F.col("model") == F.col("_m")).drop("_m"), totals.select(F.col("_m").alias("model"))
 
 
 def roc_curve(pred: DataFrame) -> DataFrame:
     """``model, threshold, fpr, tpr``; the origin has the threshold infinity. All points are kept."""
-    s = _score_steps(pred).select("model", F.col("prob").alias("threshold"),
-                                  _ratio(F.col("cum_neg"), F.col("n_neg")).alias("fpr"),
-                                  _ratio(F.col("cum_pos"), F.col("n_pos")).alias("tpr"))
-    origin = pred.select("model").distinct().select(
+    steps, models = _score_steps(pred)
+    s = steps.select("model", F.col("prob").alias("threshold"), _ratio(F.col("cum_neg"), F.col("n_neg")).alias("fpr"),
+                     _ratio(F.col("cum_pos"), F.col("n_pos")).alias("tpr"))
+    origin = models.select(
         "model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(s)
 
@@ -116,10 +120,11 @@ def auc_trapezoid(pred: DataFrame) -> DataFrame:
 
 def pr_curve(pred: DataFrame) -> DataFrame:
     """``model, threshold, precision, recall``, with the final point (1, 0) at threshold infinity."""
-    s = _score_steps(pred).select("model", F.col("prob").alias("threshold"),
-                                  _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-                                  _ratio(F.col("cum_pos"), F.col("n_pos")).alias("recall"))
-    end = pred.select("model").distinct().select(
+    steps, models = _score_steps(pred)
+    s = steps.select("model", F.col("prob").alias("threshold"),
+                     _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
+                     _ratio(F.col("cum_pos"), F.col("n_pos")).alias("recall"))
+    end = models.select(
         "model", F.lit(float("inf")).alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return end.unionByName(s)
 

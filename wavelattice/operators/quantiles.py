@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wavelattice.session import cut_lineage
+
 RANGES = 64  # a power of two
 
 
@@ -82,7 +84,6 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                       *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     asked = [(i, c, p, rough[f"q{i}"][2 * j], rough[f"q{i}"][2 * j + 1])
              for i, c in enumerate(columns) if rough[f"n{i}"] for j, p in enumerate(probs)]
-    schema = "_c string, prob double, lo double, hi double, before long, rank double"
     brackets = []
     if asked:
         counts = plain.agg(*[F.count_if(F.col(c) < lo).alias(f"b{k}") for k, (_, c, _, lo, _) in enumerate(asked)],
@@ -93,11 +94,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                 brackets.append((c, float(p), lo, hi, counts[f"b{k}"], rank))
             else:  # never narrower than the answer
                 brackets.append((c, float(p), float("-inf"), float("inf"), 0, rank))
-    table = df.sparkSession.createDataFrame(brackets, schema)
-    long = plain.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
-    # len(columns) * len(probs) rows
-    inside = long.join(F.broadcast(table), (F.col("column") == F.col("_c")) & F.col("value").between(F.col("lo"), F.col("hi")))
-    values = inside.groupBy("column", "prob", "before", "rank", "value").agg(F.count("*").alias("n"))
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, prob double, q_value double")
+    hits = [F.when(F.col(c).between(lo, hi), F.struct(
+        F.lit(c).alias("column"), F.lit(p).alias("prob"), F.lit(before).cast("bigint").alias("before"),
+        F.lit(float(rank)).alias("rank"), F.col(c).alias("value"))) for c, p, lo, hi, before, rank in brackets]
+    inside = plain.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+    # a few values per bracket, read several times below
+    values = cut_lineage(inside.groupBy("column", "prob", "before", "rank", "value").agg(F.count("*").alias("n")))
     running = prefix_sums(values, ["column", "prob"], "value", ["n"], ranges=16)
     upto = F.col("before") + F.col("cum_n")
     hits = running.filter((upto > F.floor("rank")) & (upto - F.col("n") <= F.ceil("rank")))
