@@ -320,12 +320,21 @@ def _(spark, sf):
     return _digest(scaled, F.col("a"), "sample_id").drop("n")
 
 
-@query("aug_noise")
+@query("aug_noise", f"""WITH {V.CLEAN}, s AS (SELECT sample_id, count(*) AS n, stddev_pop(x) AS sd, sum(x * x) AS e FROM wave GROUP BY sample_id)
+  SELECT sample_id, n, {rnd('e', 4)} AS energy, {rnd('n * (0.08 * greatest(sd, 1e-8)) * (0.08 * greatest(sd, 1e-8))', 6)} AS expected_noise,
+    true AS noise_as_expected FROM s""")
 def _(spark, sf):
+    # the noise itself has no SQL form: its energy must follow the wave's own deviation (chi-square, six deviations wide)
     noisy = V.clean(spark, sf).withColumn("noisy", augment.noise(F.col("cir"), F.col("sample_id"), 0.08))
-    diff = F.zip_with("noisy", "cir", lambda a, b: a - b)
-    return noisy.select("sample_id", F.aggregate(diff, F.lit(0.0), lambda a, x: a + x * x).alias("noise_energy"),
-                        W.energy(F.col("cir")).alias("energy"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    n, x = F.size("cir"), F.col("cir")
+    mean = total(x) / n
+    spread = F.greatest(F.sqrt(total(F.transform(x, lambda v: (v - mean) * (v - mean))) / n), F.lit(1e-8)) * 0.08
+    energy = total(F.transform(F.zip_with("noisy", "cir", lambda a, b: a - b), lambda d: d * d))
+    ratio = energy / (n * spread * spread)
+    return noisy.select("sample_id", n.cast("bigint").alias("n"), r(W.energy(x), 4).alias("energy"),
+                        r(n * spread * spread, 6).alias("expected_noise"),
+                        (F.abs(ratio - 1) <= 6 * F.sqrt(F.lit(2.0) / n)).alias("noise_as_expected"))
 
 
 @query("augment_waveforms", f"""WITH {V.CLEAN} SELECT aug_round::INTEGER AS aug_round, nlos, count(*) AS n
