@@ -365,7 +365,7 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """``row, lo, hi``: ranges of starts of windows that also start earlier, from ``_row`` (unique, in order) and ``_t``."""
     spark = rows.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
-    bits = max(6, min(16, (parts - 1).bit_length()))
+    bits = max(6, min(20, (parts - 1).bit_length()))
     dealt = rows.mapInArrow(lambda b: _dealt(b, bits), "bucket int, gram binary, ctx binary, row binary, off binary, done boolean")
     found = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
         lambda b: _sorted_out(b, hot), "row bigint, off bigint, gram bigint, kind tinyint")
