@@ -279,6 +279,31 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs_of(spark, []), bench).collect() == [] == decontam.contaminated(docs_of(spark, rows), bench.limit(0)).collect()
 
 
+def brute_passage(same):
+    n = len(same)
+    return any(5 * sum(same[i:j]) >= 4 * (j - i) for i in range(n) for j in range(i + 13, n + 1))
+
+
+def test_decontamination_of_partial_passages_with_substitutions():
+    item = [f"w{i}x" for i in range(60)]
+    swapped = lambda n, at: ["zzz" if i in at else w for i, w in enumerate(item[:n])]
+    seeds = decontam.Seeds([7], [" ".join(item)])
+
+    def found(words):
+        data = " ".join(["q"] * 15 + words + ["q"] * 15).encode()
+        return seeds.overlaps(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+
+    for words, matched, aligned in ((swapped(20, {4, 17}), 18, 20), (swapped(30, set(range(4, 30, 5))), 24, 29), (swapped(16, {13}), 15, 16)):
+        assert found(words) == [{"item_id": 7, "matched": matched, "aligned": aligned, "start": 15}]
+    assert found(swapped(30, set(range(2, 30, 3)))) == [] == found(item[:10])
+    rng = random.Random(21)
+    for _ in range(300):
+        n = rng.randrange(11, 36)
+        same = [rng.random() < 0.8 for _ in range(n)]
+        hits = found([w if s else "zzz" for w, s in zip(item, same)])
+        assert bool(hits) == brute_passage(same + [False] * (60 - n)), same
+
+
 # --- pipeline
 
 def test_pipeline_stages(spark, tmp_path):
