@@ -138,3 +138,45 @@ def test_tree_attributions_are_shapley_values(spark, data):
                 assert got[r["id"]][j] == pytest.approx(want, abs=1e-9)
         imp = {r["feature"]: r["mean_abs_shap"] for r in explain.tree_shap_importance(test, fit).collect()}
         assert max(imp, key=imp.get) == "a"
+
+
+def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
+    from wavelattice.plans import catalog, model_queries
+
+    class Asked(Exception):
+        pass
+
+    def asked(name, *places):
+        def stop(*args, **options):
+            seen.append((name, *[args[i] if isinstance(i, int) else options.get(i) for i in places]))
+            raise Asked
+        return stop
+
+    seen = []
+    rows = data[0].select(F.col("id").alias("row_id"), F.col("id").alias("sample_id"), "label", "split", F.lit(1).alias("path_id"),
+                          F.col("a").alias("range_m"), *[F.col("b").alias(c) for c in model_queries.S.FEATURES])
+    monkeypatch.setattr(model_queries, "study", lambda spark, sf: (rows, rows))
+    monkeypatch.setattr(models, "grid_search", asked("grid", 1, 4))
+
+    def wanted(name):
+        seen.clear()
+        with pytest.raises(Asked):
+            catalog.QUERIES[name](spark, "")
+        return seen[0]
+
+    assert wanted("grid_search") == ("grid", models.FOREST_GRID, 5)
+    assert wanted("reg_path1") == wanted("reg_random_forest") == ("grid", models.FOREST_REG_GRID, 3)
+    assert wanted("reg_gbt") == ("grid", models.GBT_REG_GRID, 3) and wanted("reg_xgb") == ("grid", models.BOOST_REG_GRID, 3)
+    monkeypatch.setattr(models, "boosted", asked("boosted", 0, 1))
+    assert wanted("clf_gbt") == ("boosted", 200, 4) and wanted("clf_xgb") == ("boosted", 200, 6)
+    monkeypatch.undo()
+    monkeypatch.setattr(model_queries, "study", lambda spark, sf: (rows, rows))
+    monkeypatch.setattr(models, "RandomForestClassifier", asked("trees", "numTrees", "maxDepth"))
+    for name in ("clf_random_forest", "rfecv", "rfe_rank_top", "cross_val_predict", "ensemble_stacked", "model_complexity",
+                 "permutation_importance", "tree_shap_importance", "rf_on_smote", "feature_importance_topk"):
+        assert wanted(name) == ("trees", 300, 20), name
+    monkeypatch.setattr(models, "fourier_features", asked("kernel", 3))
+    assert wanted("clf_svm_rbf") == wanted("svm_grid") == ("kernel", 256)
+    monkeypatch.setattr(models, "fit_svm_grid", asked("svm", 4, 5))
+    monkeypatch.setattr(models, "fit_logistic", lambda *a: None)
+    assert wanted("train_classifiers") == ("svm", models.SVM_GRID, 5)

@@ -500,10 +500,11 @@ def linear_score(df: DataFrame, model: dict, name: str = "yhat") -> DataFrame:
 
 
 def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str], key: str, target: str = "range_m",
-                     grids: dict | None = None, folds: int = 3, parallelism: int = 8, seed: int = S.SEED) -> DataFrame:
+                     grids: dict | None = None, folds: int = 3, parallelism: int = 8, seed: int = S.SEED,
+                     only: Sequence[str] = ("ridge", "random_forest", "gbt", "boost")) -> DataFrame:
     """Ridge, forest and two boosted regressors; returns ``model, <key>, y, yhat`` for the test rows.
 
-    Trees search their grids by mean squared error over unshuffled folds.
+    ``only`` names the ones to fit. Trees search their grids by mean squared error over unshuffled folds.
     """
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
@@ -512,17 +513,20 @@ def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str],
     grids = {"random_forest": FOREST_REG_GRID, "gbt": GBT_REG_GRID, "boost": BOOST_REG_GRID, **(grids or {})}
     y = F.col(target).cast("double").alias("y")
     train = train.select(key, *columns, y).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = linear_score(test.select(key, *columns, y), fit_ridge(train, columns, "y"), "_p_ridge")
+    scored = test.select(key, *columns, y)
+    if "ridge" in only:
+        scored = linear_score(scored, fit_ridge(train, columns, "y"), "_p_ridge")
     ready = assemble(contiguous_folds(train, key, folds), columns).select(
         "features", F.col("y").alias("label"), "fold")
     estimators = {"random_forest": RandomForestRegressor(seed=seed), "gbt": GBTRegressor(seed=seed),
                   "boost": GBTRegressor(seed=seed, subsamplingRate=0.8)}
+    estimators = {name: est for name, est in estimators.items() if name in only}
     scored = assemble(scored, columns)
     for name, est in estimators.items():
         found = grid_search(est, grids[name], ready, RegressionEvaluator(metricName="mse"), folds, parallelism)
         scored = found.model.setPredictionCol(f"_p_{name}").transform(scored)
     train.unpersist()
-    names = ["ridge", *estimators]
+    names = [m for m in ("ridge", *estimators) if m in only]
     rows = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_p_{m}").alias("yhat")) for m in names])
     return scored.select(key, "y", F.explode(rows).alias("r")).select("r.model", key, "y", "r.yhat")
 

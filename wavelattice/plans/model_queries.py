@@ -226,9 +226,12 @@ def study(spark, sf) -> tuple[DataFrame, DataFrame]:
     split = splits.stratified_split(drop_degenerate(V.sig(spark, sf)), "sample_id", "NLOS")
     rows = measurement_features(split, keys=("sample_id", "env_id", "split"))
     rows = cut_lineage(rows.withColumn("row_id", F.col("sample_id") * 2 + F.col("path_id")))
+    rows = rows.coalesce(1 + rows.count() // FIT_ROWS)  # a fit is thousands of jobs: few tasks each
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
 
 
+#: Rows of a task of a model fit.
+FIT_ROWS = 10_000
 KEYS = ["sample_id", "path_id", "env_id"]
 
 
@@ -244,10 +247,18 @@ def _classifier(name: str, fit) -> None:
 
 
 _classifier("clf_logistic", lambda t: models.fit_logistic(t, S.FEATURES, max_iter=200))
-_classifier("clf_svm_rbf", lambda t: models.fit_svm_rbf(t, S.FEATURES, size=128, max_iter=20))
-_classifier("clf_random_forest", lambda t: models.fit_forest(t, S.FEATURES, trees=20, depth=8))
-_classifier("clf_gbt", lambda t: models.fit_gbt(t, S.FEATURES, iters=8, depth=3))
-_classifier("clf_xgb", lambda t: models.fit_boost(t, S.FEATURES, iters=8, depth=3))
+_classifier("clf_svm_rbf", lambda t: models.fit_svm_rbf(t, S.FEATURES))
+_classifier("clf_random_forest", lambda t: models.fit_forest(t, S.FEATURES))
+_classifier("clf_gbt", lambda t: models.fit_gbt(t, S.FEATURES))
+_classifier("clf_xgb", lambda t: models.fit_boost(t, S.FEATURES))
+_classifier("svm_grid", lambda t: models.fit_svm_grid(t, S.FEATURES, "row_id"))
+
+
+@query("train_classifiers")
+def _(spark, sf):
+    train, test = study(spark, sf)
+    found = models.train_classifiers(train, S.FEATURES, "row_id")
+    return metrics.model_summary_table(models.predict_all(list(found.values()), test, KEYS))
 
 
 @query("clf_waveform_nn")
@@ -261,24 +272,22 @@ def _(spark, sf):
 @query("grid_search")
 def _(spark, sf):
     train, test = study(spark, sf)
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
-    fitted = models.fit_grid("random_forest", models.forest(), grid, train, S.FEATURES, "row_id", folds=3)
-    rows = [(p["numTrees"], p["maxDepth"], s, p == fitted.params["best"]) for p, s in fitted.params["scores"]]
-    return spark.createDataFrame(rows, "trees int, depth int, f1_weighted double, chosen boolean")
+    fitted = models.fit_grid("random_forest", models.forest(), models.FOREST_GRID, train, S.FEATURES, "row_id")
+    rows = [(p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], s, p == fitted.params["best"]) for p, s in fitted.params["scores"]]
+    return spark.createDataFrame(rows, "trees int, depth int, leaf int, f1_weighted double, chosen boolean")
 
 
 @query("cross_val_predict")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    fitted = models.fit_forest(train, S.FEATURES, trees=5, depth=4)
-    return models.cross_val_predict(fitted, train, "row_id", folds=3)
+    return models.cross_val_predict(models.fit_forest(train, S.FEATURES), train, "row_id")
 
 
 @query("ensemble_stacked")
 def _(spark, sf):
     train, test = study(spark, sf)
-    base = [models.fit_forest(train, S.FEATURES, trees=5, depth=4), models.fit_gbt(train, S.FEATURES, iters=3, depth=3)]
-    stacked = models.fit_stacked(base, train, "row_id", folds=3)
+    base = [models.fit_forest(train, S.FEATURES), models.fit_gbt(train, S.FEATURES)]
+    stacked = models.fit_stacked(base, train, "row_id")
     long = models.predict_all([*base, stacked], test, KEYS)
     return metrics.model_summary_table(long)
 
@@ -286,7 +295,7 @@ def _(spark, sf):
 @query("rfecv")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    found = models.rfecv(train, S.FEATURES, "row_id", estimator=models.forest(5, 4), folds=3)
+    found = models.rfecv(train, S.FEATURES, "row_id")
     return spark.createDataFrame([(n, float(s), n == found["best"]) for n, s in found["curve"].items()],
                                  "n_features int, score double, chosen boolean")
 
@@ -294,7 +303,7 @@ def _(spark, sf):
 @query("rfe_rank_top")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    found = models.rfecv(train, S.FEATURES, "row_id", estimator=models.forest(5, 4), folds=3)
+    found = models.rfecv(train, S.FEATURES, "row_id")
     return spark.createDataFrame(list(found["ranking"].items()), "feature string, rank int").orderBy("rank", "feature").limit(10)
 
 
@@ -309,77 +318,57 @@ def _(spark, sf):
 @query("feature_importance_topk")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    return models.feature_importance_topk(spark, models.fit_forest(train, S.FEATURES, trees=10, depth=5), 20)
+    return models.feature_importance_topk(spark, models.fit_forest(train, S.FEATURES), 20)
 
 
 @query("model_complexity")
 def _(spark, sf):
     train, _ = study(spark, sf)
-    return models.model_complexity(spark, [models.fit_forest(train, S.FEATURES, trees=5, depth=4),
-                                           models.fit_gbt(train, S.FEATURES, iters=3, depth=3),
-                                           models.fit_logistic(train, S.FEATURES, max_iter=50)])
+    return models.model_complexity(spark, [models.fit_forest(train, S.FEATURES), models.fit_gbt(train, S.FEATURES),
+                                           models.fit_logistic(train, S.FEATURES)])
 
 
 @query("permutation_importance")
 def _(spark, sf):
     train, test = study(spark, sf)
-    return explain.permutation_importance(models.fit_forest(train, S.FEATURES, trees=10, depth=5), test, "row_id")
+    return explain.permutation_importance(models.fit_forest(train, S.FEATURES), test, "row_id")
 
 
 @query("tree_shap_importance")
 def _(spark, sf):
     train, test = study(spark, sf)
-    return explain.tree_shap_importance(test, models.fit_forest(train, S.FEATURES, trees=10, depth=5))
+    return explain.tree_shap_importance(test, models.fit_forest(train, S.FEATURES))
 
 
 @query("rf_on_smote")
 def _(spark, sf):
     train, test = study(spark, sf)
-    plain = models.fit_forest(train, S.FEATURES, trees=10, depth=6)
+    plain = models.fit_forest(train, S.FEATURES)
     more = augment.with_smote(train, "row_id", S.FEATURES, "label", 0.5, 5)
-    again = models.fit_forest(cut_lineage(more), S.FEATURES, trees=10, depth=6)
+    again = models.fit_forest(cut_lineage(more), S.FEATURES)
     before = metrics.metric_table(plain.predict(test, KEYS))
     return metrics.metric_delta(before, metrics.metric_table(again.predict(test, KEYS)))
 
 
-REG_GRIDS = {"random_forest": {"numTrees": [5, 10]}, "gbt": {"maxIter": [2, 3], "maxDepth": [3]}, "boost": {"maxIter": [2], "maxDepth": [3, 4]}}
-
-
-def _regression(name: str, path_id: int, only: str | None = None) -> None:
+def _regression(name: str, path_id: int) -> None:
     @query(name)
     def _(spark, sf):
         train, test = study(spark, sf)
-        out = models.path_regression(train.unionByName(test), path_id, grids=REG_GRIDS)
-        m = metrics.regression_metrics(out)
-        return m if only is None else m.filter(F.col("model") == only)
+        return metrics.regression_metrics(models.path_regression(train.unionByName(test), path_id))
 
 
 _regression("reg_path1", 1)
 _regression("reg_path2", 2)
 
 
-def _tree_regressor(name: str, make) -> None:
+def _tree_regressor(name: str, family: str) -> None:
     @query(name)
     def _(spark, sf):
         train, test = study(spark, sf)
-        one = F.col("path_id") == 1
-        fit = make().setFeaturesCol("features").setLabelCol("range_m").fit(
-            models.assemble(train.filter(one), S.FEATURES).select("features", "range_m"))
-        out = fit.transform(models.assemble(test.filter(one), S.FEATURES)).select(
-            F.lit(name).alias("model"), F.col("range_m").alias("y"), F.col("prediction").alias("yhat"))
-        return metrics.regression_metrics(out)
-
-
-def _forest_reg():
-    from pyspark.ml.regression import RandomForestRegressor
-    return RandomForestRegressor(numTrees=10, maxDepth=6, seed=S.SEED)
-
-
-def _gbt_reg(subsample: float = 1.0):
-    from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(maxIter=5, maxDepth=4, subsamplingRate=subsample, seed=S.SEED)
+        out = models.path_regression(train.unionByName(test), 1, only=[family])
+        return metrics.regression_metrics(out.withColumn("model", F.lit(name)))
 
 
-_tree_regressor("reg_random_forest", _forest_reg)
-_tree_regressor("reg_gbt", _gbt_reg)
-_tree_regressor("reg_xgb", lambda: _gbt_reg(0.8))
+_tree_regressor("reg_random_forest", "random_forest")
+_tree_regressor("reg_gbt", "gbt")
+_tree_regressor("reg_xgb", "boost")
