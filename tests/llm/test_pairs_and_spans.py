@@ -190,6 +190,14 @@ def test_weak_parts_need_company(spark):
     assert got == {1: [], 2: ["access", "secret"], 3: ["access"], 4: ["access"], 5: ["endpoint", "secret", "access"], 6: ["ident", "secret"], 7: []}
 
 
+def test_session_tokens_are_secrets_at_any_length(spark):
+    token = "aB3" + "xY9/" * 150
+    text = f"ASIA{'B' * 16} {'aB3' + 'xY9/' * 9} {token}=="
+    rows = [(1, text), (2, f"{token} alone")]
+    got = {r["doc_id"]: [(x["kind"], x["start"], x["end"]) for x in r["spans"]] for r in secrets.secret_spans(frame(spark, rows)).collect()}
+    assert got[1][0] == ("ident", 0, 20) and got[1][-1] == ("secret", text.index(token), len(text)) and len(got[1]) == 3 and got[2] == []
+
+
 def test_redaction(spark):
     out = secrets.secret_spans(frame(spark, [(1, "é password: abcdefghijklmnop ☃ 0123456789abcdef end"), (2, "plain")]))
     docs = frame(spark, [(1, "é password: abcdefghijklmnop ☃ 0123456789abcdef end"), (2, "plain")]).select("doc_id", "text")

@@ -71,7 +71,7 @@ def _with_spans(df: DataFrame, text: str, kinds: dict) -> DataFrame:
 
 
 def _mixed(m: Column) -> Column:
-    return m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]") & (F.length(m) <= 128)
+    return m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]")
 
 
 def _found(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -117,7 +117,7 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
     """``key, base, spans`` for every row: arrays of ``kind, start, end`` by start, then kind (certain ones, and all).
 
     Starts and ends are code points, ends exclusive. Weak parts: an identifier is reported near a secret or assignment, a
-    secret near an identifier, an endpoint near both, within ``scope`` code points; parts inside a certain finding are
+    secret of any length near an identifier, an endpoint near both, within ``scope`` code points; parts inside a certain finding are
     not reported again. Null texts are empty. Rows with equal key and text get equal results; rows that share a key
     keep apart by their text. An empty table gives an empty result. Other columns are not read.
     """
