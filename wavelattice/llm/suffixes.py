@@ -1,16 +1,15 @@
-"""Removal of repeated 100-byte strings by suffix sorting with a difference cover.
+"""Removal of repeated 100-byte strings by hash anchors and equality names, in place of a sort of all suffixes.
 
-Sorting every suffix of a corpus moves it many times over, so suffixes first meet only where they can agree:
+Sorting every suffix of a corpus would move it many times over (not measured), so windows meet only where they can agree:
 
 1. *Anchors.* Every 100-byte window picks its smallest 32-byte gram (by hash). Equal windows pick equal grams at the same
    place, so windows only need comparing where grams agree. The windows around an anchor lie within its context of 168
    bytes. Where an earlier anchor has the same gram and context, all its windows are repeats. What remains are the first
    anchors of contexts whose gram also has other contexts: the edges of repeated passages.
-2. *Difference cover.* The contexts of a gram meet in one task, which sorts the suffixes that start in them: positions that
-   are no multiple of three are the sample (any two positions of equal residue are at the same distance from one).
-   Sampled blocks of 16 bytes are sorted and named; triples of names are sorted and named again for 34 bytes, and triples
-   of those for 100. Remaining suffixes are merged by their next byte and the name of the sampled suffix behind it.
-   Neighbours in this order with equal prefixes are repeats, except for the earliest.
+2. *Equality names.* The contexts of a gram meet in one task. There is no suffix order: blocks of 16 bytes at places that are
+   no multiple of three get names that are equal for equal blocks, triples of names are named again for 34 bytes, and
+   triples of those for 100. A window at another place is named by the sampled blocks behind it and the bytes around.
+   Windows with equal names at the same start are repeats, except for the earliest.
 3. *Removal.* Bytes covered by repeated windows go; the rest of each text is hashed.
 
 A gram with very many contexts does not go to one task: its windows are grouped by hash instead.
@@ -195,7 +194,7 @@ def _found(row, off, gram, kind) -> pa.RecordBatch:
 # --- 2. difference cover -----------------------------------------------------------------------------------------
 
 def _named(*keys: np.ndarray) -> np.ndarray:
-    """Names of the rows of ``keys``: equal for equal rows, numbered in the order in which they are sorted."""
+    """Names of the rows of ``keys``: equal for equal rows; their order means nothing."""
     shape = keys[0].shape
     flat = [k.ravel() for k in keys]
     mark = flat[0] * _ODD[0]
@@ -289,7 +288,7 @@ _RUNS = "row bigint, lo bigint, hi bigint"
 
 
 def _suffix_sorted(batches):
-    """Runs of starts of repeated windows, from contexts sorted by gram."""
+    """Runs of starts of repeated windows, from contexts sorted by gram; no suffixes are sorted."""
     for t in in_runs(batches, "gram", CHUNK):
         gram, row, off, room = (t.column(n).to_numpy() for n in ("gram", "row", "off", "room"))
         order = np.lexsort((off, row))
