@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wavelattice.operators import augment, clustering, neighbors
+from wavelattice.operators import augment, clustering, graph, grid, lsh, neighbors, skew
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +43,133 @@ def test_knn(points, k):
         assert [x for _, _, x in found] == pytest.approx([x for x, _ in want])
 
 
+@pytest.fixture
+def deep_cells(monkeypatch):
+    monkeypatch.setattr(neighbors, "MAX_PIVOTS", 2)
+    monkeypatch.setattr(neighbors, "FAN", 4)
+
+
+def test_cells_are_split_until_small(spark, points, deep_cells):
+    df, p = points
+    cells = neighbors.build_cells(neighbors.collapse_copies(df, "id", "vec", 4), 4)
+    rows = cells.points.collect()
+    sizes = {}
+    for r in rows:
+        sizes[r["cell"]] = sizes.get(r["cell"], 0) + 1
+    assert len(cells.levels) >= 2 and max(sizes.values()) <= 2 * neighbors.CELL_TARGET and len(rows) == len(np.unique(p, axis=0))
+    facts = {c: (rad, reach) for level in cells.levels for r in level.collect() for c, rad, reach in zip(r["cells"], r["radiuss"], r["reachs"])}
+    for r in rows:
+        if r["cell"] in facts:
+            assert r["own"] <= facts[r["cell"]][0] + 1e-12
+            own = sorted(x["own"] for x in rows if x["cell"] == r["cell"])
+            assert facts[r["cell"]][1] == pytest.approx(own[3] if len(own) >= 4 else np.inf)
+
+
+def test_knn_through_deep_cells(points, deep_cells):
+    test_knn(points, 3)
+
+
+def test_cells_on_many_dimensions(spark, deep_cells):
+    rng = np.random.default_rng(8)
+    p = rng.normal(size=(90, 64)) * np.r_[np.full(3, 3.0), np.full(61, 0.1)]
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(p)], "id long, vec array<double>")
+    cells = neighbors.build_cells(neighbors.collapse_copies(df, "id", "vec"))
+    assert cells.points.groupBy("cell").count().agg(F.max("count")).first()[0] <= 2 * neighbors.CELL_TARGET
+    test_knn((df, p), 5)
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    monkeypatch.setattr(skew, "BROADCAST_FACTS", 0)
+    rows = spark.range(400).select("id", F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.sum("id").alias("s")).filter("k <> 'k7'")
+    got = skew.join_facts(rows, facts, "k", "n", "id")
+    assert got.columns == ["k", "id", "s"]
+    want = rows.join(facts, "k").select("k", "id", "s")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    groups = skew.apply_with_facts(rows.withColumn("pt", F.col("id")), facts.select("k", "s"), "k", "pt",
+                                   lambda left, right: left.select(["pt"]).append_column("n", [[left.num_rows] * left.num_rows]), "pt long, n long", 20).collect()
+    assert sorted(r["pt"] for r in groups) == sorted(r["id"] for r in want.collect()) and max(r["n"] for r in groups) < 60
+
+
+# --- projection grid
+
+@pytest.mark.parametrize("eps", [0.05, 0.7, 3.0])
+def test_eps_neighbors(points, eps):
+    df, p = points
+    got = {r["id"]: r["n_near"] for r in grid.eps_neighbors(df, "id", "vec", eps).collect()}
+    assert [got[i] for i in range(len(p))] == list((distances(p) <= eps).sum(axis=1))
+
+
+def test_grid_of_lattice_points_at_the_very_radius(spark):
+    p = np.array([(x, y, 0.0, z) for x in range(5) for y in range(5) for z in range(5)]) * 0.1 + 1e3
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(p)], "id long, vec array<double>")
+    eps = float(np.sqrt(((p[0] - p[1]) ** 2).sum()))
+    got = {r["id"]: r["n_near"] for r in grid.eps_neighbors(df, "id", "vec", eps).collect()}
+    assert [got[i] for i in range(len(p))] == list((((p[:, None] - p[None]) ** 2).sum(axis=2) <= eps * eps).sum(axis=1))
+
+
+def test_bins_hold_as_many_points_at_any_size(spark):
+    rng = np.random.default_rng(6)
+    most = []
+    for n in (300, 3000):
+        p = rng.uniform(0, (n / 3) ** (1 / 2), (n, 2))
+        df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(p)], "id long, vec array<double>")
+        g = grid.build_grid(neighbors.collapse_copies(df, "id", "vec"), 1.0)
+        most.append((g.points.groupBy("cell").count().agg(F.max("count")).first()[0], g.points.select("cell").distinct().count()))
+    assert most[1][0] <= most[0][0] + 8 and most[1][1] > 7 * most[0][1]
+
+
+def test_nothing_to_search(spark):
+    df = spark.createDataFrame([], "id long, vec array<double>")
+    assert grid.eps_neighbors(df, "id", "vec", 1.0).collect() == clustering.dbscan(df, "id", "vec").collect() == []
+    assert neighbors.knn(df, "id", "vec", 2).collect() == lsh.approx_knn(df, "id", "vec", 2).collect() == []
+
+
+# --- approximate neighbours
+
+def test_same_bucket_by_simulation():
+    rng = np.random.default_rng(1)
+    for ratio in (0.3, 1.0, 4.0):
+        a, step = rng.uniform(size=200_000), rng.normal(size=200_000) / ratio
+        assert lsh.same_bucket(ratio) == pytest.approx((np.floor(a) == np.floor(a + step)).mean(), abs=0.01)
+
+
+def test_approximate_neighbours_reach_the_recall(spark):
+    rng = np.random.default_rng(9)
+    p = (rng.normal(size=(40, 1, 12)) * 3 + rng.normal(size=(40, 20, 12)) * 0.4).reshape(-1, 12)
+    p[::5] = p[1]  # many copies
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(p)], "id long, vec array<double>")
+    found = lsh.approx_knn(df, "id", "vec", 4).cache()
+    exact = neighbors.knn(df, "id", "vec", 4)
+    r = lsh.recall(found, exact, "id").first()
+    assert r["recall"] >= 0.9 and r["n_exact"] == 4 * len(p)
+    d = distances(p)
+    assert all(x["neighbor"] != x["id"] and x["distance"] == pytest.approx(d[x["id"], x["neighbor"]]) for x in found.collect())
+
+
+# --- components
+
+def test_star_components_equal_the_others(spark):
+    rng = np.random.default_rng(12)
+    chain = [(i, i + 1) for i in range(1000, 1100)]
+    star = [(5000, 5000 + i) for i in range(1, 400)] + [(9000 + i, 9999) for i in range(300)]
+    loose = [(int(a), int(b)) for a, b in rng.integers(0, 300, (150, 2))]
+    edges = spark.createDataFrame(chain + star + loose + loose[:20] + [(7, 7)], "u long, v long")
+    nodes = spark.createDataFrame([(i,) for i in sorted({x for e in chain + star + loose for x in e} | {77777})], "node long")
+    want = {r["node"]: r["comp"] for r in graph.connected_components(nodes, edges).collect()}
+    assert {r["node"]: r["comp"] for r in graph.star_components(nodes, edges).collect()} == want
+    assert graph.star_components(nodes, edges.limit(0)).filter("node <> comp").isEmpty()
+
+
+def test_large_star_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    monkeypatch.setattr(skew, "BROADCAST_FACTS", 0)
+    edges = spark.range(1, 20000).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    got = graph.star_components(spark.range(20000).select(F.col("id").alias("node")), edges)
+    assert got.filter("comp <> 0").isEmpty() and got.count() == 20000
+
+
 def test_knn_with_fewer_points_than_asked(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [1.0])], "id long, vec array<double>")
     got = {(r["id"], r["rank"]): r["neighbor"] for r in neighbors.knn(df, "id", "vec", 5).collect()}
@@ -103,6 +230,24 @@ def test_silhouette(points):
     assert set(got[("same", i)] for i in range(len(p))) == {0.0}
 
 
+def test_silhouette_of_squared_distances(points):
+    df, p = points
+    label = (p[:, 0] > 1.5).astype(int)
+    label[7] = 2
+    d = distances(p) ** 2
+    want = []
+    for i in range(len(p)):
+        own = [j for j in range(len(p)) if label[j] == label[i] and j != i]
+        a, b = (d[i, own].mean() if own else 0.0), min(d[i, label == c].mean() for c in set(label) if c != label[i])
+        want.append((b - a) / max(a, b) if own else 0.0)
+    cols = [F.col("vec")[i].alias(f"x{i}") for i in range(p.shape[1])]
+    lab = F.when(F.col("id") == 7, 2).otherwise((F.col("vec")[0] > 1.5).cast("int")).alias("c")
+    wide = df.select("id", *cols, lab, F.lit(0).alias("same"))
+    got = {r["labeling"]: r for r in clustering.silhouette_squared(wide, [f"x{i}" for i in range(p.shape[1])], ["c", "same"]).collect()}
+    assert got["c"]["silhouette"] == pytest.approx(np.mean(want)) and got["c"]["n"] == len(p)
+    assert got["same"]["silhouette"] == 0.0
+
+
 def test_rand_index(spark):
     rows = [(0, 0)] * 5 + [(0, 1)] * 2 + [(1, 1)] * 6 + [(1, 2)]
     df = spark.createDataFrame(rows, "a int, b int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -13,9 +13,11 @@ from pyspark.storagelevel import StorageLevel
 
 from wavelattice import schema as S
 from wavelattice.operators import neighbors as N
-from wavelattice.operators.graph import connected_components
+from wavelattice.operators.graph import star_components
+from wavelattice.operators.grid import build_grid
 from wavelattice.operators.profiling import centred_moments
 from wavelattice.operators.quantiles import prefix_sums
+from wavelattice.operators.skew import join_facts
 from wavelattice.operators.splits import apply_scaling, sampled_subset, scaler_statistics
 from wavelattice.session import concurrently, cut_lineage
 
@@ -112,19 +114,18 @@ def silhouette_values(df: DataFrame, key: str, vec: str, clusters: Sequence[str]
     rows = df.select(F.col(key).cast("long").alias("pt"), F.col(vec).cast("array<double>").alias("vec"),
                      F.array(*[F.col(c).cast("int") for c in names]).alias("own"), F.lit(0).alias("cell"))
 
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        d = np.sqrt(N.squared_distances(np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())))
-        mine, theirs = np.stack(left["own"].to_numpy()), np.stack(right["own"].to_numpy())
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        d = np.sqrt(N.squared_distances(N.matrix(left), N.matrix(right)))
+        mine, theirs, pt = N.matrix(left, "own"), N.matrix(right, "own"), N.numbers(left, "pt")
         out = []
         for j in range(len(names)):
             found, code = np.unique(theirs[:, j], return_inverse=True)
             member = np.zeros((len(code), len(found)))
             member[np.arange(len(code)), code] = 1.0
-            out.append(pd.DataFrame({
-                "labeling": j, "pt": np.repeat(left["pt"].to_numpy(), len(found)),
-                "own": np.repeat(mine[:, j], len(found)), "other": np.tile(found, len(left)),
-                "total": (d @ member).ravel(), "n": np.tile(member.sum(axis=0).astype(np.int64), len(left))}))
-        return pd.concat(out)
+            n = len(pt) * len(found)
+            out.append((np.full(n, j, np.int32), np.repeat(pt, len(found)), np.repeat(mine[:, j], len(found)).astype(np.int32),
+                        np.tile(found, len(pt)).astype(np.int32), (d @ member).ravel(), np.tile(member.sum(axis=0).astype(np.int64), len(pt))))
+        return pa.table(dict(zip(("labeling", "pt", "own", "other", "total", "n"), map(np.concatenate, zip(*out)))))
 
     sums = N.compare_blocks(rows.withColumn("to_cell", F.col("cell")), rows, block,
                             "labeling int, pt long, own int, other int, total double, n long")
@@ -148,6 +149,47 @@ def silhouette(df: DataFrame, key: str, vec: str, clusters: Sequence[str], sampl
         F.avg("s").alias("silhouette"), F.count("*").alias("n"))
 
 
+def _linear_silhouette(rank: dict, n: np.ndarray, mean: np.ndarray, square: np.ndarray):
+    """Arrow function of (vector, cluster) for clusters of size ``n`` with their mean vectors and mean squares."""
+    @F.arrow_udf("double")
+    def value(vec: pa.Array, own: pa.Array) -> pa.Array:
+        v = vec.flatten().to_numpy(zero_copy_only=False).reshape(len(vec), mean.shape[1])
+        at = np.array([rank[c] for c in own.to_pylist()], np.int64)
+        i = np.arange(len(v))
+        d = np.maximum((v * v).sum(axis=1)[:, None] + square - 2 * v @ mean.T, 0.0)
+        size = n[at]
+        a = d[i, at] * size / np.maximum(size - 1, 1)
+        d[i, at] = np.inf
+        b = d.min(axis=1)
+        lone = (size == 1) | ~np.isfinite(b) | (np.maximum(a, b) == 0)
+        return pa.array(np.where(lone, 0.0, (np.where(lone, 0.0, b) - a) / np.where(lone, 1.0, np.maximum(a, b))))
+
+    return value
+
+
+def silhouette_squared(df: DataFrame, columns: Sequence[str], clusters: Sequence[str]) -> DataFrame:
+    """``labeling, silhouette, n``: silhouette under squared Euclidean distance, at a cost linear in the rows.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, vector sum and sum of squares, so one
+    aggregate of one row per cluster and one scan are all. One vector per cluster reaches the driver, as with centres.
+    """
+    columns = list(columns)
+    out = None
+    for name in clusters:
+        x = [F.col(c).cast("double") for c in columns]
+        stats = df.groupBy(F.col(name).cast("int").alias("c")).agg(
+            F.count("*").alias("n"), F.array(*[F.sum(v) for v in x]).alias("s"), F.sum(sum((v * v for v in x), F.lit(0.0))).alias("q")).collect()
+        rank = {r["c"]: i for i, r in enumerate(stats)}
+        n = np.array([r["n"] for r in stats], float)
+        mean = np.array([r["s"] for r in stats], float).reshape(len(stats), len(columns)) / n[:, None] if len(stats) else np.zeros((0, len(columns)))
+        square = np.array([r["q"] for r in stats], float) / n
+
+        s = _linear_silhouette(rank, n, mean, square)(F.array(*x), F.col(name).cast("int"))
+        part = df.select(F.lit(name).alias("labeling"), s.alias("s"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("labeling").agg(F.avg("s").alias("silhouette"), F.count("*").alias("n"))
+
+
 def elbow_silhouette(train: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = tuple(range(2, 11)),
                      sample_size: int | None = None, restarts: int = 10, seed: int = S.SEED) -> DataFrame:
     """``k, inertia, silhouette, n`` for several k, fitted and costed on all scaled rows.
@@ -205,10 +247,11 @@ def pca_project(df: DataFrame, model: dict) -> DataFrame:
     return df.withColumns(out)
 
 
-def _forest(left: pd.DataFrame, right: pd.DataFrame, limit: float) -> pd.DataFrame:
+def _forest(left: pa.Table, right: pa.Table, limit: float) -> pa.Table:
     """Spanning stars of the "within eps" graph of two blocks: at most one edge per point."""
-    near = N.squared_distances(np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())) <= limit
-    a, b = left["pt"].to_numpy().copy(), right["pt"].to_numpy().copy()
+    near = N.squared_distances(N.matrix(left), N.matrix(right)) <= limit
+    u, v = N.numbers(left, "pt"), N.numbers(right, "pt")
+    a, b = u.copy(), v.copy()
     top = np.iinfo(np.int64).max
     while True:
         best_a = np.minimum(a, np.where(near, b[None, :], top).min(axis=1))
@@ -216,8 +259,7 @@ def _forest(left: pd.DataFrame, right: pd.DataFrame, limit: float) -> pd.DataFra
         if (best_a == a).all() and (best_b == b).all():
             break
         a, b = best_a, best_b
-    return pd.DataFrame({"u": np.concatenate([left["pt"].to_numpy(), right["pt"].to_numpy()]),
-                         "v": np.concatenate([a, b])})
+    return pa.table({"u": np.concatenate([u, v]), "v": np.concatenate([a, b])})
 
 
 def dbscan(df: DataFrame, key: str, vec: str, eps: float = 2.0, min_samples: int = 10) -> DataFrame:
@@ -225,39 +267,35 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float = 2.0, min_samples: int
 
     A core row has at least ``min_samples`` rows (itself included) within ``eps``. Core points
     within ``eps`` of each other share a cluster; a non-core row joins the lowest-numbered cluster
-    that has a core row within ``eps``.
+    that has a core row within ``eps``. Neighbours come from a projection grid of bins as wide as ``eps``.
     """
-    rows = df.select(F.col(key).cast("long").alias(key), F.col(vec).cast("array<double>").alias("vec"))
-    cells = N.build_cells(N.collapse_copies(rows, key, "vec"))
-    counted = N.eps_neighbor_counts(cells, eps)
-    pts = cut_lineage(cells.points.select("pt", "vec", "cell").join(
-        counted.select(F.col("pt").alias("_pt"), (F.col("n_near") >= min_samples).alias("core")),
-        F.col("pt") == F.col("_pt")).drop("_pt"))
+    rows = N.vectors_of(df, key, vec)
+    grid = build_grid(N.collapse_copies(rows, key, "vec"), eps)
+    counted = N.eps_neighbor_counts(grid.points, grid.visiting(grid.points.select("pt", "vec", "cell")), eps)
+    pts = cut_lineage(grid.points.select("pt", "vec", "weight", "cell").join(
+        counted.select("pt", (F.col("n_near") >= min_samples).alias("core")), "pt"))
     core = pts.filter("core").select("pt", "vec", "cell")
     limit = eps * eps
-    radius = F.lit(float(eps))
-    asked = N.visits(core.withColumn("_eps", radius), cells, "_eps", "with").drop("_eps")
-    edges = N.compare_blocks(asked, core, lambda q, c: _forest(q, c, limit), "u long, v long")
-    comps = connected_components(core.select(F.col("pt").alias("node")), edges)
+    edges = N.compare_blocks(grid.visiting(core), core, lambda q, c: _forest(q, c, limit), "u long, v long")
+    comps = star_components(core.select(F.col("pt").alias("node")), edges)
     labelled = core.join(comps, F.col("pt") == F.col("node")).select("pt", "vec", "cell", "comp")
 
-    def lowest(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        near = N.squared_distances(np.stack(q["vec"].to_numpy()), np.stack(c["vec"].to_numpy())) <= limit
+    def lowest(q: pa.Table, c: pa.Table) -> pa.Table:
+        near = N.squared_distances(N.matrix(q), N.matrix(c)) <= limit
         top = np.iinfo(np.int64).max
-        comp = np.where(near, c["comp"].to_numpy()[None, :], top).min(axis=1)
+        comp = np.where(near, N.numbers(c, "comp")[None, :], top).min(axis=1)
         hit = comp < top
-        return pd.DataFrame({"pt": q["pt"].to_numpy()[hit], "comp": comp[hit]})
+        return pa.table({"pt": N.numbers(q, "pt")[hit], "comp": comp[hit]})
 
     border = pts.filter(~F.col("core")).select("pt", "vec", "cell")
-    asked = N.visits(border.withColumn("_eps", radius), cells, "_eps", "with").drop("_eps")
-    joined = N.compare_blocks(asked, labelled, lowest, "pt long, comp long").groupBy("pt").agg(F.min("comp").alias("comp"))
+    joined = N.compare_blocks(grid.visiting(border), labelled, lowest, "pt long, comp long").groupBy("pt").agg(F.min("comp").alias("comp"))
     roots = comps.filter(F.col("node") == F.col("comp")).select(F.col("node").alias("root"), F.lit(1).alias("one"))
-    numbers = prefix_sums(roots, [], "root", ["one"]).select("root", (F.col("cum_one") - 1).cast("int").alias("cluster"))
-    known = (labelled.select("pt", "comp").unionByName(joined)
-             .join(numbers, F.col("comp") == F.col("root")).select(F.col("pt").alias("_pt"), "cluster"))
-    by_vec = pts.join(known, F.col("pt") == F.col("_pt"), "left").select(
-        F.col("vec").alias("_v"), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
-    return rows.join(by_vec, F.col("vec") == F.col("_v")).select(key, "cluster")
+    order = prefix_sums(roots, [], "root", ["one"]).select(F.col("root").alias("comp"), (F.col("cum_one") - 1).cast("int").alias("cluster"))
+    placed = labelled.select("pt", "comp").unionByName(joined)
+    sizes = placed.groupBy("comp").agg(F.count("*").alias("n"))
+    known = join_facts(placed, sizes.join(order, "comp"), "comp", "n", "pt").select("pt", "cluster")
+    facts = pts.join(known, "pt", "left").select("vec", "weight", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    return join_facts(rows, facts, "vec", "weight", key, narrow=False).select(key, "cluster")
 
 
 def distinct_labels(df: DataFrame, cluster: str = "cluster") -> DataFrame:

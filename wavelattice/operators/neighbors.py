@@ -1,9 +1,10 @@
 """Exact neighbour search over dense vectors as Spark joins on metric cells.
 
-Points are assigned to the nearest of a bounded set of pivots. The triangle inequality then tells,
-for a query and a search radius, which cells can hold an answer, so a query is only sent there. A
-cell of any size is cut into chunks: one task compares one chunk of queries with one chunk of
-candidates and returns per-query results (k best, a sum, a label), never the pairs.
+Points are assigned to the nearest of a bounded set of pivots, and a cell that holds too many is split again by pivots of
+its own, level by level, so that cells stay small at any number of points. The triangle inequality then tells, for a query
+and a search radius, which cells can hold an answer, so a query is only sent there. A cell of any size is cut into chunks:
+one task compares one chunk of queries with one chunk of candidates and returns per-query results (k best, a sum, a label),
+never the pairs.
 
 Equal vectors are collapsed to one weighted point first, so a group of copies of any size costs
 as much as a single point.
@@ -11,19 +12,21 @@ as much as a single point.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wavelattice.functions.scalars import keyed_digest
+from wavelattice.operators.skew import apply_with_facts, join_facts, result_schema
 from wavelattice.session import cut_lineage
 
 CHUNK = 2000          # points on either side of one comparison block
-CELL_TARGET = 4000    # aimed-at points per cell
-MAX_PIVOTS = 4096     # bound of everything that is broadcast: pivots, radii, cell sizes
+CELL_TARGET = 4000    # aimed-at points per cell; a cell of over twice as many is split
+MAX_PIVOTS = 4096     # pivots of the first level: all that is broadcast
+FAN = 64              # pivots of a cell that is split, a power of two
+MAX_DEPTH = 8         # levels below the first; 4096 * 64 ** 8 cells
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,6 +38,16 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def matrix(table: pa.Table, column: str = "vec") -> np.ndarray:
+    """A column of equally long lists as rows of a matrix."""
+    flat = table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(table.num_rows, -1)
+
+
+def numbers(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).to_numpy()
+
+
 def collapse_copies(df: DataFrame, key: str, vec: str, keep: int = 1) -> DataFrame:
     """Distinct vectors as ``pt`` (smallest key), ``vec``, ``weight`` and the ``keep`` smallest keys.
 
@@ -52,81 +65,150 @@ def collapse_copies(df: DataFrame, key: str, vec: str, keep: int = 1) -> DataFra
 
 @dataclass
 class Cells:
-    """Placed points and the bounded per-cell facts."""
+    """Placed points, the bounded facts of the first level, and a table of children per level below it.
+
+    A cell's number tells its level: ``MAX_PIVOTS + i`` on the first, ``parent * FAN + i`` below.
+    """
 
-    points: DataFrame
+    points: DataFrame   # pt, ..., top, cell (the leaf), own (distance to the leaf's pivot)
     pivots: np.ndarray
     radius: np.ndarray
     reach: np.ndarray   # per cell: pivot distance of its m-th nearest point (inf if it has fewer)
     size: np.ndarray
+    split: np.ndarray   # whether a cell of the first level has children
+    levels: list[DataFrame] = field(default_factory=list)  # cell and flat facts of its children
+
+
+def _nearest(v: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place, own = np.zeros(len(v), np.int64), np.zeros(len(v))
+    for at in range(0, len(v), CHUNK):
+        d2 = squared_distances(v[at:at + CHUNK], pivots)
+        best = d2.argmin(axis=1)
+        place[at:at + CHUNK] = best
+        own[at:at + CHUNK] = np.sqrt(d2[np.arange(len(best)), best])
+    return place, own
+
+
+def _facts(placed: DataFrame, m: int) -> DataFrame:
+    """``cell, radius, size, reach`` of every cell."""
+    nearest = Window.partitionBy("cell").orderBy("own", "pt")
+    close = placed.select("cell", "own", "pt").withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= m)
+    reach = close.groupBy("cell").agg(F.when(F.count("*") >= m, F.max("own")).otherwise(F.lit(float("inf"))).alias("reach"))
+    return placed.groupBy("cell").agg(F.max("own").alias("radius"), F.count("*").alias("size")).join(reach, "cell")
+
+
+def _split_once(placed: DataFrame, m: int) -> tuple[DataFrame, DataFrame] | None:
+    """Points placed anew in the children of all cells that are too large, and the facts of those children."""
+    sizes = cut_lineage(placed.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * CELL_TARGET))
+    if sizes.isEmpty():
+        return None
+    large = sizes.select("cell", F.least(F.ceil(F.col("n") / CELL_TARGET), F.lit(FAN)).alias("_fan"), "n")
+    inside = join_facts(placed, large, "cell", "n", "pt")
+    by_digest = Window.partitionBy("cell").orderBy(keyed_digest(F.col("pt"), "split"), "pt")
+    pivots = inside.select("cell", "vec", "_fan", "pt").withColumn("_r", F.row_number().over(by_digest))
+    pivots = pivots.filter((F.col("_r") <= FAN) & (F.col("_r") <= F.col("_fan")))
+    pivots = cut_lineage(pivots.select("cell", "vec", (F.col("_r") - 1).alias("i")))
+    packed = pivots.groupBy("cell").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("i", "vec"))), lambda x: x["vec"])).alias("pivots"))  # at most FAN vectors
+
+    def place(rows: pa.Table, fact: pa.Table) -> pa.Table:
+        v = matrix(rows)
+        where, own = _nearest(v, matrix(fact, "pivots").reshape(-1, v.shape[1]))
+        return pa.table({"_pt": rows.column("pt"), "_cell": numbers(rows, "cell") * FAN + where, "_own": own})
+
+    moved = apply_with_facts(inside.select("pt", "vec", "cell"), packed, "cell", "pt", place, "_pt long, _cell long, _own double", 4 * CHUNK)
+    again = cut_lineage(placed.join(moved, F.col("pt") == F.col("_pt"), "left").select(
+        *[c for c in placed.columns if c not in ("cell", "own")], F.coalesce("_cell", "cell").alias("cell"), F.coalesce("_own", "own").alias("own")))
+    facts = _facts(again.join(sizes.select(F.col("cell").alias("_parent")), F.expr(f"cell div {FAN}") == F.col("_parent"), "left_semi"), m)
+    children = facts.join(pivots.select((F.col("cell") * FAN + F.col("i")).alias("cell"), "vec"), "cell")
+    child = F.struct("cell", "radius", "size", "reach", "vec")
+    table = children.groupBy(F.expr(f"cell div {FAN}").alias("parent")).agg(F.sort_array(F.collect_list(child)).alias("c"))  # at most FAN
+    return again, cut_lineage(table.select(
+        F.col("parent").alias("cell"), *[F.col(f"c.{x}").alias(f"{x}s") for x in ("cell", "radius", "size", "reach")],
+        F.flatten("c.vec").alias("pivots")))
 
 
 def build_cells(points: DataFrame, m: int = 1) -> Cells:
-    """Choose pivots, place every point in its nearest pivot's cell and measure the cells."""
+    """Choose pivots, place every point in its nearest pivot's cell, measure the cells and split those that are too large."""
     points = cut_lineage(points)
     n = points.count()
     wanted = max(1, min(MAX_PIVOTS, -(-n // CELL_TARGET)))
     chosen = points.orderBy(keyed_digest(F.col("pt"), "pivot")).limit(wanted).select("vec").collect()
-    pivots = np.array([r["vec"] for r in chosen], float).reshape(len(chosen), -1)
+    pivots = np.array([r["vec"] for r in chosen], float).reshape(len(chosen), -1 if chosen else 0)
 
-    @F.arrow_udf("struct<cell:int,own:double>")
+    @F.arrow_udf("struct<cell:bigint,own:double>")
     def place(vec: pa.Array) -> pa.Array:
         v = vec.flatten().to_numpy(zero_copy_only=False).reshape(len(vec), pivots.shape[1])
-        cell, own = np.zeros(len(v), np.int32), np.zeros(len(v))
-        for at in range(0, len(v), CHUNK):
-            d2 = squared_distances(v[at:at + CHUNK], pivots)
-            best = d2.argmin(axis=1)
-            cell[at:at + CHUNK] = best
-            own[at:at + CHUNK] = np.sqrt(d2[np.arange(len(best)), best])
+        cell, own = _nearest(v, pivots)
         return pa.StructArray.from_arrays([pa.array(cell), pa.array(own)], ["cell", "own"])
 
-    placed = cut_lineage(points.withColumn("_p", place("vec"))
-                         .select(*points.columns, "_p.cell", "_p.own")) if n else \
-        points.select(*points.columns, F.lit(0).alias("cell"), F.lit(0.0).alias("own"))
-    nearest = Window.partitionBy("cell").orderBy("own", "pt")
-    close = placed.select("cell", "own", "pt").withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= m)
-    facts = (placed.groupBy("cell").agg(F.max("own").alias("radius"), F.count("*").alias("size"))
-             .join(close.groupBy("cell").agg(F.max("own").alias("reach")), "cell").collect())  # <= MAX_PIVOTS rows
+    where = place("vec") if n else F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(0.0).alias("own"))
+    placed = cut_lineage(points.withColumn("_p", where).select(
+        *points.columns, F.col("_p.cell").alias("top"), (F.col("_p.cell") + MAX_PIVOTS).alias("cell"), "_p.own"))
     radius, reach = np.zeros(len(pivots)), np.full(len(pivots), np.inf)
     size = np.zeros(len(pivots), np.int64)
-    for f in facts:
-        radius[f["cell"]], size[f["cell"]] = f["radius"], f["size"]
-        if f["size"] >= m:
-            reach[f["cell"]] = f["reach"]
-    return Cells(placed, pivots, radius, reach, size)
+    for f in _facts(placed, m).collect():  # <= MAX_PIVOTS rows
+        i = f["cell"] - MAX_PIVOTS
+        radius[i], size[i], reach[i] = f["radius"], f["size"], f["reach"]
+    levels, split = [], size > 2 * CELL_TARGET
+    while len(levels) < MAX_DEPTH and (more := _split_once(placed, m)) is not None:
+        placed, children = more
+        levels.append(children)
+    return Cells(placed, pivots, radius, reach, size, split & bool(levels), levels)
 
 
-def visits(queries: DataFrame, cells: Cells, radius: str, own: str) -> DataFrame:
-    """Explode every query to the cells that may hold a point within its radius.
+def _reachable(d: np.ndarray, own: np.ndarray, radius: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Which cells, by pivot distances ``d``, may hold a point within ``theta``; ``own`` is the least of a row's distances."""
+    bound = np.maximum(d - radius, (d - own[:, None]) / 2.0)  # beyond the ball, or beyond the plane between two pivots
+    return bound <= theta[:, None] + 1e-9 * (1.0 + d)
 
-    ``own`` says whether the query's own cell is kept (``"with"``) or left out (``"without"``). The radius is
-    first lowered to what the cell facts alone guarantee to contain enough points.
+
+def visits(queries: DataFrame, cells: Cells, radius: str) -> DataFrame:
+    """Explode every query to the leaf cells (``to_cell``) but its own that may hold a point within its radius.
+
+    The radius is first lowered to what the cell facts alone guarantee to contain enough points.
     """
-    pivots, rad, reach, size = cells.pivots, cells.radius, cells.reach, cells.size
-    drop_own = own == "without"
+    pivots, rad, reach, size, split = cells.pivots, cells.radius, cells.reach, cells.size, cells.split
 
-    @F.arrow_udf("array<int>")
-    def targets(vec: pa.Array, cell: pa.Array, bound: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<bigint>")
+    def targets(vec: pa.Array, top: pa.Array, bound: pa.Array) -> pa.Array:
         v = vec.flatten().to_numpy(zero_copy_only=False).reshape(len(vec), pivots.shape[1])
-        home = cell.to_numpy(zero_copy_only=False)
+        home = top.to_numpy(zero_copy_only=False)
         limit = bound.to_numpy(zero_copy_only=False)
-        counts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        counts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(v), CHUNK):
             h = home[at:at + CHUNK]
             d = np.sqrt(squared_distances(v[at:at + CHUNK], pivots))
-            theta = np.minimum(limit[at:at + CHUNK], (d + reach).min(axis=1)) if drop_own else limit[at:at + CHUNK]
-            ring = d - rad
-            plane = (d - d[np.arange(len(h)), h][:, None]) / 2.0
-            slack = 1e-9 * (1.0 + d)
-            hit = (np.maximum(ring, plane) <= theta[:, None] + slack) & (size > 0)
-            hit[np.arange(len(h)), h] = not drop_own
+            theta = np.minimum(limit[at:at + CHUNK], (d + reach).min(axis=1))
+            hit = _reachable(d, d.min(axis=1), rad, theta) & (size > 0)
+            hit[np.arange(len(h)), h] = split[h]
             row, col = np.nonzero(hit)
             counts.append(np.bincount(row, minlength=len(h)))
-            found.append(col.astype(np.int32))
+            found.append(col + MAX_PIVOTS)
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
 
-    return queries.withColumn("to_cell", F.explode(targets("vec", "cell", radius)))
+    out = queries.withColumn("to_cell", F.explode(targets("vec", "top", radius)))
+
+    def descend(rows: pa.Table, fact: pa.Table) -> pa.Table:
+        v, limit, home = matrix(rows), numbers(rows, "_bound"), numbers(rows, "_home")
+        ids, rads, reaches = (fact.column(c)[0].values.to_numpy() for c in ("cells", "radiuss", "reachs"))
+        centres = matrix(fact, "pivots").reshape(len(ids), -1)
+        d = np.sqrt(squared_distances(v, centres))
+        theta = np.minimum(limit, (d + reaches).min(axis=1))
+        hit = _reachable(d, d.min(axis=1), rads, theta) & (home[:, None] != ids)
+        row, col = np.nonzero(hit)
+        return pa.table({"_pt": numbers(rows, "pt")[row], "to_cell": ids[col]})
+
+    for children in cells.levels:
+        # (query, split cell) pairs become (query, child) pairs; the other columns come back by the query's key
+        narrow = out.select("pt", "vec", F.col("cell").alias("_home"), F.col(radius).cast("double").alias("_bound"), "to_cell")
+        facts = children.withColumnRenamed("cell", "to_cell")
+        lower = apply_with_facts(narrow, facts, "to_cell", "pt", descend, "_pt long, to_cell long", CHUNK)
+        lower = queries.join(lower, F.col("pt") == F.col("_pt")).drop("_pt")
+        out = cut_lineage(out.join(children.select(F.col("cell").alias("to_cell")), "to_cell", "left_anti")
+                          .select(*queries.columns, "to_cell").unionByName(lower))
+    return out
 
 
 def _chunks(n_column) -> "F.Column":
@@ -134,60 +216,72 @@ def _chunks(n_column) -> "F.Column":
 
 
 def compare_blocks(queries: DataFrame, candidates: DataFrame, func, result: str) -> DataFrame:
-    """Run ``func(queries, candidates)`` on chunks that share a cell.
+    """Run ``func(queries, candidates)`` (Arrow tables) on chunks that share a cell.
 
     ``queries`` come with ``to_cell``, ``candidates`` with ``cell``. Both are salted by their key
     hash into chunks of about ``CHUNK`` rows, so a cell with a third of all rows becomes many small
     groups.
     """
-    q_size = queries.groupBy(F.col("to_cell").alias("_cell")).agg(_chunks(F.count("*")).alias("nq"))
-    c_size = candidates.groupBy(F.col("cell").alias("_cell2")).agg(_chunks(F.count("*")).alias("nc"))
-    sizes = q_size.join(c_size, F.col("_cell") == F.col("_cell2")).select("_cell", "nq", "nc")
-    sizes = F.broadcast(sizes)  # at most MAX_PIVOTS rows
-    q = (queries.join(sizes, F.col("to_cell") == F.col("_cell"))
+    q_size = queries.groupBy(F.col("to_cell").alias("cell")).agg(F.count("*").alias("_q"))
+    c_size = candidates.groupBy("cell").agg(F.count("*").alias("_c"))
+    sizes = cut_lineage(q_size.join(c_size, "cell").select("cell", _chunks(F.col("_q")).alias("nq"), _chunks(F.col("_c")).alias("nc"), "_q", "_c"))
+    q = queries.drop("cell").withColumnRenamed("to_cell", "cell")
+    q = (join_facts(q, sizes.drop("_c"), "cell", "_q", "pt")
          .withColumn("qs", F.pmod(F.xxhash64("pt"), F.col("nq")).cast("int"))
          .withColumn("cs", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)))
-         .drop("_cell", "nq", "nc", "cell").withColumnRenamed("to_cell", "cell"))
-    c = (candidates.join(sizes, F.col("cell") == F.col("_cell"))
+         .drop("nq", "nc"))
+    c = (join_facts(candidates, sizes.drop("_q"), "cell", "_c", "pt")
          .withColumn("cs", F.pmod(F.xxhash64("pt"), F.col("nc")).cast("int"))
          .withColumn("qs", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-         .drop("_cell", "nq", "nc"))
+         .drop("nq", "nc"))
     c = c.select(*[F.col(x).alias(x) for x in c.columns])  # both sides may stem from one table
     keys = ["cell", "qs", "cs"]
+    empty = result_schema(result).empty_table()
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({name.split(" ")[0]: [] for name in result.split(", ")})
-        return func(left, right)
-
-    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(run, result)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return func(left, right) if left.num_rows and right.num_rows else empty
 
+    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(run, result)
 
-def _matrix(frame: pd.DataFrame) -> np.ndarray:
-    return np.stack(frame["vec"].to_numpy()).astype(float)
 
-
-def _best(queries: DataFrame, candidates: DataFrame, m: int) -> DataFrame:
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        d2 = squared_distances(_matrix(left), _matrix(right))
+def nearest_in_cells(queries: DataFrame, candidates: DataFrame, m: int) -> DataFrame:
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        d2 = squared_distances(matrix(left), matrix(right))
         kth = np.partition(d2, min(m, d2.shape[1]) - 1, axis=1)[:, min(m, d2.shape[1]) - 1]
         row, col = np.nonzero(d2 <= kth[:, None])
-        ids = right["pt"].to_numpy()[col]
+        ids = numbers(right, "pt")[col]
         order = np.lexsort((ids, d2[row, col], row))
         row, col, ids = row[order], col[order], ids[order]
         first = np.searchsorted(row, row)
         top = np.arange(len(row)) - first < m
-        return pd.DataFrame({"pt": left["pt"].to_numpy()[row[top]], "near_pt": ids[top],
-                             "distance": np.sqrt(d2[row[top], col[top]])})
+        return pa.table({"pt": numbers(left, "pt")[row[top]], "near_pt": ids[top], "distance": np.sqrt(d2[row[top], col[top]])})
 
     return compare_blocks(queries, candidates, block, "pt long, near_pt long, distance double")
 
 
-def _keep_best(found: DataFrame, m: int) -> DataFrame:
+def keep_best(found: DataFrame, m: int) -> DataFrame:
     order = Window.partitionBy("pt").orderBy("distance", "near_pt")
     return found.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= m).drop("_r")
 
 
+def rows_of_points(rows: DataFrame, points: DataFrame, both: DataFrame, key: str, k: int) -> DataFrame:
+    """Neighbours of rows from neighbours of distinct points (``pt, near_pt, distance``, itself included)."""
+    m = k + 1
+    members = points.select(F.col("pt").alias("near_pt"), "members")
+    near = (both.join(members, "near_pt")
+            .select("pt", F.transform("members", lambda x: F.struct(F.col("distance").alias("distance"), x.alias("id"))).alias("c"))
+            .groupBy("pt").agg(F.slice(F.sort_array(F.flatten(F.collect_list("c"))), 1, m).alias("near")))
+    located = near.join(points.select("pt", "vec", "weight"), "pt").select("vec", "near", "weight")
+    picked = join_facts(rows, located, "vec", "weight", key, narrow=False).select(
+        key, F.slice(F.filter("near", lambda x: x["id"] != F.col(key)), 1, k).alias("near"))
+    return picked.select(key, F.posexplode("near").alias("_pos", "n")).select(
+        key, F.col("n.id").alias("neighbor"), (F.col("_pos") + 1).alias("rank"), F.col("n.distance").alias("distance"))
+
+
+def vectors_of(df: DataFrame, key: str, vec: str) -> DataFrame:
+    return df.select(F.col(key).cast("long").alias(key), F.col(vec).cast("array<double>").alias("vec"))
+
+
 def knn(df: DataFrame, key: str, vec: str, k: int = 5) -> DataFrame:
     """Exact k nearest other rows as ``key, neighbor, rank, distance`` (ties: smaller key first).
 
@@ -195,35 +289,27 @@ def knn(df: DataFrame, key: str, vec: str, k: int = 5) -> DataFrame:
     other cells it visits.
     """
     m = k + 1
-    rows = df.select(F.col(key).cast("long").alias(key), F.col(vec).cast("array<double>").alias("vec"))
+    rows = vectors_of(df, key, vec)
     cells = build_cells(collapse_copies(rows, key, "vec", m), m)
-    pts = cells.points.select("pt", "vec", "cell")
-    home = cut_lineage(_keep_best(_best(pts.withColumn("to_cell", F.col("cell")), pts, m), m))
+    pts = cells.points.select("pt", "vec", "top", "cell")
+    home = cut_lineage(keep_best(nearest_in_cells(pts.withColumn("to_cell", F.col("cell")), pts, m), m))
     bound = home.groupBy(F.col("pt").alias("_pt")).agg(
         F.when(F.count("*") >= m, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
-    away = visits(pts.join(bound, F.col("pt") == F.col("_pt")).drop("_pt"), cells, "bound", "without")
-    both = _keep_best(home.unionByName(_best(away.drop("bound"), pts, m)), m)
-    members = cells.points.select(F.col("pt").alias("near_pt"), "members")
-    near = (both.join(members, "near_pt")
-            .select("pt", F.transform("members", lambda x: F.struct(F.col("distance").alias("distance"),
-                                                                    x.alias("id"))).alias("c"))
-            .groupBy("pt").agg(F.slice(F.sort_array(F.flatten(F.collect_list("c"))), 1, m).alias("near")))
-    located = near.join(cells.points.select("pt", F.col("vec").alias("_v")), "pt").select("_v", "near")
-    picked = rows.join(located, F.col("vec") == F.col("_v")).select(
-        key, F.slice(F.filter("near", lambda x: x["id"] != F.col(key)), 1, k).alias("near"))
-    return picked.select(key, F.posexplode("near").alias("_pos", "n")).select(
-        key, F.col("n.id").alias("neighbor"), (F.col("_pos") + 1).alias("rank"), F.col("n.distance").alias("distance"))
+    away = visits(pts.join(bound, F.col("pt") == F.col("_pt")).drop("_pt"), cells, "bound")
+    both = keep_best(home.unionByName(nearest_in_cells(away.drop("bound"), pts, m)), m)
+    return rows_of_points(rows, cells.points, both, key, k)
 
 
-def eps_neighbor_counts(cells: Cells, eps: float) -> DataFrame:
-    """``pt, n_near``: rows within ``eps`` of every distinct point, itself included."""
-    pts = cells.points.select("pt", "vec", "weight", "cell")
+def eps_neighbor_counts(pts: DataFrame, visiting: DataFrame, eps: float) -> DataFrame:
+    """``pt, n_near``: rows within ``eps`` of every distinct point, itself included.
+
+    ``pts`` are weighted points in their cells, ``visiting`` the points with a ``to_cell`` for every cell near them.
+    """
     limit = eps * eps
 
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        near = squared_distances(_matrix(left), _matrix(right)) <= limit
-        return pd.DataFrame({"pt": left["pt"], "n_near": near @ right["weight"].to_numpy()})
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        near = squared_distances(matrix(left), matrix(right)) <= limit
+        return pa.table({"pt": left.column("pt"), "n_near": near @ numbers(right, "weight")})
 
-    q = visits(pts.drop("weight").withColumn("_eps", F.lit(float(eps))), cells, "_eps", "with").drop("_eps")
-    found = compare_blocks(q, pts, block, "pt long, n_near long")
+    found = compare_blocks(visiting, pts.select("pt", "vec", "weight", "cell"), block, "pt long, n_near long")
     return found.groupBy("pt").agg(F.sum("n_near").alias("n_near"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wavelattice import schema as S
 from wavelattice.functions.scalars import rounded as r
-from wavelattice.operators import augment, clustering, explain, metrics, models, neighbors, profiling, splits
+from wavelattice.operators import augment, clustering, explain, grid, lsh, metrics, models, neighbors, profiling, splits
 from wavelattice.operators.cleaning import drop_degenerate
 from wavelattice.operators.paths import measurement_features
 from wavelattice.plans import views as V
@@ -44,11 +44,15 @@ def _(spark, sf):
 
 @query("eps_neighbor_join", f"{W} SELECT a.vec_id, count(*) AS n_near FROM pts a JOIN pts b ON {dist2('a', 'b')} <= 1.44 GROUP BY a.vec_id")
 def _(spark, sf):
-    cells = neighbors.build_cells(neighbors.collapse_copies(V.pts(spark, sf), "vec_id", "vec"))
-    counts = neighbors.eps_neighbor_counts(cells, 1.2)
-    # one count per distinct vector, joined back to all rows that share it
-    near = cells.points.join(counts, "pt").select(F.col("vec").alias("_v"), "n_near")
-    return V.pts(spark, sf).select("vec_id", "vec").join(near, F.col("vec") == F.col("_v")).select("vec_id", "n_near")
+    return grid.eps_neighbors(V.pts(spark, sf), "vec_id", "vec", 1.2)
+
+
+@query("knn_approx")
+def _(spark, sf):
+    pts = V.pts(spark, sf)
+    found = cut_lineage(lsh.approx_knn(pts, "vec_id", "vec", 5))
+    share = lsh.recall(found, neighbors.knn(pts, "vec_id", "vec", 5), "vec_id").select("recall")
+    return found.join(F.broadcast(share))  # one row
 
 
 @query("smote", f"""{W}, {knn_sql('a.rare = 1 AND b.rare = 1', 5)}, c AS (SELECT count_if(rare = 1) AS n1, count_if(rare = 0) AS n0 FROM pts),
@@ -110,6 +114,17 @@ def _(spark, sf):
         r(F.col("silhouette")).alias("silhouette"), "n")
 
 
+@query("silhouette_squared", f"""{W}, {assigned_sql(3)}, l AS (SELECT vec_id, cluster, unnest(range(1, len(vec) + 1)) AS i, unnest(vec)::DOUBLE AS v FROM assigned),
+  m AS (SELECT cluster, i, avg(v) AS mean, avg(v * v) AS sq FROM l GROUP BY cluster, i), k AS (SELECT cluster, count(*)::DOUBLE AS n FROM assigned GROUP BY cluster),
+  d AS (SELECT l.vec_id, l.cluster AS own, m.cluster AS other, sum(l.v * l.v + m.sq - 2 * l.v * m.mean) AS d FROM l JOIN m ON l.i = m.i GROUP BY ALL),
+  ab AS (SELECT vec_id, max(CASE WHEN own = other THEN n END) AS n_own, max(CASE WHEN own = other AND n > 1 THEN d * n / (n - 1) END) AS a,
+    min(CASE WHEN own <> other THEN d END) AS b FROM d JOIN k ON k.cluster = d.other GROUP BY vec_id)
+  SELECT {rnd('avg(CASE WHEN n_own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette, count(*) AS n FROM ab""")
+def _(spark, sf):
+    return clustering.silhouette_squared(assigned(spark, sf, 3), X, ["cluster"]).select(
+        r(F.col("silhouette")).alias("silhouette"), "n")
+
+
 @query("adjusted_rand", f"""{W}, {assigned_sql(3)}, c AS (SELECT y, cluster, count(*)::DOUBLE AS n FROM assigned GROUP BY y, cluster),
   i AS (SELECT sum(n * (n - 1) / 2) AS v, sum(n) AS n FROM c), a AS (SELECT sum(n * (n - 1) / 2) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY y)),
   b AS (SELECT sum(n * (n - 1) / 2) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY cluster))
