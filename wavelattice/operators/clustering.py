@@ -19,7 +19,7 @@ from wavelattice.operators.profiling import centred_moments
 from wavelattice.operators.quantiles import prefix_sums
 from wavelattice.operators.skew import join_facts
 from wavelattice.operators.splits import apply_scaling, sampled_subset, scaler_statistics
-from wavelattice.session import concurrently, cut_lineage
+from wavelattice.session import concurrently, fresh_cut
 
 
 def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int | Sequence[int], restarts: int = 10,
@@ -200,10 +200,10 @@ def elbow_silhouette(train: DataFrame, key: str, columns: Sequence[str], ks: Seq
     """
     columns = list(columns)
     scaled = apply_scaling(train, scaler_statistics(train, columns))
-    wide = cut_lineage(scaled.select(key, *columns))
+    wide = fresh_cut(scaled.select(key, *columns))
     for k, (centres, _) in kmeans_fit(wide, columns, list(ks), restarts, seed).items():
         wide = kmeans_assign(wide, columns, centres).withColumnsRenamed({"cluster": f"k{k}", "dist2": f"cost{k}"})
-    wide = cut_lineage(wide.withColumn("vec", F.array(*columns)))
+    wide = fresh_cut(wide.withColumn("vec", F.array(*columns)))
     costs = wide.agg(*[F.sum(f"cost{k}").alias(f"k{k}") for k in ks]).unpivot(
         [], [f"k{k}" for k in ks], "labeling", "inertia")
     quality = silhouette(wide, key, "vec", [f"k{k}" for k in ks], sample_size, seed)
@@ -272,7 +272,7 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float = 2.0, min_samples: int
     rows = N.vectors_of(df, key, vec)
     grid = build_grid(N.collapse_copies(rows, key, "vec"), eps)
     counted = N.eps_neighbor_counts(grid.points, grid.visiting(grid.points.select("pt", "vec", "cell")), eps)
-    pts = cut_lineage(grid.points.select("pt", "vec", "weight", "cell").join(
+    pts = fresh_cut(grid.points.select("pt", "vec", "weight", "cell").join(
         counted.select("pt", (F.col("n_near") >= min_samples).alias("core")), "pt"))
     core = pts.filter("core").select("pt", "vec", "cell")
     limit = eps * eps
@@ -291,10 +291,10 @@ def dbscan(df: DataFrame, key: str, vec: str, eps: float = 2.0, min_samples: int
     joined = N.compare_blocks(grid.visiting(border), labelled, lowest, "pt long, comp long").groupBy("pt").agg(F.min("comp").alias("comp"))
     roots = comps.filter(F.col("node") == F.col("comp")).select(F.col("node").alias("root"), F.lit(1).alias("one"))
     order = prefix_sums(roots, [], "root", ["one"]).select(F.col("root").alias("comp"), (F.col("cum_one") - 1).cast("int").alias("cluster"))
-    placed = labelled.select("pt", "comp").unionByName(joined)
+    placed = fresh_cut(labelled.select("pt", "comp").unionByName(joined))
     sizes = placed.groupBy("comp").agg(F.count("*").alias("n"))
     known = join_facts(placed, sizes.join(order, "comp"), "comp", "n", "pt").select("pt", "cluster")
-    facts = pts.join(known, "pt", "left").select("vec", "weight", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    facts = fresh_cut(pts.join(known, "pt", "left").select("vec", "weight", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
     return join_facts(rows, facts, "vec", "weight", key, narrow=False).select(key, "cluster")
 
 

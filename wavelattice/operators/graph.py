@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wavelattice.operators.skew import join_facts
-from wavelattice.session import cut_lineage
+from wavelattice.session import cut_lineage, fresh_cut
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -38,22 +38,24 @@ def star_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     of very many neighbours nor a component that holds all nodes meets in one task.
     """
     real = edges.filter(F.col("u") != F.col("v"))
-    held = cut_lineage(real.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct())
-    seen = None
-    while True:
+    held = fresh_cut(real.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct())
+    while not _is_star_forest(held):
         both = held.select(F.col("a").alias("u"), F.col("b").alias("v")).union(held.select("b", "a"))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
-        large = join_facts(both.filter(F.col("v") > F.col("u")), least, "u", "n", "v").select(
-            F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        large = cut_lineage(large)
+        large = fresh_cut(join_facts(both.filter(F.col("v") > F.col("u")), least, "u", "n", "v").select(
+            F.col("v").alias("a"), F.col("m").alias("b")).distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = join_facts(large, least, "a", "n", "b").select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        held = cut_lineage(small.select("e.a", "e.b").filter(F.col("a") != F.col("b")).distinct())
-        now = held.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == seen:
-            break
-        seen = now
+        held = fresh_cut(small.select("e.a", "e.b").filter(F.col("a") != F.col("b")).distinct())
     root = held.select(F.col("a").alias("_n"), F.col("b").alias("_root"))  # one edge per node that is not a root
-    return cut_lineage(nodes.select("node").join(root, F.col("node") == F.col("_n"), "left").select(
+    return fresh_cut(nodes.select("node").join(root, F.col("node") == F.col("_n"), "left").select(
         "node", F.coalesce("_root", "node").alias("comp")))
+
+
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every ``a`` has one edge, and no ``b`` hangs on another node."""
+    ends = edges.groupBy("a").agg(F.count("*").alias("n"))
+    if not ends.filter("n > 1").isEmpty():
+        return False
+    return edges.select(F.col("b").alias("_b")).distinct().join(edges, F.col("_b") == F.col("a"), "left_semi").isEmpty()

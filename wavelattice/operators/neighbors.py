@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wavelattice.functions.scalars import keyed_digest
 from wavelattice.operators.skew import apply_with_facts, join_facts, result_schema
-from wavelattice.session import cut_lineage
+from wavelattice.session import fresh_cut
 
 CHUNK = 2000          # points on either side of one comparison block
 CELL_TARGET = 4000    # aimed-at points per cell; a cell of over twice as many is split
@@ -41,7 +41,7 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def matrix(table: pa.Table, column: str = "vec") -> np.ndarray:
     """A column of equally long lists as rows of a matrix."""
     flat = table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(table.num_rows, -1)
+    return flat.reshape(table.num_rows, -1 if table.num_rows else 0)
 
 
 def numbers(table: pa.Table, column: str) -> np.ndarray:
@@ -99,7 +99,7 @@ def _facts(placed: DataFrame, m: int) -> DataFrame:
 
 def _split_once(placed: DataFrame, m: int) -> tuple[DataFrame, DataFrame] | None:
     """Points placed anew in the children of all cells that are too large, and the facts of those children."""
-    sizes = cut_lineage(placed.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * CELL_TARGET))
+    sizes = fresh_cut(placed.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * CELL_TARGET))
     if sizes.isEmpty():
         return None
     large = sizes.select("cell", F.least(F.ceil(F.col("n") / CELL_TARGET), F.lit(FAN)).alias("_fan"), "n")
@@ -107,7 +107,7 @@ def _split_once(placed: DataFrame, m: int) -> tuple[DataFrame, DataFrame] | None
     by_digest = Window.partitionBy("cell").orderBy(keyed_digest(F.col("pt"), "split"), "pt")
     pivots = inside.select("cell", "vec", "_fan", "pt").withColumn("_r", F.row_number().over(by_digest))
     pivots = pivots.filter((F.col("_r") <= FAN) & (F.col("_r") <= F.col("_fan")))
-    pivots = cut_lineage(pivots.select("cell", "vec", (F.col("_r") - 1).alias("i")))
+    pivots = fresh_cut(pivots.select("cell", "vec", (F.col("_r") - 1).alias("i")))
     packed = pivots.groupBy("cell").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("i", "vec"))), lambda x: x["vec"])).alias("pivots"))  # at most FAN vectors
 
@@ -117,20 +117,20 @@ def _split_once(placed: DataFrame, m: int) -> tuple[DataFrame, DataFrame] | None
         return pa.table({"_pt": rows.column("pt"), "_cell": numbers(rows, "cell") * FAN + where, "_own": own})
 
     moved = apply_with_facts(inside.select("pt", "vec", "cell"), packed, "cell", "pt", place, "_pt long, _cell long, _own double", 4 * CHUNK)
-    again = cut_lineage(placed.join(moved, F.col("pt") == F.col("_pt"), "left").select(
+    again = fresh_cut(placed.join(moved, F.col("pt") == F.col("_pt"), "left").select(
         *[c for c in placed.columns if c not in ("cell", "own")], F.coalesce("_cell", "cell").alias("cell"), F.coalesce("_own", "own").alias("own")))
     facts = _facts(again.join(sizes.select(F.col("cell").alias("_parent")), F.expr(f"cell div {FAN}") == F.col("_parent"), "left_semi"), m)
     children = facts.join(pivots.select((F.col("cell") * FAN + F.col("i")).alias("cell"), "vec"), "cell")
     child = F.struct("cell", "radius", "size", "reach", "vec")
     table = children.groupBy(F.expr(f"cell div {FAN}").alias("parent")).agg(F.sort_array(F.collect_list(child)).alias("c"))  # at most FAN
-    return again, cut_lineage(table.select(
+    return again, fresh_cut(table.select(
         F.col("parent").alias("cell"), *[F.col(f"c.{x}").alias(f"{x}s") for x in ("cell", "radius", "size", "reach")],
         F.flatten("c.vec").alias("pivots")))
 
 
 def build_cells(points: DataFrame, m: int = 1) -> Cells:
     """Choose pivots, place every point in its nearest pivot's cell, measure the cells and split those that are too large."""
-    points = cut_lineage(points)
+    points = fresh_cut(points)
     n = points.count()
     wanted = max(1, min(MAX_PIVOTS, -(-n // CELL_TARGET)))
     chosen = points.orderBy(keyed_digest(F.col("pt"), "pivot")).limit(wanted).select("vec").collect()
@@ -143,7 +143,7 @@ def build_cells(points: DataFrame, m: int = 1) -> Cells:
         return pa.StructArray.from_arrays([pa.array(cell), pa.array(own)], ["cell", "own"])
 
     where = place("vec") if n else F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(0.0).alias("own"))
-    placed = cut_lineage(points.withColumn("_p", where).select(
+    placed = fresh_cut(points.withColumn("_p", where).select(
         *points.columns, F.col("_p.cell").alias("top"), (F.col("_p.cell") + MAX_PIVOTS).alias("cell"), "_p.own"))
     radius, reach = np.zeros(len(pivots)), np.full(len(pivots), np.inf)
     size = np.zeros(len(pivots), np.int64)
@@ -206,7 +206,7 @@ def visits(queries: DataFrame, cells: Cells, radius: str) -> DataFrame:
         facts = children.withColumnRenamed("cell", "to_cell")
         lower = apply_with_facts(narrow, facts, "to_cell", "pt", descend, "_pt long, to_cell long", CHUNK)
         lower = queries.join(lower, F.col("pt") == F.col("_pt")).drop("_pt")
-        out = cut_lineage(out.join(children.select(F.col("cell").alias("to_cell")), "to_cell", "left_anti")
+        out = fresh_cut(out.join(children.select(F.col("cell").alias("to_cell")), "to_cell", "left_anti")
                           .select(*queries.columns, "to_cell").unionByName(lower))
     return out
 
@@ -220,11 +220,17 @@ def compare_blocks(queries: DataFrame, candidates: DataFrame, func, result: str)
 
     ``queries`` come with ``to_cell``, ``candidates`` with ``cell``. Both are salted by their key
     hash into chunks of about ``CHUNK`` rows, so a cell with a third of all rows becomes many small
-    groups.
+    groups. Cells that are one chunk are dealt in bundles of about as many rows.
     """
     q_size = queries.groupBy(F.col("to_cell").alias("cell")).agg(F.count("*").alias("_q"))
     c_size = candidates.groupBy("cell").agg(F.count("*").alias("_c"))
-    sizes = cut_lineage(q_size.join(c_size, "cell").select("cell", _chunks(F.col("_q")).alias("nq"), _chunks(F.col("_c")).alias("nc"), "_q", "_c"))
+    sizes = q_size.join(c_size, "cell").select("cell", _chunks(F.col("_q")).alias("nq"), _chunks(F.col("_c")).alias("nc"), "_q", "_c")
+    sizes = fresh_cut(sizes)
+    small = (F.col("nq") == 1) & (F.col("nc") == 1)
+    total = sizes.filter(small).agg(F.coalesce(F.sum(F.col("_q") + F.col("_c")), F.lit(0))).first()[0]  # one row
+    bundles = max(1, -(-total // CHUNK))
+    sizes = sizes.withColumn("_small", small).withColumn(
+        "_at", F.when(small, F.pmod(F.xxhash64("cell"), F.lit(bundles))).otherwise(F.col("cell")))
     q = queries.drop("cell").withColumnRenamed("to_cell", "cell")
     q = (join_facts(q, sizes.drop("_c"), "cell", "_q", "pt")
          .withColumn("qs", F.pmod(F.xxhash64("pt"), F.col("nq")).cast("int"))
@@ -235,11 +241,21 @@ def compare_blocks(queries: DataFrame, candidates: DataFrame, func, result: str)
          .withColumn("qs", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
          .drop("nq", "nc"))
     c = c.select(*[F.col(x).alias(x) for x in c.columns])  # both sides may stem from one table
-    keys = ["cell", "qs", "cs"]
+    keys = ["_small", "_at", "qs", "cs"]
     empty = result_schema(result).empty_table()
 
+    def runs(table: pa.Table) -> tuple[pa.Table, dict]:
+        table = table.sort_by("cell").combine_chunks()
+        found, begin, size = np.unique(numbers(table, "cell"), return_index=True, return_counts=True)
+        return table, {c: (b, n) for c, b, n in zip(found.tolist(), begin.tolist(), size.tolist())}
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return func(left, right) if left.num_rows and right.num_rows else empty
+        if not left.num_rows or not right.num_rows:
+            return empty
+        left, asked = runs(left)
+        right, held = runs(right)
+        parts = [func(left.slice(*asked[c]), right.slice(*held[c])) for c in asked if c in held]
+        return pa.concat_tables(parts) if parts else empty
 
     return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(run, result)
 
@@ -292,7 +308,7 @@ def knn(df: DataFrame, key: str, vec: str, k: int = 5) -> DataFrame:
     rows = vectors_of(df, key, vec)
     cells = build_cells(collapse_copies(rows, key, "vec", m), m)
     pts = cells.points.select("pt", "vec", "top", "cell")
-    home = cut_lineage(keep_best(nearest_in_cells(pts.withColumn("to_cell", F.col("cell")), pts, m), m))
+    home = fresh_cut(keep_best(nearest_in_cells(pts.withColumn("to_cell", F.col("cell")), pts, m), m))
     bound = home.groupBy(F.col("pt").alias("_pt")).agg(
         F.when(F.count("*") >= m, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
     away = visits(pts.join(bound, F.col("pt") == F.col("_pt")).drop("_pt"), cells, "bound")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wavelattice.session import cut_lineage
+from wavelattice.session import fresh_cut
 
 HOT_ROWS = 50_000         # rows of a key from which it is spread
 MAX_HOT = 10_000          # bound of the broadcast table of hot keys
@@ -23,7 +23,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, spread:
     ``spread`` is a column of ``rows`` whose values differ within a key. ``narrow`` facts are broadcast when they are few;
     others are left to the planner.
     """
-    facts = cut_lineage(facts)
+    facts = fresh_cut(facts)
     size = facts.agg(F.count("*").alias("keys"), F.sum(count).alias("rows")).first()  # one row
     if narrow and size["keys"] <= BROADCAST_FACTS:
         return rows.join(F.broadcast(facts.drop(count)), key)
@@ -46,7 +46,7 @@ def apply_with_facts(rows: DataFrame, facts: DataFrame, key: str, spread: str, f
     Rows without facts go. A key of any number of rows is many groups.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("_n")).join(facts.select(key), key, "left_semi")
-    counts = cut_lineage(counts.withColumn("_groups", F.greatest(F.ceil(F.col("_n") / size), F.lit(1)).cast("int")))
+    counts = fresh_cut(counts.withColumn("_groups", F.greatest(F.ceil(F.col("_n") / size), F.lit(1)).cast("int")))
     dealt = join_facts(rows, counts, key, "_n", spread).withColumn(
         "_group", F.pmod(F.xxhash64(spread, F.lit(17)), F.col("_groups")).cast("int")).drop("_groups")
     copies = facts.join(counts.select(key, "_groups"), key).withColumn(

@@ -55,6 +55,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh_cut(df: DataFrame) -> DataFrame:
+    """:func:`cut_lineage` for loops: the size estimate of the plan is dropped too.
+
+    A checkpointed table carries the estimate of the plan it came from. Joins multiply estimates, so in a loop their digits
+    grow round by round, until planning takes longer than the work; actual sizes are known to adaptive execution anyway.
+    """
+    spark, kept = df.sparkSession, cut_lineage(df)
+    plain = spark._jsparkSession.internalCreateDataFrame(kept._jdf.queryExecution().toRdd(), kept._jdf.schema(), False)
+    return DataFrame(plain, spark)
+
+
 def concurrently(spark: SparkSession, run: Callable, tasks: Sequence, parallelism: int) -> list:
     """``[run(t) for t in tasks]`` with the Spark jobs submitted from several driver threads.
 
