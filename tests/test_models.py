@@ -140,6 +140,61 @@ def test_tree_attributions_are_shapley_values(spark, data):
         assert max(imp, key=imp.get) == "a"
 
 
+def ready_rows(rows):
+    return models.assemble(rows, X).select("features", F.col("label").cast("double").alias("label"), (F.col("id") % 2).alias("fold"))
+
+
+def predictions(model, rows):
+    return [(r["prediction"], *r["features"]) for r in model.transform(rows).select("prediction", "features").collect()]
+
+
+def test_prefix_of_boosting_is_the_fit_with_fewer_rounds(data):
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    rows = ready_rows(data[0]).coalesce(1).cache()
+    for make in (lambda n: models.boosted(n, 3, 0.3, 0.8), lambda n: GBTRegressor(maxIter=n, maxDepth=3, seed=5, subsamplingRate=0.7)):
+        short, long = make(3).fit(rows), make(7).fit(rows)
+        assert predictions(models.prefix_model(long, 3), rows) == predictions(short, rows) != predictions(long, rows)
+    for est in (models.forest(9, 4), RandomForestRegressor(numTrees=9, maxDepth=4)):
+        whole = est.fit(rows)
+        part = models.prefix_model(whole, 4)
+        assert part.getNumTrees == 4 == len(part.trees) and whole.getNumTrees == 9
+        if isinstance(est, RandomForestRegressor):
+            vectors = [r["features"] for r in rows.collect()]
+            assert [p for p, *_ in predictions(part, rows)] == pytest.approx([np.mean([t.predict(v) for t in whole.trees[:4]]) for v in vectors])
+
+
+def test_staged_search_scores_like_separate_fits(data):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    rows = ready_rows(data[0]).coalesce(1).cache()
+    evaluator = MulticlassClassificationEvaluator(metricName="f1")
+    est = models.boosted(1, 1)
+    found = models.grid_search(est, {"maxIter": [2, 5], "maxDepth": [2, 20], "stepSize": [0.1, 0.5]}, rows, evaluator, 2, 4)
+    assert len(found.scores) == 8
+    for point, score in found.scores:
+        one = est.copy({est.getParam(k): v for k, v in point.items()})
+        want = np.mean([evaluator.evaluate(one.fit(rows.filter(F.col("fold") != f)).transform(rows.filter(F.col("fold") == f))) for f in (0, 1)])
+        assert score == pytest.approx(want)
+    assert found.best == max(found.scores, key=lambda s: s[1])[0]
+
+
+def test_deeper_limits_reuse_trees_that_end_before(data, monkeypatch):
+    rows = ready_rows(data[0]).coalesce(1).cache()
+    fits = []
+    est = models.forest(6, 3)
+    plain = type(est).fit
+    monkeypatch.setattr(type(est), "fit", lambda self, df: fits.append(self.getMaxDepth()) or plain(self, df))
+    chain = [{"maxDepth": d, "numTrees": n} for d in (2, 25, 30) for n in (4, 6)]
+    scores = models._fit_chain(est, chain, rows, lambda m: (m.getNumTrees, predictions(m, rows)))
+    assert fits == [2, 25] and scores[2:4] == scores[4:6] and [s[0] for s in scores] == [4, 6] * 3
+    assert scores[5][1] == predictions(plain(est.copy({est.maxDepth: 30}), rows), rows)
+
+
+def test_class_ratio_weights(data):
+    w = {r["label"]: r["weight"] for r in profiling.attach_weights(data[0], "label", "pos_weight").select("label", "weight").distinct().collect()}
+    n = {r["label"]: r["count"] for r in data[0].groupBy("label").count().collect()}
+    assert w == {0: 1.0, 1: pytest.approx(n[0] / n[1])}
+
+
 def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
     from wavelattice.plans import catalog, model_queries
 
@@ -156,7 +211,13 @@ def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
     rows = data[0].select(F.col("id").alias("row_id"), F.col("id").alias("sample_id"), "label", "split", F.lit(1).alias("path_id"),
                           F.col("a").alias("range_m"), *[F.col("b").alias(c) for c in model_queries.S.FEATURES])
     monkeypatch.setattr(model_queries, "study", lambda spark, sf: (rows, rows))
-    monkeypatch.setattr(models, "grid_search", asked("grid", 1, 4))
+
+    def searched(jobs, folds, parallelism):
+        seen.append((sorted((name, grid) for name, (_, grid, _, _) in jobs.items()), folds))
+        raise Asked
+
+    monkeypatch.setattr(models, "search_grids", searched)
+    model_queries._eliminated.clear()
 
     def wanted(name):
         seen.clear()
@@ -164,9 +225,18 @@ def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
             catalog.QUERIES[name](spark, "")
         return seen[0]
 
-    assert wanted("grid_search") == ("grid", models.FOREST_GRID, 5)
-    assert wanted("reg_path1") == wanted("reg_random_forest") == ("grid", models.FOREST_REG_GRID, 3)
-    assert wanted("reg_gbt") == ("grid", models.GBT_REG_GRID, 3) and wanted("reg_xgb") == ("grid", models.BOOST_REG_GRID, 3)
+    assert wanted("grid_search") == ([("one", models.FOREST_GRID)], 5)
+    regression = {"boost": models.BOOST_REG_GRID, "gbt": models.GBT_REG_GRID, "random_forest": models.FOREST_REG_GRID}
+    assert wanted("reg_path1") == (list(regression.items()), 3)
+    for name, family in (("reg_random_forest", "random_forest"), ("reg_gbt", "gbt"), ("reg_xgb", "boost")):
+        assert wanted(name) == ([(family, regression[family])], 3)
+    monkeypatch.setattr(models, "fit_logistic", lambda *a: None)
+    monkeypatch.setattr(models, "fit_svm_grid", lambda *a: None)
+    assert wanted("train_classifiers") == ([("boost", models.BOOST_GRID), ("gbt", models.GBT_GRID), ("random_forest", models.FOREST_GRID)], 5)
+    monkeypatch.undo()
+    monkeypatch.setattr(model_queries, "study", lambda spark, sf: (rows, rows))
+    monkeypatch.setattr(models, "LogisticRegression", asked("logistic", "maxIter"))
+    assert wanted("clf_logistic") == ("logistic", 1000)
     monkeypatch.setattr(models, "boosted", asked("boosted", 0, 1))
     assert wanted("clf_gbt") == ("boosted", 200, 4) and wanted("clf_xgb") == ("boosted", 200, 6)
     monkeypatch.undo()
@@ -180,3 +250,7 @@ def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
     monkeypatch.setattr(models, "fit_svm_grid", asked("svm", 4, 5))
     monkeypatch.setattr(models, "fit_logistic", lambda *a: None)
     assert wanted("train_classifiers") == ("svm", models.SVM_GRID, 5)
+    monkeypatch.setattr(models, "MultilayerPerceptronClassifier", asked("perceptron", "layers", "maxIter"))
+    monkeypatch.setattr(model_queries.V, "clean", lambda spark, sf: rows.select(
+        "sample_id", F.col("label").alias("NLOS"), F.array(F.lit(1.0), F.lit(2.0)).alias("cir"), *[F.col("path_id").cast("double").alias(c) for c in model_queries.S.SCALARS]))
+    assert wanted("clf_waveform_nn") == ("perceptron", [32 + len(model_queries.S.SCALARS), 32, 16, 2], 100)

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -177,42 +178,127 @@ class Search:
     scores: list[tuple[dict, float]]
 
 
-def grid_search(estimator, grid: dict, ready: DataFrame, evaluator, folds: int, parallelism: int = 8) -> Search:
-    """Exhaustive search over the folds given by column ``fold``, then a refit on all rows.
+#: The parameter whose smaller values are prefixes of a fit with its largest one.
+STAGED = {"GBTClassifier": "maxIter", "GBTRegressor": "maxIter", "RandomForestClassifier": "numTrees", "RandomForestRegressor": "numTrees"}
 
-    All (parameters, fold) fits are independent jobs on one cached table.
+
+def prefix_model(model: Model, trees: int) -> Model:
+    """The model made of the first ``trees`` trees of a fitted ensemble.
+
+    Each boosted tree depends on those before it alone, so for boosting this is the model that a fit with fewer rounds
+    gives; trees of a forest do not depend on each other, so there it is a forest of that many trees.
+    """
+    sc, java = SparkContext._active_spark_context, model._java_obj
+    if trees >= len(java.trees()):
+        return model
+
+    def named(name: str):
+        found = sc._jvm
+        for part in name.split("."):
+            found = getattr(found, part)
+        return found
+
+    def first(items, kind):
+        out = sc._gateway.new_array(kind, trees)
+        for i in range(trees):
+            out[i] = items[i]
+        return out
+
+    kept = [first(java.trees(), named(java.trees()[0].getClass().getName()))]
+    if type(model).__name__.startswith("GBT"):
+        kept.append(first(java.treeWeights(), sc._jvm.double))
+    classes = [java.numClasses()] if type(model).__name__.endswith("ClassificationModel") else []
+    build = named(java.getClass().getName())
+    made = build(java.uid(), *kept, java.numFeatures(), *classes)
+    if made.hasParam("numTrees"):  # forests divide by it
+        made.set(made.getParam("numTrees"), trees)
+    return type(model)(made)
+
+
+def _chains(estimator, grid: dict) -> list[list[dict]]:
+    """The points of a grid, grouped by all but the staged parameter and the depth; the points of a group by rising depth."""
+    staged = STAGED.get(type(estimator).__name__)
+    points = [{p.name: v for p, v in m.items()} for m in _param_maps(estimator, grid)]
+    chains: dict[tuple, list[dict]] = {}
+    for p in points:
+        fixed = tuple(sorted((k, v) for k, v in p.items() if k not in (staged, "maxDepth")))
+        chains.setdefault(fixed, []).append(p)
+    return [sorted(c, key=lambda p: p.get("maxDepth", 0)) for c in chains.values()]
+
+
+def _fit_chain(estimator, chain: list[dict], fit_on: DataFrame, score) -> list[float]:
+    """Scores of the points of a chain in order, from as few fits as give the models of separate fits.
+
+    Fewer trees are a prefix of the fit with most. A deeper limit gives the same trees if none has reached the lower one.
     """
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    maps = _param_maps(estimator, grid)
+    staged = STAGED.get(type(estimator).__name__)
+    out, model, depth = [], None, None
+    most = max((p[staged] for p in chain if staged in p), default=None)
+    for p in chain:
+        if model is None or (p.get("maxDepth") != depth and not max(t.depth for t in model.trees) < depth):
+            full = {**p, staged: most} if most is not None else p
+            model = estimator.copy({estimator.getParam(k): v for k, v in full.items()}).fit(fit_on)
+        depth = p.get("maxDepth")
+        out.append(score(prefix_model(model, p[staged]) if most is not None else model))
+    return out
 
-    def run(task):
-        i, f = task
-        model = estimator.copy(maps[i]).fit(ready.filter(F.col("fold") != f))
-        return evaluator.evaluate(model.transform(ready.filter(F.col("fold") == f)))
-
-    tasks = [(i, f) for i in range(len(maps)) for f in range(folds)]
-    values = np.array(concurrently(ready.sparkSession, run, tasks, parallelism)).reshape(len(maps), folds).mean(axis=1)
-    best = int(values.argmax() if evaluator.isLargerBetter() else values.argmin())
-    model = estimator.copy(maps[best]).fit(ready)
-    ready.unpersist()
-    named = [{p.name: v for p, v in m.items()} for m in maps]
-    return Search(model, named[best], list(zip(named, map(float, values))))
 
+def search_grids(jobs: dict[str, tuple], folds: int, parallelism: int = 16) -> dict[str, Search]:
+    """Exhaustive searches of several ``name: (estimator, grid, ready, evaluator)`` over column ``fold``, then refits on all rows.
 
-def fit_grid(name: str, estimator, grid: dict, train: DataFrame, columns: Sequence[str], key: str,
-             label: str = "label", weight: str | None = "balanced_weight", folds: int = 5,
-             parallelism: int = 8) -> Fitted:
-    """Grid search of a Spark ML classifier by weighted F1 over stratified folds, then refit."""
-    columns = list(columns)
+    All fits of all searches are independent and share one pool of driver threads, the longest first.
+    """
+    spark = next(iter(jobs.values()))[2].sparkSession
+    jobs = {n: (est, grid, ready.persist(StorageLevel.MEMORY_AND_DISK), ev) for n, (est, grid, ready, ev) in jobs.items()}
+    tasks = [(n, i, chain, f) for n, (est, grid, _, _) in jobs.items() for i, chain in enumerate(_chains(est, grid)) for f in range(folds)]
+    trees = {"maxIter": 3.0, "numTrees": 1.0}  # a boosted tree is a round of jobs, the trees of a forest share them
+
+    def cost(task):
+        staged = STAGED.get(type(jobs[task[0]][0]).__name__)
+        return max(p.get(staged, 1) * p.get("maxDepth", 5) for p in task[2]) * trees.get(staged, 1.0)
+
+    def run(task):
+        n, _, chain, f = task
+        est, _, ready, evaluator = jobs[n]
+        held = ready.filter(F.col("fold") == f)
+        return _fit_chain(est, chain, ready.filter(F.col("fold") != f), lambda model: evaluator.evaluate(model.transform(held)))
+
+    tasks.sort(key=cost, reverse=True)
+    done = concurrently(spark, run, tasks, parallelism)
+    scores: dict[str, dict[tuple, list[float]]] = {n: {} for n in jobs}
+    for (n, _, chain, _), values in zip(tasks, done):
+        for p, v in zip(chain, values):
+            scores[n].setdefault(tuple(sorted(p.items())), []).append(v)
+
+    def refit(n):
+        est, grid, ready, evaluator = jobs[n]
+        points = [{p.name: v for p, v in m.items()} for m in _param_maps(est, grid)]
+        means = [float(np.mean(sorted(scores[n][tuple(sorted(p.items()))]))) for p in points]
+        best = points[int(np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means))]
+        return Search(est.copy({est.getParam(k): v for k, v in best.items()}).fit(ready), best, list(zip(points, means)))
+
+    found = dict(zip(jobs, concurrently(spark, refit, list(jobs), parallelism)))
+    for _, _, ready, _ in jobs.values():
+        ready.unpersist()
+    return found
+
+
+def grid_search(estimator, grid: dict, ready: DataFrame, evaluator, folds: int, parallelism: int = 16) -> Search:
+    """Exhaustive search over the folds given by column ``fold``, then a refit on all rows (see :func:`search_grids`)."""
+    return search_grids({"one": (estimator, grid, ready, evaluator)}, folds, parallelism)["one"]
+
+
+def _classifier_job(estimator, grid: dict, train: DataFrame, columns: Sequence[str], key: str, label: str, weight: str | None,
+                    folds: int) -> tuple:
     data = attach_weights(train, label, weight) if weight else train
     folded = stratified_folds(data, key, label, folds)
     keep = ["features", F.col(label).cast("double").alias("label"), "fold"] + (["weight"] if weight else [])
-    ready = assemble(folded, columns).select(*keep)
     est = estimator.copy().setFeaturesCol("features").setLabelCol("label")
-    if weight:
-        est = est.setWeightCol("weight")
-    found = grid_search(est, grid, ready, MulticlassClassificationEvaluator(metricName="f1"), folds, parallelism)
+    return (est.setWeightCol("weight") if weight else est), grid, assemble(folded, columns).select(*keep), \
+        MulticlassClassificationEvaluator(metricName="f1")
 
+
+def _searched(name: str, found: Search, est, columns: list[str], label: str, weight: str | None) -> Fitted:
     def score(df: DataFrame) -> DataFrame:
         out = found.model.transform(assemble(df, columns))
         return out.withColumn("prob", _probability(out)).select(*df.columns, "prob")
@@ -222,6 +308,15 @@ def fit_grid(name: str, estimator, grid: dict, train: DataFrame, columns: Sequen
                   refit=lambda rows: _vector_fit(name, final, rows, columns, label, weight))
 
 
+def fit_grid(name: str, estimator, grid: dict, train: DataFrame, columns: Sequence[str], key: str,
+             label: str = "label", weight: str | None = "balanced_weight", folds: int = 5,
+             parallelism: int = 16) -> Fitted:
+    """Grid search of a Spark ML classifier by weighted F1 over stratified folds, then refit."""
+    columns = list(columns)
+    job = _classifier_job(estimator, grid, train, columns, key, label, weight, folds)
+    return _searched(name, grid_search(*job, folds, parallelism), job[0], columns, label, weight)
+
+
 def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str = "label",
                  grid: dict | None = None, folds: int = 5, size: int = 256, parallelism: int = 8) -> Fitted:
     """Grid search of :func:`fit_svm_rbf` over its own folds by weighted F1."""
@@ -229,6 +324,9 @@ def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str
     folded = stratified_folds(train, key, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = MulticlassClassificationEvaluator(metricName="f1", labelCol="_y", predictionCol="_p")
     combos = [(c, gamma) for c in grid["c"] for gamma in grid["gamma"]]
+    # on standardised rows both rules are one number, and equal numbers are fitted once
+    value = {gamma: 1.0 / len(list(columns)) if isinstance(gamma, str) else float(gamma) for gamma in grid["gamma"]}
+    fits = list(dict.fromkeys((c, value[gamma]) for c, gamma in combos))
 
     def run(task):
         (c, gamma), f = task
@@ -237,9 +335,9 @@ def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str
         return evaluator.evaluate(out.select(F.col("label").cast("double").alias("_y"),
                                              F.col("pred").cast("double").alias("_p")))
 
-    values = concurrently(train.sparkSession, run, [(c, f) for c in combos for f in range(folds)], parallelism)
-    means = np.array(values).reshape(len(combos), folds).mean(axis=1)
-    scores = [({"c": c, "gamma": g}, float(m)) for (c, g), m in zip(combos, means)]
+    values = concurrently(train.sparkSession, run, [(c, f) for c in fits for f in range(folds)], parallelism)
+    means = dict(zip(fits, np.array(values).reshape(len(fits), folds).mean(axis=1)))
+    scores = [({"c": c, "gamma": g}, float(means[c, value[g]])) for c, g in combos]
     folded.unpersist()
     best = max(scores, key=lambda s: s[1])[0]
     fitted = fit_svm_rbf(train, columns, label, best["c"], best["gamma"], size)
@@ -247,9 +345,13 @@ def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str
     return fitted
 
 
+#: Node statistics that a tree fit gathers in one job, so that a level of many trees is one job.
+FIT_MEMORY_MB = 1024
+
+
 def forest(trees: int = 300, depth: int = 20, leaf: int = 1, seed: int = S.SEED) -> RandomForestClassifier:
     """Random forest estimator; Spark's depth limit is 30."""
-    return RandomForestClassifier(numTrees=trees, maxDepth=min(depth, 30), minInstancesPerNode=leaf, seed=seed)
+    return RandomForestClassifier(numTrees=trees, maxDepth=min(depth, 30), minInstancesPerNode=leaf, seed=seed, maxMemoryInMB=FIT_MEMORY_MB)
 
 
 def boosted(iters: int = 200, depth: int = 4, step: float = 0.1, subsample: float = 1.0,
@@ -270,18 +372,7 @@ def fit_gbt(train, columns, label="label", iters=200, depth=4, step=0.1, seed=S.
 
 def fit_boost(train, columns, label="label", iters=200, depth=6, step=0.1, subsample=0.8, seed=S.SEED) -> Fitted:
     """Row-subsampled gradient boosting, class 1 weighted by the negative/positive ratio."""
-    columns = list(columns)
-    data = attach_weights(train, label, "scale_pos_weight", "_pos")
-    data = data.withColumn("weight", F.when(F.col(label) == 1, F.col("_pos")).otherwise(F.lit(1.0)))
-    ready = assemble(data, columns).select("features", F.col(label).cast("double").alias("label"), "weight")
-    model = boosted(iters, depth, step, subsample, seed).setWeightCol("weight").fit(ready)
-
-    def score(df: DataFrame) -> DataFrame:
-        out = model.transform(assemble(df, columns))
-        return out.withColumn("prob", _probability(out)).select(*df.columns, "prob")
-
-    return Fitted("boost", columns, score, model,
-                  refit=lambda rows: fit_boost(rows, columns, label, iters, depth, step, subsample, seed))
+    return _vector_fit("boost", boosted(iters, depth, step, subsample, seed), train, columns, label, "pos_weight")
 
 
 def pooled_wave(wave: Column, parts: int) -> Column:
@@ -380,18 +471,19 @@ def predict_all(models: Sequence[Fitted], df: DataFrame, keys: Sequence[str], la
 
 
 def train_classifiers(train: DataFrame, columns: Sequence[str], key: str, label: str = "label",
-                      grids: dict | None = None, folds: int = 5, parallelism: int = 8,
+                      grids: dict | None = None, folds: int = 5, parallelism: int = 16,
                       seed: int = S.SEED) -> dict[str, Fitted]:
     """All classifier families with their grids (overridable per family)."""
     grids = {"svm_rbf": SVM_GRID, "random_forest": FOREST_GRID, "gbt": GBT_GRID, "boost": BOOST_GRID, **(grids or {})}
     out = {"logistic": fit_logistic(train, columns, label)}
     out["svm_rbf"] = fit_svm_grid(train, columns, key, label, grids["svm_rbf"], folds)
-    out["random_forest"] = fit_grid("random_forest", forest(seed=seed), grids["random_forest"], train, columns, key,
-                                    label, "balanced_weight", folds, parallelism)
-    out["gbt"] = fit_grid("gbt", boosted(seed=seed), grids["gbt"], train, columns, key, label, "boost_weight",
-                          folds, parallelism)
-    out["boost"] = fit_grid("boost", boosted(seed=seed), grids["boost"], train, columns, key, label, "boost_weight",
-                            folds, parallelism)
+    columns = list(columns)
+    # Fixed rule: boosting weights of the histogram family, the negative/positive ratio for the other
+    families = {"random_forest": (forest(seed=seed), "balanced_weight"), "gbt": (boosted(seed=seed), "boost_weight"),
+                "boost": (boosted(seed=seed), "pos_weight")}
+    jobs = {n: _classifier_job(est, grids[n], train, columns, key, label, w, folds) for n, (est, w) in families.items()}
+    for n, found in search_grids(jobs, folds, parallelism).items():
+        out[n] = _searched(n, found, jobs[n][0], columns, label, families[n][1])
     return out
 
 
@@ -418,14 +510,14 @@ def model_complexity(spark, models: Sequence[Fitted]) -> DataFrame:
 
 # --- recursive feature elimination --------------------------------------------------------------
 
-def _eliminate(estimator, train: DataFrame, columns: list[str], stop: int, each=None) -> list[str]:
-    """Drop the least important feature until ``stop`` remain; returns them plus the drop order."""
+def _eliminate(estimator, train: DataFrame, columns: list[str], each=None) -> list[str]:
+    """Drop the least important feature until one remains; the one that remains first, then the others, last dropped first."""
     left, dropped = list(columns), []
     while True:
         model = estimator.fit(assemble(train, left).select("features", "label"))
         if each:
             each(left, model)
-        if len(left) <= stop:
+        if len(left) <= 1:
             return left + dropped[::-1]
         scores = model.featureImportances.toArray()
         worst = left[int(np.argmin(scores))]
@@ -438,7 +530,7 @@ def rfecv(train: DataFrame, columns: Sequence[str], key: str, label: str = "labe
     """Recursive feature elimination with cross-validated accuracy.
 
     Returns the curve (``n_features -> mean accuracy``), the best size (smallest on ties), the
-    selected features and the ranking. The folds run side by side; every fit is distributed.
+    selected features and the ranking. The folds and the elimination on all rows run side by side; every fit is distributed.
     """
     columns = list(columns)
     estimator = (estimator or forest(seed=seed)).copy().setFeaturesCol("features").setLabelCol("label")
@@ -447,20 +539,21 @@ def rfecv(train: DataFrame, columns: Sequence[str], key: str, label: str = "labe
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
 
     def run(f):
+        if f is None:
+            return _eliminate(estimator, data, columns)
         held = data.filter(F.col("fold") == f)
         reached = {}
 
         def each(left, model):
             reached[len(left)] = evaluator.evaluate(model.transform(assemble(held, left)))
 
-        _eliminate(estimator, data.filter(F.col("fold") != f), columns, 1, each)
+        _eliminate(estimator, data.filter(F.col("fold") != f), columns, each)
         return reached
 
-    curves = concurrently(train.sparkSession, run, range(folds), parallelism)
+    order, *curves = concurrently(train.sparkSession, run, [None, *range(folds)], parallelism)
+    data.unpersist()
     curve = {n: sum(c[n] for c in curves) / folds for n in range(1, len(columns) + 1)}
     best = min(curve, key=lambda n: (-round(curve[n], 12), n))
-    order = _eliminate(estimator, data, columns, best)
-    data.unpersist()
     ranking = {c: 1 for c in order[:best]} | {c: i + 2 for i, c in enumerate(order[best:])}
     return {"curve": curve, "best": best, "selected": [c for c in columns if ranking[c] == 1], "ranking": ranking}
 
@@ -500,7 +593,7 @@ def linear_score(df: DataFrame, model: dict, name: str = "yhat") -> DataFrame:
 
 
 def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str], key: str, target: str = "range_m",
-                     grids: dict | None = None, folds: int = 3, parallelism: int = 8, seed: int = S.SEED,
+                     grids: dict | None = None, folds: int = 3, parallelism: int = 16, seed: int = S.SEED,
                      only: Sequence[str] = ("ridge", "random_forest", "gbt", "boost")) -> DataFrame:
     """Ridge, forest and two boosted regressors; returns ``model, <key>, y, yhat`` for the test rows.
 
@@ -518,12 +611,13 @@ def train_regressors(train: DataFrame, test: DataFrame, columns: Sequence[str],
         scored = linear_score(scored, fit_ridge(train, columns, "y"), "_p_ridge")
     ready = assemble(contiguous_folds(train, key, folds), columns).select(
         "features", F.col("y").alias("label"), "fold")
-    estimators = {"random_forest": RandomForestRegressor(seed=seed), "gbt": GBTRegressor(seed=seed),
-                  "boost": GBTRegressor(seed=seed, subsamplingRate=0.8)}
+    memory = {"seed": seed, "maxMemoryInMB": FIT_MEMORY_MB}
+    estimators = {"random_forest": RandomForestRegressor(**memory), "gbt": GBTRegressor(**memory),
+                  "boost": GBTRegressor(subsamplingRate=0.8, **memory)}
     estimators = {name: est for name, est in estimators.items() if name in only}
     scored = assemble(scored, columns)
-    for name, est in estimators.items():
-        found = grid_search(est, grids[name], ready, RegressionEvaluator(metricName="mse"), folds, parallelism)
+    jobs = {name: (est, grids[name], ready, RegressionEvaluator(metricName="mse")) for name, est in estimators.items()}
+    for name, found in (search_grids(jobs, folds, parallelism) if jobs else {}).items():
         scored = found.model.setPredictionCol(f"_p_{name}").transform(scored)
     train.unpersist()
     names = [m for m in ("ridge", *estimators) if m in only]

@@ -49,8 +49,12 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def attach_weights(df: DataFrame, label: str, kind: str = "balanced_weight",
                    name: str = "weight") -> DataFrame:
-    """Add the class weight of every row; the weight table has one row per class."""
-    weights = class_weights(df, label).select(F.col("label").alias("_wl"), F.col(kind).alias(name))
+    """Add the class weight of every row; the weight table has one row per class.
+
+    ``pos_weight`` gives class 1 the negative/positive ratio and the others 1.
+    """
+    value = F.col(kind) if kind != "pos_weight" else F.when(F.col("label") == 1, F.col("scale_pos_weight")).otherwise(1.0)
+    weights = class_weights(df, label).select(F.col("label").alias("_wl"), value.alias(name))
     return df.join(F.broadcast(weights), F.col(label).eqNullSafe(F.col("_wl"))).drop("_wl")
 
 

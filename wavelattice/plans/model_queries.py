@@ -184,9 +184,12 @@ def _(spark, sf):
     mapping = clustering.cluster_label_map(labelled.filter(F.col("split") == "test"), "cluster", "y")
     mapped = clustering.apply_label_map(labelled, mapping)
     acc = mapped.groupBy("split").agg(F.avg((F.col("cluster") == F.col("y")).cast("double")).alias("accuracy"), F.count("*").alias("n"))
+    mapped = cut_lineage(mapped.withColumn("vec", F.array(*X)))
     test = mapped.filter(F.col("split") == "test")
-    quality = clustering.silhouette(test.withColumn("vec", F.array(*X)), "vec_id", "vec", ["cluster"]).select("silhouette")
-    return acc.join(quality).join(clustering.adjusted_rand(test, "y", "cluster"))  # one-row tables
+    quality = clustering.silhouette(test, "vec_id", "vec", ["cluster"]).select("silhouette")
+    fitted = clustering.silhouette(mapped.filter(F.col("split") == "train"), "vec_id", "vec", ["cluster"]).select(
+        F.col("silhouette").alias("train_silhouette"))
+    return acc.join(quality).join(fitted).join(clustering.adjusted_rand(test, "y", "cluster"))  # one-row tables
 
 
 @query("elbow_silhouette")
@@ -261,7 +264,7 @@ def _classifier(name: str, fit) -> None:
         return _quality(fit(train), test)
 
 
-_classifier("clf_logistic", lambda t: models.fit_logistic(t, S.FEATURES, max_iter=200))
+_classifier("clf_logistic", lambda t: models.fit_logistic(t, S.FEATURES))
 _classifier("clf_svm_rbf", lambda t: models.fit_svm_rbf(t, S.FEATURES))
 _classifier("clf_random_forest", lambda t: models.fit_forest(t, S.FEATURES))
 _classifier("clf_gbt", lambda t: models.fit_gbt(t, S.FEATURES))
@@ -280,7 +283,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = splits.scale_and_split(V.clean(spark, sf))
     rows = cut_lineage(rows.select("sample_id", F.col("NLOS").alias("label"), "split", "cir", *S.SCALARS))
-    fitted = models.fit_waveform_nn(rows.filter(F.col("split") == "train"), S.SCALARS, parts=16, hidden=(16,), max_iter=40)
+    fitted = models.fit_waveform_nn(rows.filter(F.col("split") == "train"), S.SCALARS)
     return metrics.model_summary_table(fitted.predict(rows.filter(F.col("split") == "test"), ["sample_id"]))
 
 
@@ -307,18 +310,28 @@ def _(spark, sf):
     return metrics.model_summary_table(long)
 
 
+_eliminated: dict = {}
+
+
+def eliminated(spark, sf) -> dict:
+    """One elimination for both reports of it."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _eliminated:
+        train, _ = study(spark, sf)
+        _eliminated[at] = models.rfecv(train, S.FEATURES, "row_id")
+    return _eliminated[at]
+
+
 @query("rfecv")
 def _(spark, sf):
-    train, _ = study(spark, sf)
-    found = models.rfecv(train, S.FEATURES, "row_id")
+    found = eliminated(spark, sf)
     return spark.createDataFrame([(n, float(s), n == found["best"]) for n, s in found["curve"].items()],
                                  "n_features int, score double, chosen boolean")
 
 
 @query("rfe_rank_top")
 def _(spark, sf):
-    train, _ = study(spark, sf)
-    found = models.rfecv(train, S.FEATURES, "row_id")
+    found = eliminated(spark, sf)
     return spark.createDataFrame(list(found["ranking"].items()), "feature string, rank int").orderBy("rank", "feature").limit(10)
 
 
@@ -372,6 +385,15 @@ def _regression(name: str, path_id: int) -> None:
         return metrics.regression_metrics(models.path_regression(train.unionByName(test), path_id))
 
 
+@query("reg_ridge_paths")
+def _(spark, sf):
+    """Ridge on the 25 features of the first path, and on these and the range of the second, scored on test rows."""
+    train, test = study(spark, sf)
+    rows = train.unionByName(test)
+    out = [metrics.regression_metrics(models.path_regression(rows, p, only=["ridge"])).withColumn("path_id", F.lit(p)) for p in (1, 2)]
+    return out[0].unionByName(out[1])
+
+
 _regression("reg_path1", 1)
 _regression("reg_path2", 2)
 
