@@ -243,13 +243,23 @@ def _fit_chain(estimator, chain: list[dict], fit_on: DataFrame, score) -> list[f
     return out
 
 
+#: Rows of a task of a model fit: a fit is thousands of short jobs, whose cost is tasks rather than rows.
+FIT_ROWS = 10_000
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` kept in tasks of about ``FIT_ROWS`` rows."""
+    kept = cut_lineage(rows)
+    return kept.coalesce(1 + kept.count() // FIT_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def search_grids(jobs: dict[str, tuple], folds: int, parallelism: int = 16) -> dict[str, Search]:
     """Exhaustive searches of several ``name: (estimator, grid, ready, evaluator)`` over column ``fold``, then refits on all rows.
 
     All fits of all searches are independent and share one pool of driver threads, the longest first.
     """
     spark = next(iter(jobs.values()))[2].sparkSession
-    jobs = {n: (est, grid, ready.persist(StorageLevel.MEMORY_AND_DISK), ev) for n, (est, grid, ready, ev) in jobs.items()}
+    jobs = {n: (est, grid, dealt(ready), ev) for n, (est, grid, ready, ev) in jobs.items()}
     tasks = [(n, i, chain, f) for n, (est, grid, _, _) in jobs.items() for i, chain in enumerate(_chains(est, grid)) for f in range(folds)]
     trees = {"maxIter": 3.0, "numTrees": 1.0}  # a boosted tree is a round of jobs, the trees of a forest share them
 
@@ -321,7 +331,7 @@ def fit_svm_grid(train: DataFrame, columns: Sequence[str], key: str, label: str
                  grid: dict | None = None, folds: int = 5, size: int = 256, parallelism: int = 8) -> Fitted:
     """Grid search of :func:`fit_svm_rbf` over its own folds by weighted F1."""
     grid = grid or SVM_GRID
-    folded = stratified_folds(train, key, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = dealt(stratified_folds(train, key, label, folds))
     evaluator = MulticlassClassificationEvaluator(metricName="f1", labelCol="_y", predictionCol="_p")
     combos = [(c, gamma) for c in grid["c"] for gamma in grid["gamma"]]
     # on standardised rows both rules are one number, and equal numbers are fitted once
@@ -419,7 +429,7 @@ def fit_waveform_nn(train: DataFrame, scalars: Sequence[str], wave: str = "cir",
 def cross_val_predict(fitted: Fitted, train: DataFrame, key: str, label: str = "label", folds: int = 5,
                       seed: int = S.SEED, parallelism: int = 8) -> DataFrame:
     """Out-of-fold predictions: every train row scored by a model that never saw it."""
-    folded = cut_lineage(stratified_folds(train, key, label, folds, seed))
+    folded = dealt(stratified_folds(train, key, label, folds, seed))
 
     def run(f):
         return fitted.refit(folded.filter(F.col("fold") != f)).predict(folded.filter(F.col("fold") == f), [key], label)
@@ -534,8 +544,7 @@ def rfecv(train: DataFrame, columns: Sequence[str], key: str, label: str = "labe
     """
     columns = list(columns)
     estimator = (estimator or forest(seed=seed)).copy().setFeaturesCol("features").setLabelCol("label")
-    data = stratified_folds(train.select(key, *columns, F.col(label).cast("double").alias("label")), key, "label",
-                            folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    data = dealt(stratified_folds(train.select(key, *columns, F.col(label).cast("double").alias("label")), key, "label", folds, seed))
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
 
     def run(f):

@@ -243,13 +243,10 @@ def study(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Train and test rows of the expanded feature table; both paths of a measurement share the split."""
     split = splits.stratified_split(drop_degenerate(V.sig(spark, sf)), "sample_id", "NLOS")
     rows = measurement_features(split, keys=("sample_id", "env_id", "split"))
-    rows = cut_lineage(rows.withColumn("row_id", F.col("sample_id") * 2 + F.col("path_id")))
-    rows = rows.coalesce(1 + rows.count() // FIT_ROWS)  # a fit is thousands of jobs: few tasks each
+    rows = models.dealt(rows.withColumn("row_id", F.col("sample_id") * 2 + F.col("path_id")))
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
 
 
-#: Rows of a task of a model fit.
-FIT_ROWS = 10_000
 KEYS = ["sample_id", "path_id", "env_id"]
 
 
