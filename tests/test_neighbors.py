@@ -87,6 +87,8 @@ def test_hot_keys_are_spread(spark, monkeypatch):
     assert got.columns == ["k", "id", "s"]
     want = rows.join(facts, "k").select("k", "id", "s")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    outer = skew.join_facts(rows, facts, "k", "n", "id", how="left")
+    assert sorted(map(str, outer.collect())) == sorted(map(str, rows.join(facts, "k", "left").select("k", "id", "s").collect()))
     groups = skew.apply_with_facts(rows.withColumn("pt", F.col("id")), facts.select("k", "s"), "k", "pt",
                                    lambda left, right: left.select(["pt"]).append_column("n", [[left.num_rows] * left.num_rows]), "pt long, n long", 20).collect()
     assert sorted(r["pt"] for r in groups) == sorted(r["id"] for r in want.collect()) and max(r["n"] for r in groups) < 60

@@ -17,8 +17,9 @@ MAX_HOT = 10_000          # bound of the broadcast table of hot keys
 BROADCAST_FACTS = 50_000  # narrow facts up to this many rows are broadcast whole
 
 
-def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, spread: str, narrow: bool = True) -> DataFrame:
-    """``rows`` with the columns of ``facts`` (except ``count``) for their ``key``; rows without facts go.
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, spread: str, narrow: bool = True,
+               how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``facts`` (except ``count``) for their ``key``; rows without facts go, or stay if ``how`` is left.
 
     ``spread`` is a column of ``rows`` whose values differ within a key. ``narrow`` facts are broadcast when they are few;
     others are left to the planner.
@@ -26,7 +27,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, spread:
     facts = fresh_cut(facts)
     size = facts.agg(F.count("*").alias("keys"), F.sum(count).alias("rows")).first()  # one row
     if narrow and size["keys"] <= BROADCAST_FACTS:
-        return rows.join(F.broadcast(facts.drop(count)), key)
+        return rows.join(F.broadcast(facts.drop(count)), key, how)
     per = max(HOT_ROWS, -(-(size["rows"] or 0) // MAX_HOT))
     digest = F.xxhash64(key)
     hot = facts.filter(F.col(count) > per).groupBy(digest.alias("_hot")).agg(
@@ -37,7 +38,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, spread:
     right = facts.drop(count).join(hot, digest == F.col("_hot"), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     left, right = left.drop("_hot", "_salts"), right.drop("_hot", "_salts")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def apply_with_facts(rows: DataFrame, facts: DataFrame, key: str, spread: str, func, result: str, size: int) -> DataFrame:
