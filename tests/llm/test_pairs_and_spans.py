@@ -204,3 +204,17 @@ def test_redaction(spark):
     got = docs.join(out, "doc_id").select("doc_id", secrets.redacted(docs["text"], out["spans"]).alias("t")).collect()
     assert {r["doc_id"]: r["t"] for r in got} == {1: "é [SECRET] ☃ [SECRET] end", 2: "plain"}
     assert secrets.secret_spans(frame(spark, [])).collect() == []
+
+
+def test_sql_links_long_tokens_too(spark):
+    import duckdb
+    import pandas as pd
+
+    token = "Ab1" + "xY9/" * 60
+    rows = [(1, f"ASIAABCDEFGHIJKLMNOP with {token} end"), (2, token), (3, None)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    want = {r[0]: r[5] for r in con.execute(secrets.SQL).fetchall()}
+    found = secrets.secret_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r["doc_id"]: r["s"] for r in found.select("doc_id", secrets.joined(found["spans"]).alias("s")).collect()}
+    assert got == want and "secret" in got[1] and got[2] == got[3] == ""

@@ -1,8 +1,10 @@
 """Mixing, top-k, chat formatting, archives, classifiers, decontamination and the pipeline, with odd rows."""
 
+import gzip
 import hashlib
 import io
 import json
+import os
 import random
 import struct
 import zipfile
@@ -88,6 +90,9 @@ def test_top_k_equals_brute_force(spark):
     for shard in (8192, 37):
         got = topk.top_k(df, df.where(F.col("vec_id") % 20 == 0), k=7, shard_rows=shard)
         assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, wanted, 7)
+    twice = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0, 0.0]), (1, [1.0, 2.0]), (2, [-1.0, 3.0]), (3, [0.5, 0.5]), (4, [1.0, 0.0, 2.0])]
+    got = topk.top_k(vectors_of(spark, twice), vectors_of(spark, twice).where("vec_id = 20").repartition(3), k=2, shard_rows=2)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"] and sorted(tuple(r) for r in got.collect()) == brute_top(twice, {20}, 2)
     few = vectors_of(spark, rows[:3])
     assert sorted(tuple(r) for r in topk.top_k(few, few, k=20).collect()) == brute_top(rows[:3], {0, 1, 2}, 20)
     empty = vectors_of(spark, [])
@@ -193,6 +198,54 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_packages(small, range_bytes=50).count() == len(rows)
 
 
+def foreign_package(path):
+    """Two archive members of other names, indexes of another form, out of order, with records that no index names."""
+    record = {i: warc._record(i, f"http://f/{i}", f"<p>body {i}</p>".encode(), hashlib.sha1(f"<p>body {i}</p>".encode()).hexdigest(), None) for i in range(12)}
+    members, lines = {}, {"indexes/a.cdxj": [], "indexes/z.cdx.gz": []}
+    for name, ids, index in (("crawl-1.warc.gz", (0, 2, 4, 6, 8), "indexes/a.cdxj"), ("crawl-2.warc.gz", (1, 3, 5, 7), "indexes/z.cdx.gz"),
+                             ("crawl-3.warc.gz", (9, 10, 11), "indexes/a.cdxj")):
+        body = b""
+        for i in ids:
+            packed = gzip.compress(record[i], mtime=0)
+            if i != 4:  # not in any index
+                lines[index].append(f"f,)/{i} 20200101 " + json.dumps({"url": f"http://f/{i}", "filename": name, "offset": len(body), "length": len(packed)}))
+            body += packed
+        members["archive/" + name] = body
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for name, rows in lines.items():
+            text = "\n".join(["!OpenWayback-CDXJ 1.0", *rows[::-1], ""]).encode()
+            z.writestr(zipfile.ZipInfo(name), gzip.compress(text) if name.endswith(".gz") else text)
+        for name, body in members.items():
+            z.writestr(zipfile.ZipInfo(name), body)
+        z.writestr("pages/pages.jsonl", "{}", zipfile.ZIP_DEFLATED)
+
+
+@pytest.mark.parametrize("ranges", [1, 300, 1 << 20])
+def test_foreign_packages(spark, tmp_path, ranges):
+    path = str(tmp_path / "foreign.wacz")
+    foreign_package(path)
+    packages = spark.createDataFrame([(path, os.path.getsize(path))], "path string, bytes bigint")
+    got = sorted((r["page_id"], r["payload_bytes"], r["url"], r["record_type"]) for r in warc.read_packages(packages, ranges).collect())
+    assert got == [(i, len(f"<p>body {i}</p>"), f"http://f/{i}", "response") for i in range(12) if i != 4]
+
+
+def test_members_without_an_index_are_refused(spark, tmp_path):
+    path = str(tmp_path / "bare.wacz")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr(zipfile.ZipInfo("archive/x.warc.gz"), gzip.compress(b"x"))
+    packages = spark.createDataFrame([(path, os.path.getsize(path))], "path string, bytes bigint")
+    with pytest.raises(Exception, match="no index names"):
+        warc.read_packages(packages).collect()
+
+
+def test_read_back_is_dealt_to_tasks(spark, tmp_path):
+    rows = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    made = warc.write_packages(warc.with_roles(rows.repartition(3)), str(tmp_path / "many"))
+    read = warc.read_packages(made, range_bytes=10_000).select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert len(read) == 400 and len({r["task"] for r in read}) >= 5
+
+
 # --- classifiers
 
 def test_languages(spark):

@@ -173,7 +173,7 @@ def _sql_kind(kind: str, pattern: str, keep: str = "true") -> str:
 _RE2_ASSIGN = ASSIGN.replace("(?i:(password|passwd|secret|token|api_?key))", "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|"
                              "[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])")
 _NEAR = {n: f"(coalesce(s - {n}_b <= {SCOPE}, false) OR coalesce({n}_a - e <= {SCOPE}, false))" for n in ("id", "key", "at")}
-_MIXED = "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND length(m) <= 128"
+_MIXED = "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')"
 _ROLES = {"id": "k IN ('access', 'ident')", "key": "k IN ('secret', 'assign')", "at": "k = 'endpoint'",
           "base": "k IN ('assign', 'access', 'hex')"}
 _RANK = "list_position(['assign', 'access', 'hex', 'ident', 'secret', 'endpoint'], k)"

@@ -19,7 +19,7 @@ from wavelattice.llm.common import settled, table
 SHARD_ROWS = 8192
 QUERY_ROWS = 512
 FIRST_BLOCK = 8
-_PAIR = "query_id bigint, vec_id bigint, score bigint"
+_PAIR = "query_id bigint, _dim int, _copy int, vec_id bigint, score bigint"
 #: Sums of products below this are exact in double precision, so the scores come from matrix products.
 _EXACT = float(1 << 52)
 
@@ -42,7 +42,10 @@ def _packed(rows: DataFrame, group: list[str]) -> DataFrame:
         flat = vec.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(ids, kind="stable")
         dim = int(key[0].as_py())
-        flat = flat.reshape(len(ids), dim)[order]
+        flat = flat.reshape(len(ids), dim)
+        if len(np.unique(ids)) < len(ids):  # rows that share an id come in the order of their vectors, in every attempt
+            order = np.lexsort((*flat.T[::-1], ids))
+        flat = flat[order]
         return pa.table({"_dim": [dim], "_g": [int(key[1].as_py())], "_ids": [ids[order].tobytes()], "_mat": [flat.tobytes()]},
                         schema=pa.schema([("_dim", pa.int32()), ("_g", pa.int32()), ("_ids", pa.binary()), ("_mat", pa.binary())]))
     return rows.groupBy(*group).applyInArrow(pack, "_dim int, _g int, _ids binary, _mat binary")
@@ -102,7 +105,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, key: str = "vec_id", vector
 
     Ties go to the smaller id; the query's own id is no candidate. Rows with a null key, a null vector or a null or
     non-finite component take no part; queries and candidates of different lengths do not meet. Rows that repeat a key
-    count as rows. An empty table gives an empty result. Other columns are not read. Scores must fit a bigint.
+    count as rows: each query row has a list of its own. An empty table gives an empty result. Other columns are not read. Scores must fit a bigint.
     """
     c = settled(integer_vectors(candidates, key, vector, scale).withColumn("_dim", F.size("_v")))
     q = integer_vectors(queries, key, vector, scale).withColumn("_dim", F.size("_v"))
@@ -128,13 +131,16 @@ def top_k(candidates: DataFrame, queries: DataFrame, key: str = "vec_id", vector
                 qs = np.frombuffer(qids, np.int64)
                 block = np.frombuffer(qmat, np.int64).reshape(len(qs), dim)
                 out = [shard.best(block[j], int(qs[j]), k) for j in range(len(qs))]
+                sizes = [len(x) for x, _ in out]
+                copy = np.arange(len(qs)) - np.searchsorted(qs, qs)  # query rows that share an id are told apart
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(qs, [len(x) for x, _ in out]), pa.int64()),
+                    pa.array(np.repeat(qs, sizes), pa.int64()), pa.array(np.full(sum(sizes), dim), pa.int32()),
+                    pa.array(np.repeat(copy, sizes), pa.int32()),
                     pa.array(np.concatenate([x for x, _ in out]), pa.int64()),
-                    pa.array(np.concatenate([y for _, y in out]), pa.int64())], names=["query_id", "vec_id", "score"])
+                    pa.array(np.concatenate([y for _, y in out]), pa.int64())], names=["query_id", "_dim", "_copy", "vec_id", "score"])
 
     found = pairs.mapInArrow(search, _PAIR)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    order = Window.partitionBy("query_id", "_dim", "_copy").orderBy(F.col("score").desc(), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 

@@ -1,9 +1,10 @@
 """WARC records in ZIP packages: writer, and a reader that only reads ranges.
 
-A package is a ZIP archive with stored members: ``archive/data.warc.gz`` (one gzip member per record) and
-``indexes/index.cdx`` (one JSON line per record with its place in the data member). The reader finds the end of central
-directory record, follows the ZIP64 locator where there is one, lists the stored members from the central directory, reads
-the index and then fetches the records by byte range. Nothing is extracted. Packages are real files in the shared
+A package is a ZIP archive with stored members: WARC files below ``archive/`` (one gzip member per record) and indexes below
+``indexes/`` (a line per record that ends in JSON with ``offset``, ``length`` and, where there are several WARC files,
+``filename``). The reader finds the end of central directory record, follows the ZIP64 locator where there is one, lists the
+stored members from the central directory, reads the indexes and then fetches the records by byte range. Nothing is
+extracted. Members may have any names and indexes any order; what no index names is not read. Packages are real files in the shared
 folder, opened through ``pyarrow.fs``, so any store with a pyarrow file system works.
 """
 
@@ -13,6 +14,7 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -23,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wavelattice.llm.common import fresh_path, rows_of, settled, table
+from wavelattice.operators.skew import join_facts
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT_BYTES = 1000
 RANGE_BYTES = 4 << 20
-_SALTS = 16
+#: Tasks of a read-back; ranges beyond share them.
+MAX_TASKS = 100_000
 
 
 # --- ZIP ---------------------------------------------------------------------------------------------------------
@@ -129,23 +133,26 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 
 
 def _page_of(urn: str | None) -> int | None:
-    inner = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(inner) if inner else None
+    """The page of a record id of this writer; null for other ids."""
+    m = _PAGE.fullmatch(urn or "")
+    return int(m[1]) if m else None
+
+
+_PAGE = re.compile(r"<urn:page:(-?\d+)>")
 
 
 def with_roles(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """``page_id, url, html, _digest, _refers``: the SHA-1 of every payload and the response that a page repeats.
 
-    Only digests that occur more than once travel on; a digest that very many pages share is dealt by salt.
+    Only digests that occur more than once travel on. While they are few they are broadcast, and no page is shuffled;
+    else a digest that very many pages share is dealt by salts after their number.
     """
     body = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", body.alias("html"), F.sha1(F.encode(body, "UTF-8")).alias("_digest"),
                         F.octet_length(body).alias("_n"))
     shared = rows.where(F.col("_n") >= min_bytes).groupBy("_digest").agg(
         F.max("page_id").alias("_keep"), F.count(F.lit(1)).alias("_times")).where("_times > 1")
-    shared = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))).drop("_times")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int"))
-    out = salted.join(shared, ["_digest", "_salt"], "left")
+    out = join_facts(rows, shared, "_digest", "_times", "page_id", how="left")
     refers = F.when((F.col("_n") >= min_bytes) & (F.coalesce("page_id", F.lit(-(1 << 63))) != F.col("_keep")), F.col("_keep"))
     return out.select("page_id", "url", "html", "_digest", refers.alias("_refers"))
 
@@ -188,62 +195,101 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     return settled(pages.select("page_id", "url", "html", "_digest", "_refers").mapInArrow(run, _MANIFEST))
 
 
-_RANGE = "path string, start bigint, stop bigint, lengths array<bigint>"
+_RANGE = "path string, start bigint, stop bigint, offsets array<bigint>, lengths array<bigint>"
 _READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                    ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())])
 
 
+def indexed_records(members: list[Member], read_at) -> list[tuple[int, int]]:
+    """``(start, length)`` in the package of every record that an index names, by start."""
+    archives = {m.name.removeprefix("archive/"): m for m in members if m.name.startswith("archive/") and m.size}
+    found = set()
+    for index in members:
+        if not index.name.startswith("indexes/"):
+            continue
+        text = read_at(index.start, index.size)
+        text = gzip.decompress(text) if index.name.endswith(".gz") else text
+        for line in text.decode("utf-8", "replace").splitlines():
+            at = line.find("{")
+            if at < 0:
+                continue  # header or blank line
+            entry = json.loads(line[at:])
+            name = str(entry.get("filename") or next(iter(archives))).rsplit("/", 1)[-1]
+            if "filename" not in entry and len(archives) > 1:
+                raise ValueError(f"{index.name} does not say which of {len(archives)} archive members it means")
+            member = archives[name]
+            offset, length = int(entry["offset"]), int(entry["length"])
+            if offset + length > member.size:
+                raise ValueError(f"{index.name} names bytes beyond the end of {member.name}")
+            found.add((member.start + offset, length))
+    for m in archives.values():
+        if not any(m.start <= at < m.start + m.size for at, _ in found):
+            raise ValueError(f"no index names any record of {m.name}")
+    return sorted(found)
+
+
+def record_ranges(records: list[tuple[int, int]], range_bytes: int) -> list[tuple[int, int, list[int], list[int]]]:
+    """``start, stop, offsets, lengths`` of byte ranges of about ``range_bytes`` that hold whole records; gaps are not read."""
+    out: list[list] = []
+    for at, n in records:
+        if not out or at > out[-1][1] or at + n - out[-1][0] > range_bytes:
+            out.append([at, at, [], []])
+        here = out[-1]
+        here[1] = at + n
+        here[2].append(at - here[0])
+        here[3].append(n)
+    return [tuple(x) for x in out]
+
+
 def read_packages(packages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """One row per record of the packages in ``path, bytes``.
+    """One row per record of the packages in ``path, bytes`` that their indexes name.
 
-    The directory and index of each package give ranges of about ``range_bytes``; the ranges are dealt to all tasks, so
-    a large package does not stay with one. Responses are hashed anew and must match their digest; revisits take
-    length and digest from the headers they keep.
+    The directory and indexes of each package give ranges of about ``range_bytes``; the ranges are dealt to as many tasks
+    as the bytes need, so a large package does not stay with one. Responses are hashed anew and must match their digest, if
+    they carry one; revisits take length and digest from the headers they keep. Records without a digest are hashed.
     """
     def plan(batches):
         for batch in batches:
             for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with _open(path) as f:
-                    members = {m.name: m for m in stored_members(lambda at, n: f.read_at(n, at), size)}
-                    index, data = members[INDEX], members[DATA]
-                    lines = f.read_at(index.size, index.start).decode().split("\n")
-                starts, ends, lengths, begin, group = [], [], [], 0, []
-                for line in lines:
-                    entry = json.loads(line)
-                    group.append(entry["length"])
-                    stop = entry["offset"] + entry["length"]
-                    if stop - begin >= range_bytes:
-                        starts.append(data.start + begin), ends.append(data.start + stop), lengths.append(group)
-                        begin, group = stop, []
-                if group:
-                    starts.append(data.start + begin), ends.append(data.start + begin + sum(group)), lengths.append(group)
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(starts)), pa.array(starts, pa.int64()),
-                                                  pa.array(ends, pa.int64()), pa.array(lengths, pa.list_(pa.int64()))],
-                                                 names=["path", "start", "stop", "lengths"])
+                    def read_at(at, n, f=f):
+                        return f.read_at(n, at)
+
+                    ranges = record_ranges(indexed_records(stored_members(read_at, size), read_at), range_bytes)
+                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                columns = list(zip(*ranges)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(ranges), pa.string()), *map(pa.array, columns, kinds)],
+                                                 names=["path", "start", "stop", "offsets", "lengths"])
 
     def fetch(batches):
         for batch in batches:
-            for path, start, stop, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+            for path, start, stop, offsets, lengths in zip(*(c.to_pylist() for c in batch.columns)):
                 with _open(path) as f:
                     blob = f.read_at(stop - start, start)
-                at, rows = 0, []
-                for n in lengths:
-                    warc, http, payload = parse_record(gzip.decompress(blob[at:at + n]))
-                    at += n
-                    told = base64.b32decode(warc["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    kind = warc["warc-type"]
-                    if kind == "response" and hashlib.sha1(payload).hexdigest() != told:
-                        raise ValueError(f"payload of {warc['warc-record-id']} does not match its digest")
-                    rows.append((_page_of(warc["warc-record-id"]),
-                                 len(payload) if kind == "response" else int(http["content-length"]), told, kind,
-                                 _page_of(warc.get("warc-refers-to")), warc["warc-target-uri"]))
+                rows = [_read_record(gzip.decompress(blob[at:at + n])) for at, n in zip(offsets, lengths)]
                 yield rows_of(_READ, dict(zip(_READ.names, zip(*rows))))
 
+    total = packages.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]  # one row
+    tasks = max(1, -(-total // range_bytes))
     ranges = packages.select("path", "bytes").mapInArrow(plan, _RANGE)
-    return ranges.repartition(F.col("path"), F.col("start")).mapInArrow(
+    return ranges.repartitionByRange(int(min(tasks, MAX_TASKS)), "path", "start").mapInArrow(
         fetch, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string")
 
 
+def _read_record(raw: bytes) -> tuple:
+    warc, http, payload = parse_record(raw)
+    kind, told = warc["warc-type"], warc.get("warc-payload-digest")
+    if told is not None and told.startswith("sha1:"):
+        told = base64.b32decode(told.removeprefix("sha1:")).hex()
+    if kind != "revisit":
+        digest = hashlib.sha1(payload).hexdigest()
+        if told not in (None, digest):
+            raise ValueError(f"payload of {warc['warc-record-id']} does not match its digest")
+        told = digest
+    return (_page_of(warc["warc-record-id"]), int(http.get("content-length", 0)) if kind == "revisit" else len(payload), told, kind,
+            _page_of(warc.get("warc-refers-to")), warc.get("warc-target-uri"))
+
+
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``page_id, url, html`` to packages and read them back.
 
