@@ -189,6 +189,32 @@ def test_deeper_limits_reuse_trees_that_end_before(data, monkeypatch):
     assert scores[5][1] == predictions(plain(est.copy({est.maxDepth: 30}), rows), rows)
 
 
+def test_boosting_stops_at_its_plateau(data):
+    train, test = data
+    fitted = models.fit_gbt(train, X, iters=12, depth=4, step=0.9)
+    trace = models.boosting_trace(fitted, test)
+    losses = [r["val_loss"] for r in trace.orderBy("epoch").collect()]
+    assert len(losses) == 12
+    stop = metrics.plateau_early_stop(trace, patience=3).first()
+    cut = models.stopped_at(fitted, stop["best_epoch"])
+    assert len(cut.model.trees) == stop["best_epoch"] <= 12 and cut.score(test).columns == [*test.columns, "prob"]
+    assert models.boosting_trace(cut, test).agg(F.min("val_loss")).first()[0] == pytest.approx(stop["best_loss"])
+    assert stop["best_loss"] == pytest.approx(min(losses[:stop["last_epoch"]]))
+
+
+def test_perceptron_goes_on_from_its_weights_until_the_plateau(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(y), [float(v) for v in rng.normal(size=16) + y * np.linspace(0, 2, 16)], float(rng.normal())) for i, y in enumerate(rng.integers(0, 2, 300))]
+    df = spark.createDataFrame(rows, "id long, label int, cir array<double>, s double")
+    fitted, epochs = models.fit_waveform_nn_stopped(df.filter("id < 200"), df.filter("id >= 200"), ["s"], parts=4, hidden=(5,), steps=3, max_epochs=12, patience=2)
+    losses = [r["val_loss"] for r in epochs.orderBy("epoch").collect()]
+    best = int(np.argmin(losses))
+    assert losses[best] < losses[0] and (len(losses) == 12 or len(losses) == best + 3)
+    p = fitted.predict(df.filter("id >= 200"), ["id"]).toPandas()
+    again = -np.where(p.label == 1, np.log(p.prob.clip(1e-12, 1 - 1e-12)), np.log(1 - p.prob.clip(1e-12, 1 - 1e-12))).mean()
+    assert again == pytest.approx(losses[best])
+
+
 def test_class_ratio_weights(data):
     w = {r["label"]: r["weight"] for r in profiling.attach_weights(data[0], "label", "pos_weight").select("label", "weight").distinct().collect()}
     n = {r["label"]: r["count"] for r in data[0].groupBy("label").count().collect()}

@@ -26,9 +26,24 @@ def test_quantiles_equal_numpy(skewed):
         assert v == pytest.approx(np.quantile(pdf[c], p)), (c, p)
 
 
+def test_no_range_holds_much_more_than_its_share(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "RANGE_ROWS", 100)
+    rows = spark.range(4000).select(F.when(F.col("id") < 3000, "big").when(F.col("id") < 3990, "mid").alias("k"),
+                                    F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, None, 5), ("big", None, 3)], "k string, o long, v long"))
+    for descending in (False, True):
+        got = quantiles.prefix_sums(rows, ["k"], "o", ["v"], descending=descending)
+        want = rows.toPandas().sort_values("o", ascending=not descending, na_position="first")
+        want["cum_v"] = want.groupby("k", dropna=False)["v"].cumsum()
+        key = lambda r: tuple(None if x != x else x for x in r)
+        assert sorted(map(key, map(tuple, got.collect())), key=str) == sorted(map(key, want.itertuples(index=False)), key=str)
+    parts = rows.repartitionByRange(1 + rows.count() // 100, "k", "o").groupBy(F.spark_partition_id()).count()
+    assert parts.agg(F.max("count")).first()[0] <= 300
+
+
 def test_prefix_sums_are_exact_for_any_cut(skewed):
     rows = skewed.groupBy("prob").agg(F.count("*").alias("n"))
-    for ranges in (2, 8, 128):
+    for ranges in (1, 7, 200):
         got = quantiles.prefix_sums(rows, [], "prob", ["n"], ranges=ranges).orderBy("prob").toPandas()
         assert list(got["cum_n"]) == list(got["n"].cumsum())
 

@@ -426,6 +426,68 @@ def fit_waveform_nn(train: DataFrame, scalars: Sequence[str], wave: str = "cir",
                   refit=lambda rows: fit_waveform_nn(rows, scalars, wave, label, parts, hidden, max_iter, seed))
 
 
+def boosting_trace(fitted: Fitted, validation: DataFrame, label: str = "label", run: str = "boosting") -> DataFrame:
+    """``run, epoch, val_loss``: the loss on ``validation`` after every round of a fitted boosted model, from one scan."""
+    ready = assemble(validation, fitted.columns).select("features", F.col(label).cast("double").alias("label"), F.lit(1.0).alias("weight"))
+    losses = fitted.model.evaluateEachIteration(ready)
+    return validation.sparkSession.createDataFrame(
+        [(run, i + 1, float(v)) for i, v in enumerate(losses)], "run string, epoch long, val_loss double")  # one row per round
+
+
+def stopped_at(fitted: Fitted, epoch: int) -> Fitted:
+    """A boosted model cut back to its first ``epoch`` rounds."""
+    model = prefix_model(fitted.model, epoch)
+
+    def score(df: DataFrame) -> DataFrame:
+        out = model.transform(assemble(df, fitted.columns))
+        return out.withColumn("prob", _probability(out)).select(*df.columns, "prob")
+
+    return Fitted(fitted.name, fitted.columns, score, model, {**fitted.params, "rounds": epoch}, fitted.refit)
+
+
+def fit_waveform_nn_stopped(train: DataFrame, validation: DataFrame, scalars: Sequence[str], wave: str = "cir", label: str = "label",
+                            parts: int = 32, hidden: Sequence[int] = (32, 16), steps: int = 10, max_epochs: int = 50,
+                            patience: int = 5, seed: int = S.SEED) -> tuple[Fitted, DataFrame]:
+    """The perceptron of :func:`fit_waveform_nn`, stopped once its validation loss has not improved for ``patience`` epochs.
+
+    An epoch is ``steps`` optimiser steps that start from the weights of the last one. Returns the model of the best epoch and
+    the trace ``run, epoch, val_loss`` (log loss), which :func:`metrics.plateau_early_stop` reads.
+    """
+    scalars = list(scalars)
+
+    def vectors(df: DataFrame) -> DataFrame:
+        values = F.concat(pooled_wave(F.col(wave), parts), F.array(*[F.col(c).cast("double") for c in scalars]))
+        return df.withColumn("raw", array_to_vector(values))
+
+    columns = [wave, *scalars, F.col(label).cast("double").alias("label")]
+    raw = dealt(vectors(train.select(*columns)).select("raw", "label"))
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(raw)
+    ready = scaler.transform(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    held = dealt(scaler.transform(vectors(validation.select(*columns))).select("features", "label"))
+    layers = [parts + len(scalars), *hidden, 2]
+    weights, trace, best, bad = None, [], None, 0
+    while bad < patience and len(trace) < max_epochs:
+        net = MultilayerPerceptronClassifier(layers=layers, maxIter=steps, seed=seed, blockSize=256)
+        model = (net.setInitialWeights(weights) if weights is not None else net).fit(ready)
+        weights = model.weights
+        p = F.greatest(F.least(_probability(model.transform(held)), F.lit(1 - 1e-12)), F.lit(1e-12))
+        loss = model.transform(held).agg(F.avg(-F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]  # one row
+        trace.append((name := "waveform_nn", len(trace) + 1, float(loss)))
+        if best is None or loss < best[0]:
+            best, bad = (loss, model), 0
+        else:
+            bad += 1
+    ready.unpersist(), raw.unpersist(), held.unpersist()
+    chosen = best[1]
+
+    def score(df: DataFrame) -> DataFrame:
+        out = chosen.transform(scaler.transform(vectors(df)))
+        return out.withColumn("prob", _probability(out)).select(*df.columns, "prob")
+
+    epochs = train.sparkSession.createDataFrame(trace, "run string, epoch long, val_loss double")  # one row per epoch
+    return Fitted(name, scalars, score, chosen, {"epochs": len(trace)}), epochs
+
+
 def cross_val_predict(fitted: Fitted, train: DataFrame, key: str, label: str = "label", folds: int = 5,
                       seed: int = S.SEED, parallelism: int = 8) -> DataFrame:
     """Out-of-fold predictions: every train row scored by a model that never saw it."""

@@ -1,7 +1,7 @@
 """Distributed prefix sums, and the exact ranks and quantiles built on them.
 
-A running sum over one ordered group normally needs the whole group in one task. Here the group is
-cut into ranges at approximate quantiles, each range sums on its own, and the (few) range totals
+A running sum over one ordered group normally needs the whole group in one task. Here the rows are
+range-partitioned, each range sums on its own, and the range totals
 are prefix-summed to give every range its offset. Results are exact whatever the cut points are;
 those only decide how evenly the work spreads.
 """
@@ -13,50 +13,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wavelattice.session import cut_lineage
+from wavelattice.session import cut_lineage, fresh_cut
 
-RANGES = 64  # a power of two
-
-
-def _with_range(df: DataFrame, value: str, ranges: int) -> DataFrame:
-    """Add ``_range``, the number of ``_cuts`` below ``value``.
-
-    A binary search whose steps are ordinary projections: all of it stays in generated code.
-    """
-    at, jump = "0", ranges // 2
-    while jump:
-        name = "_range" if jump == 1 else f"_at{jump}"
-        df = df.withColumn(name, F.expr(f"{at} + if(_cuts[{at} + {jump - 1}] < {value}, {jump}, 0)"))
-        at, jump = name, jump // 2
-    return df
+RANGE_ROWS = 500_000  # aimed-at rows of a range
+BROADCAST_OFFSETS = 50_000  # rows, one per range of a key, up to which the offsets are broadcast
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Sequence[str],
-                descending: bool = False, ranges: int = RANGES) -> DataFrame:
-    """Add ``cum_<measure>``: the inclusive running sum per key in the order of one numeric column.
+                descending: bool = False, ranges: int | None = None) -> DataFrame:
+    """Add ``cum_<measure>``: the inclusive running sum per key in the order of one column.
 
     ``order`` must be distinct within each key (aggregate duplicates first), which also removes hot
-    values. ``keys`` must identify few groups: they select the cut points.
+    values. The rows are range-partitioned by keys and order into as many ranges as their number asks for; a key may lie
+    across any number of ranges and a range may hold any number of keys.
     """
     keys = list(keys)
-    value = -F.col(order) if descending else F.col(order)
-    src = df.withColumn("_o", value.cast("double"))
-    cuts = src.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys]).agg(
-        F.percentile_approx("_o", [i / ranges for i in range(1, ranges)], 1000).alias("_cuts"))
-    on_key = F.lit(True)
-    for k in keys:
-        on_key = on_key & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-    joined = src.join(F.broadcast(cuts), on_key)  # one row per group; without keys exactly one
-    ranged = _with_range(joined, "_o", ranges).select(*df.columns, "_o", "_range")
+    kept = fresh_cut(df)
+    if ranges is None:
+        ranges = 1 + kept.count() // RANGE_ROWS
+    exact = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_first()
+    ranged = kept.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], exact) if ranges > 1 else kept.coalesce(1)
+    # kept, so that a range has the same rows whenever it is read
+    ranged = fresh_cut(ranged.withColumn("_range", F.spark_partition_id()))
     totals = (ranged.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_range").alias("_t_range"))
               .agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures]))
     before = (Window.partitionBy(*[f"_t_{k}" for k in keys]).orderBy("_t_range")
-              .rowsBetween(Window.unboundedPreceding, -1))
+              .rowsBetween(Window.unboundedPreceding, -1))  # one row per range of a key
     offsets = totals.select(*[f"_t_{k}" for k in keys], "_t_range",
                             *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}")
                               for m in measures])
-    # doubles are good enough to pick a range, not to order large integers inside it
-    exact = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_first()
     here = (Window.partitionBy(*keys, "_range").orderBy(exact)
             .rowsBetween(Window.unboundedPreceding, 0))
     inside = ranged.select(*df.columns, "_range",
@@ -64,7 +49,9 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Sequen
     match = F.col("_range") == F.col("_t_range")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    return inside.join(F.broadcast(offsets), match).select(  # one row per group and range
+    offsets = fresh_cut(offsets)
+    few = offsets.count() <= BROADCAST_OFFSETS
+    return inside.join(F.broadcast(offsets) if few else offsets, match).select(
         *df.columns, *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures])
 
 
@@ -102,7 +89,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     inside = plain.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
     # a few values per bracket, read several times below
     values = cut_lineage(inside.groupBy("column", "prob", "before", "rank", "value").agg(F.count("*").alias("n")))
-    running = prefix_sums(values, ["column", "prob"], "value", ["n"], ranges=16)
+    running = prefix_sums(values, ["column", "prob"], "value", ["n"])
     upto = F.col("before") + F.col("cum_n")
     hits = running.filter((upto > F.floor("rank")) & (upto - F.col("n") <= F.ceil("rank")))
     return hits.groupBy("column", "prob").agg(

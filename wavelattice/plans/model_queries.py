@@ -12,7 +12,9 @@ from wavelattice.operators.paths import measurement_features
 from wavelattice.plans import views as V
 from wavelattice.plans.registry import query
 from wavelattice.plans.views import rnd
-from wavelattice.session import cut_lineage
+from wavelattice.session import cut_lineage, scratch_path
+from wavelattice.streaming.features import stream_features
+from wavelattice.streaming.scoring import score_stream, stream_predictions
 
 W = "WITH " + V.PTS
 X = V.POINT_COLUMNS
@@ -284,6 +286,49 @@ def _(spark, sf):
     return metrics.model_summary_table(fitted.predict(rows.filter(F.col("split") == "test"), ["sample_id"]))
 
 
+def _held_out(train: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """A tenth of the train rows for validation, the others to learn from."""
+    folded = cut_lineage(splits.stratified_folds(train, key, "label", 10))
+    return folded.filter("fold <> 0").drop("fold"), folded.filter("fold = 0").drop("fold")
+
+
+@query("early_stop_boosting")
+def _(spark, sf):
+    """Where the validation loss of a boosted fit has its plateau, and the test quality of the model cut back to there."""
+    train, test = study(spark, sf)
+    learn, held = _held_out(train, "row_id")
+    fitted = models.fit_gbt(learn, S.FEATURES)
+    stop = metrics.plateau_early_stop(models.boosting_trace(fitted, held))
+    cut = models.stopped_at(fitted, stop.first()["best_epoch"])  # one row
+    return stop.drop("final_lr").join(F.broadcast(_quality(cut, test)))  # one row each
+
+
+@query("early_stop_waveform_nn")
+def _(spark, sf):
+    """The epochs of the perceptron on raw waves until its validation loss stops improving, and where that was."""
+    rows = splits.scale_and_split(V.clean(spark, sf))
+    rows = cut_lineage(rows.select("sample_id", F.col("NLOS").alias("label"), "split", "cir", *S.SCALARS))
+    learn, held = _held_out(rows.filter(F.col("split") == "train"), "sample_id")
+    _, epochs = models.fit_waveform_nn_stopped(learn, held, S.SCALARS)
+    return epochs.join(metrics.plateau_early_stop(epochs).select("run", "stop_epoch", "best_epoch", "final_lr"), "run")
+
+
+@query("stream_scores")
+def _(spark, sf):
+    """A classifier fitted on the train rows scores the measurements as a file stream; its scores against those of a batch."""
+    train, _ = study(spark, sf)
+    fitted = models.fit_logistic(train, S.FEATURES)
+    source, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-scores")
+    V.sig(spark, sf).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    live = stream_features(spark.readStream.schema(schema).parquet(source))
+    score_stream(live, fitted, KEYS, target, scratch_path(spark, "stream-state")).awaitTermination()
+    batch = stream_predictions(stream_features(V.sig(spark, sf)), fitted, KEYS)
+    both = spark.read.parquet(target).select("sample_id", "path_id", "prob", "pred").join(
+        batch.select("sample_id", "path_id", F.col("prob").alias("batch_prob")), ["sample_id", "path_id"], "full")
+    return both.select("sample_id", "path_id", r(F.col("prob")).alias("prob"), "pred", (r(F.col("prob")) == r(F.col("batch_prob"))).alias("same"))
+
+
 @query("grid_search")
 def _(spark, sf):
     train, test = study(spark, sf)
