@@ -402,3 +402,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
 
 def query(spark, sf: str) -> DataFrame:
     return remove_repeats(table(spark, sf, "documents"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, i, b[i + 1:i + 100] AS x FROM (SELECT doc_id, b, unnest(range(n - 99)) AS i FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1),
+f AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER o + 100 THEN 0 ELSE 1 END AS fresh FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f),
+c AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM c
+      UNION ALL SELECT d.doc_id, coalesce(max(c.z), 0), any_value(d.n) FROM d LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id),
+h AS (SELECT k.doc_id, string_agg(hex(b[k.a + 1:k.z]), '' ORDER BY k.a) AS kept FROM k JOIN d ON d.doc_id = k.doc_id WHERE k.a < k.z GROUP BY k.doc_id),
+m AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM c GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN m ON m.doc_id = d.doc_id LEFT JOIN h ON h.doc_id = d.doc_id
+"""
