@@ -337,6 +337,19 @@ def brute_passage(same):
     return any(5 * sum(same[i:j]) >= 4 * (j - i) for i in range(n) for j in range(i + 13, n + 1))
 
 
+def test_decontamination_keeps_columns_of_any_name(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    bench = spark.createDataFrame([(1, passage), (2, " ".join(f"v{i}" for i in range(40)))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"Some {passage.upper()} more", "a", "b", "c", "d"), (2, None, "a", "b", "c", "d")] + [(3, passage, "x", "y", "z", None)] * 3,
+                                 "doc_id bigint, text string, _decontam_text string, _decontam_same string, `_Decontam_hits` string, _n string")
+    for size in (1 << 20, 100):
+        got = decontam.with_overlaps(docs, bench, slice_bytes=size)
+        assert got.columns == [*docs.columns, "overlaps"]
+        rows = got.collect()
+        assert sorted(map(str, [tuple(r)[:-1] for r in rows])) == sorted(map(str, map(tuple, docs.collect())))
+        assert sorted((r["doc_id"], [x["item_id"] for x in r["overlaps"]]) for r in rows) == [(1, [1]), (2, [])] + [(3, [1])] * 3
+
+
 def test_decontamination_of_partial_passages_with_substitutions():
     item = [f"w{i}x" for i in range(60)]
     swapped = lambda n, at: ["zzz" if i in at else w for i, w in enumerate(item[:n])]

@@ -36,6 +36,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, f"{label}-{os.getpid()}-{uuid.uuid4().hex[:8]}")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with as many underscores after it as it takes to be no column of ``df`` (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def crc_of(doc_id: str = "doc_id") -> Column:
     """crc32 of the id written as text (null id: of the empty string)."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

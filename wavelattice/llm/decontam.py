@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wavelattice.llm.common import table, text_pieces
+from wavelattice.llm.common import free_name, fresh_path, table, text_pieces
 from wavelattice.llm.tokens import FOLD_ALNUM, PLACES, U64, combined, words
+from wavelattice.operators.skew import join_facts
 
 #: The second to fourth still match where every fifth, fourth or third word was replaced. Together they hit every choice of
 #: unequal words in passages of 13 to 23 words with at least 80 % equal ones.
@@ -25,7 +26,7 @@ SHIFTS = tuple(tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS)
 MIN_WORDS = 13
 MIN_SHARE = Fraction(4, 5)
 MIN_ITEM_SHARE = 0.6
-#: Text of the benchmark that is broadcast at a time; more is searched in further passes.
+#: Text of the benchmark that is broadcast at a time; more is searched in further jobs.
 SLICE_BYTES = 4 << 20
 _BITMAP_BITS = 22
 _HITS = "array<struct<item_id:bigint,matched:int,aligned:int,start:int>>"
@@ -113,7 +114,9 @@ def with_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     Words are runs of letters and digits, in lower case. An entry has the item, the equal words, the length of the passage and its
     first word in the document; the passage is the longest stretch with the share, less unequal words at its ends. Null texts have none; null ids and null, empty or short items (under six words) are not
     searched; items that repeat an id are searched each. All other columns stay, whatever their names are, but for
-    ``into``, which is replaced. An empty table gives an empty result. The benchmark is broadcast in slices of bounded size, each in a pass of its own.
+    ``into``, which is replaced. An empty table gives an empty result. The benchmark is broadcast in slices of bounded size. A
+    single slice is one pass without any shuffle. Of several each has a job of its own, which writes the overlaps of the
+    texts that have any to the shared folder, and the broadcast is freed before the next one is made.
     """
     items = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item).cast("bigint").alias("_id"), F.col(item_text).alias("_t"))
@@ -122,26 +125,45 @@ def with_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     at = F.pmod(F.xxhash64("_id", "_t"), F.lit(slices))
     spark = docs.sparkSession
     docs = docs.drop(into)
-    columns = docs.columns
-    out = docs.withColumn("__decontam_text", F.lower(F.coalesce(F.col(text), F.lit(""))))
-    for i in range(slices):
-        part = sorted((r["_id"], r["_t"]) for r in items.where(at == i).collect())  # about slice_bytes of text
-        out = _searched(out, spark.sparkContext.broadcast(vars(Seeds([x for x, _ in part], [t for _, t in part]))), f"__decontam_hits{i}")
-    hits = F.concat(*[F.col(f"__decontam_hits{i}") for i in range(slices)])
-    return out.select(*[F.col(f"`{c}`") for c in columns], hits.alias(into))
+    whole, same, found = (free_name(docs, x) for x in ("_decontam_text", "_decontam_same", "_decontam_hits"))
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
 
+    def seeds(i: int):
+        part = sorted((r["_id"], r["_t"]) for r in items.where(at == i).collect())  # about slice_bytes of text
+        return spark.sparkContext.broadcast(vars(Seeds([x for x, _ in part], [t for _, t in part])))
 
-def _searched(docs: DataFrame, seeds, into: str) -> DataFrame:
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    if slices == 1:
+        return _searched(docs.withColumn(whole, lowered), seeds(0), whole, found).select(*kept, F.col(found).alias(into))
+    texts = docs.select(F.unhex(F.sha2(lowered.cast("binary"), 256)).alias("same"), lowered.alias("whole"))
+    hits = None
+    for i in range(slices):
+        shared, path = seeds(i), fresh_path(spark, f"overlaps-{i}")
+        _searched(texts, shared, "whole", "hits").where(F.size("hits") > 0).select("same", "hits").write.parquet(path)
+        shared.destroy()
+        part = spark.read.parquet(path).withColumn("slice", F.lit(i))
+        hits = part if hits is None else hits.unionByName(part)
+    # copies of a text have equal overlaps: one of them stands for all, and their number tells how far to spread the join
+    each = hits.groupBy("same", "slice").agg(F.first("hits").alias("hits"), F.count("*").alias("n"))
+    facts = each.groupBy(F.col("same").alias(same)).agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("slice", "hits"))), lambda x: x["hits"])).alias(found), F.max("n").alias("_n"))
+    at_row = free_name(docs, "_decontam_at")
+    rows = docs.withColumn(same, F.unhex(F.sha2(lowered.cast("binary"), 256))).withColumn(at_row, F.monotonically_increasing_id())
+    joined = join_facts(rows, facts, same, "_n", at_row, narrow=False, how="left")
+    return joined.select(*kept, F.coalesce(found, F.array().cast(_HITS)).alias(into))
+
+
+def _searched(docs: DataFrame, seeds, whole: str, into: str) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):
         lookup = Seeds.__new__(Seeds)
         vars(lookup).update(seeds.value)
-        for part, data, offsets in text_pieces(batches, "__decontam_text"):
+        for part, data, offsets in text_pieces(batches, whole):
             hits = lookup.overlaps(data, offsets)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, _HIT_TYPE)], names=[*part.schema.names, into])
 
-    return docs.mapInArrow(run, f"{schema}, {into} {_HITS}")
+    return docs.mapInArrow(run, f"{schema}, `{into}` {_HITS}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
