@@ -372,6 +372,17 @@ def test_decontamination_of_partial_passages_with_substitutions():
 
 # --- pipeline
 
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    folder = str(tmp_path)
+    docs_of(spark, []).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.collect() == [] and set(out.columns) >= {"doc_id", "text", "size", "taken"}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
@@ -390,7 +401,9 @@ def test_pipeline_stages(spark, tmp_path):
     rows += [(2000 + i, text(30) + " " + bench[i][1] + " " + text(30), "en", "b") for i in range(5)]
     rows += [(3000, text(40) + " password: abcdefghijklmnop " + text(5), "en", "b"), (3001, None, None, None), (3002, "", None, None)]
     folder = str(tmp_path)
-    docs_of(spark, rows).drop("size", "target").write.parquet(f"{folder}/documents.parquet")
+    odd = ("__mark", "_Mark", "__row", "_row_number", "_overlaps", "_toxicity", "_toxicity_text", "_secret_id", "_secret_mark", "__spans", "_mix_id", "_src", "taken")
+    docs_of(spark, rows).drop("size", "target").withColumns({c: F.concat(F.lit(c), F.coalesce("doc_id", F.lit(0))) for c in odd}).write.parquet(
+        f"{folder}/documents.parquet")
     spark.createDataFrame(bench, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -402,6 +415,9 @@ def test_pipeline_stages(spark, tmp_path):
         docs = spark.read.parquet(path)
         if name != "mixing":
             assert docs.columns == columns
+        kept = [c for c in odd if c != "taken" or name != "mixing"]
+        for c in kept:
+            assert docs.where(F.col(c) != F.concat(F.lit(c), F.coalesce("doc_id", F.lit(0)))).isEmpty(), (name, c)
         after[name] = docs.select("doc_id", "text", "n_chars").collect()
     ids = {n: [r["doc_id"] for r in v] for n, v in after.items()}
     toxic = {i for i, _, t in labels if t}
