@@ -136,6 +136,26 @@ def test_suffix_removal_repeated_and_null_keys(spark):
     assert suffixes.remove_repeats(frame(spark, [])).collect() == []
 
 
+def test_two_places_share_a_sample_at_some_distance():
+    cover = {int(d) for d in suffixes.COVER}
+    for i in range(suffixes.PERIOD):
+        for j in range(suffixes.PERIOD):
+            assert any((i + k) % suffixes.PERIOD in cover and (j + k) % suffixes.PERIOD in cover for k in range(suffixes.BEFORE + 1))
+
+
+@pytest.mark.parametrize("shift", [0, 1, 56, 57, 700])
+def test_suffix_removal_of_shifted_near_copies(spark, shift, monkeypatch):
+    monkeypatch.setattr(suffixes, "_SEGMENT", 900)
+    rng = random.Random(shift)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(2_000))
+    rows = [(0, base)]
+    for i in range(1, 12):  # one letter replaced or put in, at any place, behind a head of its own
+        at = rng.randrange(len(base))
+        rows.append((i, "".join(rng.choice("xyz") for _ in range(shift)) + base[:at] + "Q" + base[at + i % 2:]))
+    got = suffixes.remove_repeats(frame(spark, rows).repartition(3))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected_removal(rows)
+
+
 def test_difference_cover_names_windows():
     rng = np.random.default_rng(2)
     texts = rng.integers(97, 99, (60, suffixes.CONTEXT)).astype(np.uint8)

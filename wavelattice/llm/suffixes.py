@@ -1,18 +1,22 @@
-"""Removal of repeated 100-byte strings by hash anchors and equality names, in place of a sort of all suffixes.
-
-Sorting every suffix of a corpus would move it many times over (not measured), so windows meet only where they can agree:
-
-1. *Anchors.* Every 100-byte window picks its smallest 32-byte gram (by hash). Equal windows pick equal grams at the same
-   place, so windows only need comparing where grams agree. The windows around an anchor lie within its context of 168
-   bytes. Where an earlier anchor has the same gram and context, all its windows are repeats. What remains are the first
-   anchors of contexts whose gram also has other contexts: the edges of repeated passages.
-2. *Equality names.* The contexts of a gram meet in one task. There is no suffix order: blocks of 16 bytes at places that are
-   no multiple of three get names that are equal for equal blocks, triples of names are named again for 34 bytes, and
-   triples of those for 100. A window at another place is named by the sampled blocks behind it and the bytes around.
-   Windows with equal names at the same start are repeats, except for the earliest.
-3. *Removal.* Bytes covered by repeated windows go; the rest of each text is hashed.
-
-A gram with very many contexts does not go to one task: its windows are grouped by hash instead.
+"""Removal of repeated 100-byte strings by a difference cover: sampled triples, names, remaining suffixes, neighbours.
+
+A removed byte needs equality of 100 bytes only, so the suffix order is built to that depth and not beyond:
+
+1. *Sampled triples.* Places of a text are sampled where their remainder by 57 lies in a difference cover of eight. Any two
+   equal windows of 100 bytes then hold sampled places at the same distance, with 44 equal bytes behind them (the core). A
+   sample is a triple: 56 bytes before it, its core, 56 bytes after the core. The triples of all texts are sorted by the
+   numbers of their core and of the whole triple, range by range. A core that is alone has no repeat and drops out.
+2. *Names.* Equal triples get one name, that of the earliest. All windows around a later sample of a name are repeats. Depth 100
+   is reached with this one step from cores to triples, so there is no further recursion. Names are numbers made by hashing:
+   their order is not that of the bytes, which equality does not need.
+3. *Remaining suffixes.* The first samples of names that share a core meet in one task. There their bytes are sorted
+   as suffixes (from the core on) and as reversed prefixes (before the core), in byte order, and neighbours are compared for
+   the length of their common prefix. A suffix that starts before the core is named by both: its bytes up to the core
+   and those behind. Windows with equal names at the same start are repeats, except for the earliest.
+4. *Removal.* Bytes covered by repeated windows go; the rest of each text is hashed.
+
+Windows whose starts leave the same remainder meet at several samples; only the samples of remainder 0 work for them.
+A core with very many different triples does not go to one task: its windows are grouped by their bytes.
 """
 
 from __future__ import annotations
@@ -27,21 +31,23 @@ from wavelattice.llm.common import fresh_path, in_runs, table, text_pieces, with
 from wavelattice.llm.tokens import U64, mix
 
 WINDOW = 100
-GRAM = 32
-#: Bytes before an anchor that a window holding it can reach.
-BEFORE = WINDOW - GRAM
+#: Every remainder by 57 is a difference of two of these (perfect difference set, fixed values).
+PERIOD = 57
+COVER = np.array([0, 1, 3, 13, 32, 36, 43, 52])
+#: Bytes before a sample that a window holding it can reach, and bytes that such windows share from the sample on.
+BEFORE = PERIOD - 1
+CORE = WINDOW - BEFORE
 CONTEXT = BEFORE + WINDOW
-#: Anchors that a task gathers before it sends them off.
-FLUSH = 1 << 18
-#: Contexts that are sorted at a time, and contexts of one gram beyond which its windows are grouped by hash.
-CHUNK, HOT = 1 << 12, 100_000
+#: Samples that a task gathers before it sends them off.
+FLUSH = 1 << 19
+#: Contexts that are sorted at a time, and contexts of one core beyond which its windows are grouped by their bytes.
+CHUNK, HOT = 1 << 12, 20_000
 _SEGMENT = 1 << 19
 _LUT = mix(np.arange(1, 258, dtype=U64) * U64(0x9E3779B97F4A7C15))
-_ODD = [U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xD6E8FEB86659FD93), U64(0xC2B2AE3D27D4EB4F)]
-_MAX = U64(0xFFFFFFFFFFFFFFFF)
+_ODD = [U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)]
 
 
-# --- 1. anchors --------------------------------------------------------------------------------------------------
+# --- 1. sampled triples ------------------------------------------------------------------------------------------
 
 def _doubled(a: np.ndarray, s: int) -> np.ndarray:
     out = a[:len(a) - s] * _ODD[0]
@@ -50,114 +56,122 @@ def _doubled(a: np.ndarray, s: int) -> np.ndarray:
     return out
 
 
-def _sliding(a: np.ndarray, width: int, pick) -> np.ndarray:
-    """``pick`` over every ``width`` consecutive values."""
-    k = 1
-    while k * 2 <= width:
-        a, k = pick(a[:-k], a[k:]), k * 2
-    rest = width - k
-    return pick(a[:len(a) - rest], a[rest:]) if rest else a
-
-
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text index, offset, gram hash and context hash of the anchors of some texts."""
+def samples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text index, offset, core number and triple number of the sampled places of some texts."""
     n_docs, size = len(offsets) - 1, np.diff(offsets)
     begin = offsets[:-1] + np.arange(1, n_docs + 1) * CONTEXT
     x = np.full(len(data) + (n_docs + 1) * CONTEXT, 256, np.uint16)  # padding that equals no byte
     x[np.arange(len(data)) + np.repeat(begin - offsets[:-1], size)] = data
     h = _LUT[x]
-    for s in (1, 2, 4):
-        h = _doubled(h, s)
-    h8 = h
-    for s in (8, 16):
-        h = _doubled(h, s)
-    inside = np.zeros(len(h) + 1, np.int8)
-    room = size >= WINDOW
-    np.add.at(inside, begin[room], 1)
-    np.add.at(inside, (begin + size - GRAM + 1)[room], -1)
-    g = np.where(np.cumsum(inside[:-1], dtype=np.int8) > 0, h, _MAX)
-    width = WINDOW - GRAM + 1
-    least = _sliding(g, width, np.minimum)
-    most = _sliding(least, width, np.maximum)
-    a = np.flatnonzero((g[width - 1:width - 1 + len(most)] <= most) & (g[width - 1:width - 1 + len(most)] != _MAX)) + width - 1
-    doc = np.searchsorted(begin, a, side="right") - 1
-    off = a - begin[doc]
-    keep = np.maximum(off - BEFORE, 0) <= np.minimum(off, size[doc] - WINDOW)
-    a, doc, off = a[keep], doc[keep], off[keep]
-    ctx = h8[a + CONTEXT - BEFORE - 8]
-    for i in range(5):
-        ctx = ctx * _ODD[1] + h[a - BEFORE + 32 * i]
-        ctx ^= ctx >> U64(29)
-    return doc, off, h[a], ctx
+    for s in (1, 2, 4, 8, 16):
+        h = _doubled(h, s)  # 32 bytes in the end
+    room = np.where(size >= WINDOW, size - CORE + 1, 0)
+    count = room // PERIOD * len(COVER) + np.searchsorted(COVER, room % PERIOD)
+    doc = np.repeat(np.arange(n_docs), count)
+    rank = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    off = rank // len(COVER) * PERIOD + COVER[rank % len(COVER)]
+    at = begin[doc] + off
+    core = h[at] * _ODD[1] + h[at + CORE - 32]
+    core = mix(core ^ (core >> U64(29)))
+    triple = core.copy()
+    for lo in (-BEFORE, 32 - BEFORE, 8, 40, WINDOW - 32):
+        triple = triple * _ODD[1] + h[at + lo]
+        triple ^= triple >> U64(29)
+    return doc, off, core, triple
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray):
-    """The texts of a piece; a long one in overlapping parts. Yields data, offsets, text index, shift and kept range."""
+    """The texts of a piece; a long one in overlapping parts. Yields data, offsets, shift and kept range.
+
+    Shifts are multiples of the period, so places keep their remainders.
+    """
     size = np.diff(offsets)
     if len(size) > 1 or size[0] <= _SEGMENT:
-        yield data, offsets, None, 0, None
+        yield data, offsets, 0, None
         return
     for lo in range(0, int(size[0]), _SEGMENT):
-        a, b = max(0, lo - 2 * CONTEXT), min(int(size[0]), lo + _SEGMENT + 2 * CONTEXT)
-        yield data[a:b], np.array([0, b - a]), 0, a, (lo, lo + _SEGMENT)
+        a, b = max(0, lo - 2 * CONTEXT) // PERIOD * PERIOD, min(int(size[0]), lo + _SEGMENT + 2 * CONTEXT)
+        yield data[a:b], np.array([0, b - a]), a, (lo, lo + _SEGMENT)
 
 
-_DEALT = pa.schema([("bucket", pa.int32()), ("gram", pa.binary()), ("ctx", pa.binary()), ("row", pa.binary()), ("off", pa.binary()),
+_DEALT = pa.schema([("bucket", pa.int32()), ("core", pa.binary()), ("triple", pa.binary()), ("row", pa.binary()), ("off", pa.binary()),
                     ("done", pa.bool_())])
 _FOUND = pa.schema([("row", pa.int64()), ("off", pa.int64()), ("gram", pa.int64()), ("kind", pa.int8())])
 DONE, EDGE, CROWDED = 0, 1, 2
 
 
-def _groups(gram: np.ndarray, ctx: np.ndarray, row: np.ndarray, off: np.ndarray):
-    """The entries in order of gram, context and place, with flags where gram and context begin."""
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: planes of zeros compress to nothing."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplanes(raw: bytes, dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def _packed_places(row: np.ndarray, off: np.ndarray) -> tuple[bytes, bytes]:
+    return _planes(np.diff(row, prepend=0)), _planes(off.astype(np.uint32))
+
+
+def _places(row: bytes, off: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(_unplanes(row, np.int64)), _unplanes(off, np.uint32).astype(np.int64)
+
+
+def _sorted_triples(core: np.ndarray, triple: np.ndarray, row: np.ndarray, off: np.ndarray):
+    """The samples in order of core, triple and place, flags where core and triple begin, and of repeats that count."""
     by_place = np.lexsort((off, row))
-    gram, ctx, row, off = gram[by_place], ctx[by_place], row[by_place], off[by_place]
-    order = np.argsort(gram, kind="stable")
-    same = gram[order][1:] == gram[order][:-1]
-    if same.any():  # contexts only matter among equal grams
-        order = order[np.lexsort((np.arange(len(order)), ctx[order], gram[order]))]
-    gram, ctx, row, off = gram[order], ctx[order], row[order], off[order]
-    new_gram = np.ones(len(gram), bool)
-    new_gram[1:] = gram[1:] != gram[:-1]
-    new_ctx = new_gram.copy()
-    new_ctx[1:] |= ctx[1:] != ctx[:-1]
-    return gram, ctx, row, off, new_gram, new_ctx
+    order = by_place[np.argsort(core[by_place], kind="stable")]
+    same = np.zeros(len(order), bool)
+    same[1:] = core[order[1:]] == core[order[:-1]]
+    same[:-1] |= same[1:]
+    shared = order[same]  # triples only matter among equal cores
+    order[same] = shared[np.lexsort((triple[shared], core[shared]))]
+    core, triple, row, off = core[order], triple[order], row[order], off[order]
+    new_core = np.ones(len(core), bool)
+    new_core[1:] = core[1:] != core[:-1]
+    new_triple = new_core.copy()
+    new_triple[1:] |= triple[1:] != triple[:-1]
+    first = np.maximum.accumulate(np.where(new_triple, np.arange(len(core)), 0))
+    rest = off % PERIOD
+    repeat = ~new_triple & ((rest != rest[first]) | (rest == 0))
+    return core, triple, row, off, new_core, new_triple, repeat
 
 
 def _dealt(batches, bits: int):
     held, size = [], 0
 
     def emit():
-        gram, ctx, row, off, _, first = _groups(*(np.concatenate(c) for c in zip(*held)))
+        core, triple, row, off, _, first, repeat = _sorted_triples(*(np.concatenate(c) for c in zip(*held)))
         cols = {f.name: [] for f in _DEALT}
 
         def add(*values):
             for name, value in zip(cols, values):
                 cols[name].append(value)
 
-        if not first.all():  # repeats of an earlier place among the same texts need not travel by gram
-            add(int(row[0] % (1 << bits)), b"", b"", row[~first].tobytes(), off[~first].astype(np.int64).tobytes(), True)
-        # anchors are the smallest hashes around, so their own high bits would not spread them
-        bucket = (mix(gram[first]) >> U64(64 - bits)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        bucket, (gram, ctx, row, off) = bucket[by], (x[first][by] for x in (gram, ctx, row, off))
+        if repeat.any():  # repeats of an earlier place among the same texts need not travel by core
+            r, o = row[repeat], off[repeat]
+            by = np.lexsort((o, r))
+            add(int(r[0] % (1 << bits)), b"", b"", *_packed_places(r[by], o[by]), True)
+        core, triple, row, off = core[first], triple[first], row[first], off[first]
+        bucket = (core >> U64(64 - bits)).astype(np.int64)
+        by = np.lexsort((off, row, bucket))  # differences of sorted rows compress well
+        bucket, core, triple, row, off = bucket[by], core[by], triple[by], row[by], off[by]
         cut = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         for b in np.flatnonzero(np.diff(cut)):
             i, j = cut[b], cut[b + 1]
-            by = np.argsort(row[i:j], kind="stable")  # differences of sorted rows compress well
-            add(int(b), gram[i:j][by].tobytes(), ctx[i:j][by].tobytes(), np.diff(row[i:j][by], prepend=0).tobytes(),
-                off[i:j][by].astype(np.int64).tobytes(), False)
+            # 32 bits within a bucket: cores that share them by chance cost a comparison, not a row
+            add(int(b), core[i:j].astype(np.uint32).tobytes(), triple[i:j].tobytes(), *_packed_places(row[i:j], off[i:j]), False)
         return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in _DEALT], schema=_DEALT)
 
     for part, data, offsets in text_pieces(batches, "_t", _SEGMENT):
         rows = part.column(0).to_numpy()
-        for some, offs, only, shift, kept in _segments(data, offsets):
-            doc, off, gram, ctx = anchors(some, offs)
+        for some, offs, shift, kept in _segments(data, offsets):
+            doc, off, core, triple = samples(some, offs)
             off = off + shift
             if kept is not None:
                 ok = (off >= kept[0]) & (off < kept[1])
-                doc, off, gram, ctx = doc[ok], off[ok], gram[ok], ctx[ok]
-            held.append((gram, ctx, rows[doc], off))
+                doc, off, core, triple = doc[ok], off[ok], core[ok], triple[ok]
+            held.append((core, triple, rows[doc], off))
             size += len(off)
             if size >= FLUSH:
                 yield emit()
@@ -166,24 +180,33 @@ def _dealt(batches, bits: int):
         yield emit()
 
 
-def _sorted_out(batches, hot: int):
+# --- 2. names ----------------------------------------------------------------------------------------------------
+
+def _named(batches, hot: int):
+    """Later samples of equal triples, and the first ones of triples that share a core with others."""
     for t in in_runs(batches, "bucket", 1):
         cols = t.to_pydict()
-        parts = []
-        for gram, ctx, row, off, done in zip(*(cols[n] for n in ("gram", "ctx", "row", "off", "done"))):
-            row, off = np.frombuffer(row, np.int64), np.frombuffer(off, np.int64)
+        parts, bucket = [], cols["bucket"][0]
+        for core, triple, row, off, done in zip(*(cols[n] for n in ("core", "triple", "row", "off", "done"))):
+            row, off = _places(row, off)
             if done:
                 yield _found(row, off, np.zeros(len(row), np.int64), DONE)
             else:
-                parts.append((np.frombuffer(gram, U64), np.frombuffer(ctx, U64), np.cumsum(row), off))
+                parts.append((np.frombuffer(core, np.uint32), np.frombuffer(triple, U64), row, off))
+        del cols, t
         if not parts:
             continue
-        gram, ctx, row, off, new_gram, new_ctx = _groups(*(np.concatenate(c) for c in zip(*parts)))
-        contexts = np.bincount(np.cumsum(new_gram) - 1, new_ctx)[np.cumsum(new_gram) - 1]
-        yield _found(row[~new_ctx], off[~new_ctx], gram[~new_ctx].view(np.int64), DONE)
-        edge = new_ctx & (contexts > 1)
-        kind = np.where(contexts[edge] > hot, CROWDED, EDGE)
-        yield _found(row[edge], off[edge], gram[edge].view(np.int64), kind)
+        core, _, row, off, new_core, first, repeat = _sorted_triples(*(np.concatenate(c) for c in zip(*parts)))
+        yield _found(row[repeat], off[repeat], np.zeros(int(repeat.sum()), np.int64), DONE)
+        core, row, off = core[first], row[first], off[first]
+        start = np.flatnonzero(new_core[first])
+        count = np.diff(np.append(start, len(core)))
+        rest = off % PERIOD
+        least, most = np.minimum.reduceat(rest, start), np.maximum.reduceat(rest, start)
+        # windows of equal remainders also meet at their samples of remainder 0
+        edge = np.repeat((count > 1) & ((least != most) | (least == 0)), count)
+        kind = np.where(np.repeat(count, count)[edge] > hot, CROWDED, EDGE)
+        yield _found(row[edge], off[edge], (np.int64(bucket) << np.int64(32)) | core[edge].astype(np.int64), kind)
 
 
 def _found(row, off, gram, kind) -> pa.RecordBatch:
@@ -191,24 +214,21 @@ def _found(row, off, gram, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(row), pa.array(off), pa.array(gram), pa.array(np.ascontiguousarray(kind))], schema=_FOUND)
 
 
-# --- 2. difference cover -----------------------------------------------------------------------------------------
+# --- 3. remaining suffixes ---------------------------------------------------------------------------------------
 
-def _named(*keys: np.ndarray) -> np.ndarray:
-    """Names of the rows of ``keys``: equal for equal rows; their order means nothing."""
-    shape = keys[0].shape
-    flat = [k.ravel() for k in keys]
-    mark = flat[0] * _ODD[0]
-    for i, k in enumerate(flat[1:], 1):
-        mark ^= mark >> U64(32)
-        mark = mark * _ODD[i] + k
-    order = np.argsort(mix(mark))  # any order in which equal rows are neighbours will do
-    new = np.zeros(len(order), bool)
-    for k in flat:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    out = np.empty(len(order), U64)
-    out[order] = np.cumsum(new).astype(U64)
-    return out.reshape(shape)
+def _neighbours(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The byte order of strings of equal width by group, and the bytes that each shares with the one before (-1: none)."""
+    width = strings.shape[1]
+    keyed = np.empty((len(strings), 8 + width), np.uint8)
+    keyed[:, :8] = group.astype(">i8").view(np.uint8).reshape(-1, 8)
+    keyed[:, 8:] = strings
+    order = np.argsort(keyed.view(f"V{8 + width}").ravel(), kind="stable")
+    keyed = keyed[order]
+    unlike = np.ones((len(order), 9 + width), bool)
+    unlike[1:, :-1] = keyed[1:] != keyed[:-1]
+    shared = np.argmax(unlike, axis=1) - 8
+    shared[0] = -1
+    return order, np.maximum(shared, -1)
 
 
 def repeats(texts: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -218,66 +238,59 @@ def repeats(texts: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndar
     window that lies within its text.
     """
     m = len(texts)
-    eight = np.zeros((m, CONTEXT - 7), U64)
-    for k in range(8):
-        eight = (eight << U64(8)) | texts[:, k:CONTEXT - 7 + k]
-    cols = np.arange(CONTEXT)
-    sample = cols[(cols % 3 > 0) & (cols <= CONTEXT - 16)]
-    place = np.full(CONTEXT, -1)
-    place[sample] = np.arange(len(sample))
-    names = _named(eight[:, sample], eight[:, sample + 8])  # 16 bytes
-    sample34 = sample[sample <= CONTEXT - 34]
-    names = _named(*(names[:, place[sample34 + s]] for s in (0, 9, 18)))  # triples: 34 bytes
-    place[sample] = -1
-    place[sample34] = np.arange(len(sample34))
-    starts = np.arange(BEFORE + 1)
-    own = starts % 3 > 0
-    key = [np.zeros((m, BEFORE + 1), U64) for _ in range(3)]
-    tail = np.zeros((m, BEFORE + 1), U64)
-    for i, (s, r) in enumerate(((0, 1), (33, 34), (66, 64))):
-        key[i][:, own] = names[:, place[starts[own] + s]]  # sampled: a triple of names covers the window
-        key[i][:, ~own] = names[:, place[starts[~own] + r]]  # others: the sampled suffix behind, and the bytes around
-    for s in (0, 98, 99):
-        tail[:, ~own] = (tail[:, ~own] << U64(8)) | texts[:, starts[~own] + s]
-    valid = (starts[None, :] >= low[:, None]) & (starts[None, :] <= high[:, None])
-    where = np.flatnonzero(valid)
-    who, start = where // (BEFORE + 1), where % (BEFORE + 1)
-    a = (key[0].ravel()[where] << U64(32)) | key[1].ravel()[where]
-    b = (key[2].ravel()[where] << U64(24)) | tail.ravel()[where]
-    c = (group[who].astype(U64) << U64(8)) | start.astype(U64)
-    name = _named(a, b, c).astype(np.int64)
-    first = np.full(int(name.max(initial=-1)) + 1, m)
-    np.minimum.at(first, name, who)
     out = np.zeros((m, BEFORE + 1), bool)
-    out.ravel()[where] = who > first[name]
+    if m == 0:
+        return out
+    behind, shared = _neighbours(group, texts[:, BEFORE:])
+    before, shared_back = _neighbours(group, texts[:, :BEFORE][:, ::-1])
+    name = np.empty((2, m), np.int64)
+    for start in range(BEFORE + 1):
+        # strings of a length that share it with their neighbours are equal
+        name[0, behind] = np.cumsum(shared < start + CORE)
+        name[1, before] = np.cumsum(shared_back < BEFORE - start)
+        at = np.flatnonzero((low <= start) & (start <= high))
+        key = (name[0, at] << 32) | name[1, at]
+        order = np.argsort(key, kind="stable")
+        again = key[order[1:]] == key[order[:-1]]
+        out[at[order[1:][again]], start] = True
     return out
 
 
 _CONTEXTS = "gram bigint, row bigint, off bigint, room bigint, bytes binary"
 
 
+def _binary(strings: np.ndarray) -> pa.Array:
+    """Rows of a matrix of bytes."""
+    n, width = strings.shape
+    offsets = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(strings))])
+
+
 def _contexts(batches):
-    """The bytes around every anchor of ``_row, _t, at`` (offsets and grams), with the room its text has around it."""
+    """The bytes around every sample of ``_row, _t, at`` (offsets and cores), with the size of its text."""
+    cols = np.arange(CONTEXT)
+
+    def sent(held):
+        gram, row, off, room, piece = (np.concatenate(c) for c in zip(*held))
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(row), pa.array(off), pa.array(room), _binary(piece)],
+                                          names=["gram", "row", "off", "room", "bytes"])
+
     for batch in batches:
-        out = ([], [], [], [], [])
+        held, size = [], 0
         for row, text, at in zip(*(batch.column(i) for i in range(3))):
-            raw = text.as_py().encode()
-            flat = at.values
-            for off, gram in zip(flat.field("off").to_pylist(), flat.field("gram").to_pylist()):
-                lo = off - BEFORE
-                piece = raw[max(0, lo):lo + CONTEXT]
-                if len(piece) < CONTEXT:
-                    piece = b"\0" * max(0, -lo) + piece
-                    piece += b"\0" * (CONTEXT - len(piece))
-                for col, value in zip(out, (gram, row.as_py(), off, len(raw), piece)):
-                    col.append(value)
-            if len(out[0]) >= 20_000:
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())],
-                                                 names=["gram", "row", "off", "room", "bytes"])
-                out = ([], [], [], [], [])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())],
-                                             names=["gram", "row", "off", "room", "bytes"])
+            raw = np.frombuffer(text.as_py().encode(), np.uint8)
+            offs, grams = (at.values.field(n).to_numpy() for n in ("off", "gram"))
+            padded = np.zeros(len(raw) + CONTEXT, np.uint8)
+            padded[BEFORE:BEFORE + len(raw)] = raw
+            for i in range(0, len(offs), 10_000):
+                off = offs[i:i + 10_000]
+                held.append((grams[i:i + 10_000], np.full(len(off), row.as_py()), off, np.full(len(off), len(raw)), padded[off[:, None] + cols]))
+                size += len(off)
+                if size >= 20_000:
+                    yield sent(held)
+                    held, size = [], 0
+        if held:
+            yield sent(held)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -287,8 +300,8 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 _RUNS = "row bigint, lo bigint, hi bigint"
 
 
-def _suffix_sorted(batches):
-    """Runs of starts of repeated windows, from contexts sorted by gram; no suffixes are sorted."""
+def _merged(batches):
+    """Runs of starts of repeated windows, from contexts that come core by core."""
     for t in in_runs(batches, "gram", CHUNK):
         gram, row, off, room = (t.column(n).to_numpy() for n in ("gram", "row", "off", "room"))
         order = np.lexsort((off, row))
@@ -304,32 +317,26 @@ def _suffix_sorted(batches):
 
 
 def _windows(batches):
-    """Every window of the contexts of crowded grams, by hash."""
+    """Every window of the contexts of crowded cores."""
     for batch in batches:
         t = pa.Table.from_batches([batch])
         texts = _matrix(t.column("bytes"))
-        gram, row, off, room = (t.column(n).to_numpy() for n in ("gram", "row", "off", "room"))
+        row, off, room = (t.column(n).to_numpy() for n in ("row", "off", "room"))
         for j in range(BEFORE + 1):
             start = off - BEFORE + j
             ok = np.flatnonzero((start >= 0) & (start + WINDOW <= room))
-            w1, w2 = np.zeros(len(ok), U64), np.zeros(len(ok), U64)
-            for k in range(WINDOW):
-                v = _LUT[texts[ok, j + k]]
-                w1, w2 = w1 * _ODD[0] + v, (w2 ^ v) * _ODD[1]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(gram[ok]), pa.array(np.full(len(ok), j, np.int32)), pa.array(mix(w1).view(np.int64)),
-                pa.array(mix(w2).view(np.int64)), pa.array(row[ok]), pa.array(start[ok])], names=["gram", "j", "w1", "w2", "row", "start"])
+            yield pa.RecordBatch.from_arrays([_binary(texts[ok, j:j + WINDOW]), pa.array(row[ok]), pa.array(start[ok])],
+                                             names=["w", "row", "start"])
 
 
 def _crowded_runs(contexts: DataFrame) -> DataFrame:
-    w = contexts.mapInArrow(_windows, "gram bigint, j int, w1 bigint, w2 bigint, row bigint, start bigint")
-    keys = ["gram", "j", "w1", "w2"]
-    first = w.groupBy(*keys).agg(F.min(F.struct("row", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = w.join(first, keys).where(F.struct("row", "start") != F.col("first"))
+    w = contexts.mapInArrow(_windows, "w binary, row bigint, start bigint")
+    first = w.groupBy("w").agg(F.min(F.struct("row", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = w.join(first, "w").where(F.struct("row", "start") != F.col("first"))
     return again.select("row", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
 
-# --- 3. removal --------------------------------------------------------------------------------------------------
+# --- 4. removal --------------------------------------------------------------------------------------------------
 
 def spans_of(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Maximal byte runs covered by windows that start in the given ranges, as rows of start and end."""
@@ -365,10 +372,10 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     spark = rows.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
     bits = max(6, min(20, (parts - 1).bit_length()))
-    dealt = rows.mapInArrow(lambda b: _dealt(b, bits), "bucket int, gram binary, ctx binary, row binary, off binary, done boolean")
+    dealt = rows.mapInArrow(lambda b: _dealt(b, bits), "bucket int, core binary, triple binary, row binary, off binary, done boolean")
     found = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        lambda b: _sorted_out(b, hot), "row bigint, off bigint, gram bigint, kind tinyint")
-    path = fresh_path(spark, "anchors")
+        lambda b: _named(b, hot), "row bigint, off bigint, gram bigint, kind tinyint")
+    path = fresh_path(spark, "samples")
     found.write.parquet(path)
     found = spark.read.parquet(path)
     whole = found.where(F.col("kind") == DONE).select("row", (F.col("off") - BEFORE).alias("lo"), F.col("off").alias("hi"))
@@ -377,7 +384,7 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
         at = found.where(F.col("kind") == kind).groupBy("row").agg(F.collect_list(F.struct("off", "gram")).alias("at"))
         return rows.join(at, F.col("_row") == F.col("row")).select("_row", "_t", "at").mapInArrow(_contexts, _CONTEXTS)
 
-    edges = contexts(EDGE).repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_suffix_sorted, _RUNS)
+    edges = contexts(EDGE).repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_merged, _RUNS)
     runs = whole.unionByName(edges)
     if not found.where(F.col("kind") == CROWDED).isEmpty():
         runs = runs.unionByName(_crowded_runs(contexts(CROWDED)))
@@ -393,7 +400,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     """
     src = with_rows(docs.select(F.col(key).cast("bigint").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_t")), "_key", "_t")
     names = src.select(F.col("_row").alias("row"), F.col("_key").alias(key))
-    src = src.select("_row", "_t")
+    src = src.select(F.coalesce("_row", F.lit(0)).alias("_row"), "_t")  # never null, so that both joins read one shuffle
     runs = repeated_runs(src, hot).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     out = src.join(runs, F.col("_row") == F.col("row"), "left").select("_row", "_t", "runs").mapInArrow(
         _removed, "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
