@@ -21,6 +21,7 @@ A core with very many different triples does not go to one task: its windows are
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
@@ -367,16 +368,21 @@ def _removed(batches):
                                          names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _write_named(rows: DataFrame, parts: int, bits: int, hot: int, path: str) -> None:
+    dealt = rows.mapInArrow(lambda b: _dealt(b, bits), "bucket int, core binary, triple binary, row binary, off binary, done boolean")
+    dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda b: _named(b, hot), "row bigint, off bigint, gram bigint, kind tinyint").write.parquet(path)
+
+
 def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """``row, lo, hi``: ranges of starts of windows that also start earlier, from ``_row`` (unique, in order) and ``_t``."""
     spark = rows.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
-    bits = max(6, min(20, (parts - 1).bit_length()))
-    dealt = rows.mapInArrow(lambda b: _dealt(b, bits), "bucket int, core binary, triple binary, row binary, off binary, done boolean")
-    found = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        lambda b: _named(b, hot), "row bigint, off bigint, gram bigint, kind tinyint")
+    finer = 4 * parts  # samples take up to twice the room of their texts
     path = fresh_path(spark, "samples")
-    found.write.parquet(path)
+    _write_named(rows, finer, max(6, min(20, (finer - 1).bit_length())), hot, path)
+    gc.collect()
+    spark._jvm.System.gc()  # lets the shuffle files of the samples go
     found = spark.read.parquet(path)
     whole = found.where(F.col("kind") == DONE).select("row", (F.col("off") - BEFORE).alias("lo"), F.col("off").alias("hi"))
 
