@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -32,6 +33,14 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets the shuffle files go that no frame in use refers to; the last execution lets go of its plan in the second collection."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, f"{label}-{os.getpid()}-{uuid.uuid4().hex[:8]}")
 

@@ -21,14 +21,13 @@ A core with very many different triples does not go to one task: its windows are
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wavelattice.llm.common import fresh_path, in_runs, table, text_pieces, with_rows
+from wavelattice.llm.common import free_shuffles, fresh_path, in_runs, table, text_pieces, with_rows
 from wavelattice.llm.tokens import U64, mix
 
 WINDOW = 100
@@ -381,8 +380,7 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     finer = 4 * parts  # samples take up to twice the room of their texts
     path = fresh_path(spark, "samples")
     _write_named(rows, finer, max(6, min(20, (finer - 1).bit_length())), hot, path)
-    gc.collect()
-    spark._jvm.System.gc()  # lets the shuffle files of the samples go
+    free_shuffles(spark)
     found = spark.read.parquet(path)
     whole = found.where(F.col("kind") == DONE).select("row", (F.col("off") - BEFORE).alias("lo"), F.col("off").alias("hi"))
 
