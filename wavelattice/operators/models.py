@@ -509,10 +509,10 @@ def fit_stacked(base: Sequence[Fitted], train: DataFrame, key: str, label: str =
     if len(base) < 2:
         raise ValueError("stacking needs at least two base models")
     names = [b.name for b in base]
-    oof = None
-    for b in base:
-        part = cross_val_predict(b, train, key, label, folds)
-        oof = part if oof is None else oof.unionByName(part)
+    parts = concurrently(train.sparkSession, lambda b: cross_val_predict(b, train, key, label, folds), base, len(base))
+    oof = parts[0]
+    for part in parts[1:]:
+        oof = oof.unionByName(part)
     wide = oof.groupBy(key, "label").pivot("model", names).agg(F.first("prob"))
     n = train.count()
     ready = assemble(wide, names).select("features", F.col("label").cast("double").alias("label"))

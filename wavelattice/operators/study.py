@@ -11,7 +11,7 @@ from wavelattice.operators import clustering, metrics, models, splits
 from wavelattice.operators.augment import augment_waveforms
 from wavelattice.operators.cleaning import drop_degenerate, normalize_wave
 from wavelattice.operators.paths import measurement_features
-from wavelattice.session import cut_lineage
+from wavelattice.session import concurrently, cut_lineage
 
 KEYS = ["sample_id", "path_id", "env_id"]
 WAVE_MODEL = "waveform_nn"
@@ -40,10 +40,9 @@ def fit_feature_models(train: DataFrame, key: str = "row_id", columns: Sequence[
 
     ``sizes`` are keyword arguments of the fits by name (``forest={"trees": 20}``); the defaults are theirs.
     """
-    base = [models.fit_forest(train, columns, **sizes.get("forest", {})), models.fit_gbt(train, columns, **sizes.get("gbt", {})),
-            models.fit_boost(train, columns, **sizes.get("boost", {}))]
-    out = [models.fit_logistic(train, columns, **sizes.get("logistic", {})), *base]
-    return out + [models.fit_stacked(base, train, key)] if stacked else out
+    fits = {"logistic": models.fit_logistic, "forest": models.fit_forest, "gbt": models.fit_gbt, "boost": models.fit_boost}
+    out = concurrently(train.sparkSession, lambda f: fits[f](train, columns, **sizes.get(f, {})), list(fits), len(fits))
+    return out + [models.fit_stacked(out[1:], train, key)] if stacked else out
 
 
 def held_out_predictions(features: DataFrame, waves: DataFrame, fitted: Sequence[models.Fitted], wave_model: models.Fitted) -> DataFrame:
