@@ -257,8 +257,13 @@ _at_first_path("energy_ratio", lambda w, i, a: W.energy_ratio(w, i), f"""SELECT
 _at_first_path("tail_energy_ratio", lambda w, i, a: W.tail_energy_ratio(w, i), f"""SELECT w.sample_id,
   {rnd('sum(CASE WHEN w.i >= p.idx THEN w.x * w.x ELSE 0 END) / sum(w.x * w.x)')} AS v
   FROM wave w JOIN path1 p ON p.sample_id = w.sample_id GROUP BY w.sample_id""")
-_at_first_path("zoom_window", lambda w, i, a: F.size(W.zoom_window(w, i, 20, 30)).cast("double"), f"""SELECT p.sample_id,
-  {rnd('count(*)')} AS v FROM path1 p JOIN wave w ON w.sample_id = p.sample_id
+def _weighted(part):
+    """The values of a stretch, each one more than it is, weighted by their places: its size and its values change it."""
+    return F.aggregate(F.zip_with(part, F.sequence(F.lit(1), F.size(part)), lambda x, i: (x + 1.0) * i), F.lit(0.0), lambda a, x: a + x)
+
+
+_at_first_path("zoom_window", lambda w, i, a: _weighted(W.zoom_window(w, i, 20, 30)), f"""SELECT p.sample_id,
+  {rnd('sum((w.x + 1.0::DOUBLE) * (w.i - greatest(p.idx - 20, 0) + 1))')} AS v FROM path1 p JOIN wave w ON w.sample_id = p.sample_id
   AND w.i BETWEEN p.idx - 20 AND p.idx + 30 GROUP BY p.sample_id""")
 
 
