@@ -24,6 +24,55 @@ def tiny_blocks(monkeypatch):
     monkeypatch.setattr(neighbors, "CELL_TARGET", 12)
 
 
+def blocks():
+    """Pairs of blocks: spread, far from the origin, on a lattice with many equal distances, of mixed scales, without spread, not finite."""
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(700, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    scales = 10.0 ** rng.integers(-30, 9, (700, 1))
+    odd = v[:60].copy()
+    odd[3, 2], odd[5, 1] = np.nan, np.inf
+    return {"spread": (v[:600], v[500:]), "far": (v[:300] + 1e6, v[300:] + 1e6), "lattice": (np.round(v[:300, :3] * 8) / 4 + 1e3, np.round(v[:, :3] * 8) / 4 + 1e3),
+            "mixed": (v[:300] * scales[:300], v * scales), "equal": (np.zeros((5, 3)), np.zeros((4, 3))), "odd": (odd, v[:50])}
+
+
+@pytest.mark.parametrize("name", list(blocks()))
+@pytest.mark.filterwarnings("ignore::RuntimeWarning")
+def test_products_lose_no_pair(name):
+    a, b = blocks()[name]
+    d = neighbors.squared_distances(a, b)
+    some = np.sort(d[np.isfinite(d)])
+    for limit in (some[len(some) // 3], some[7], np.nextafter(some[7], -1)):
+        near = np.concatenate([x for _, x in neighbors.within(a, b, float(limit))])
+        assert (near == (d <= limit)).all()
+    for limit in (np.inf, some[len(some) // 50]):
+        row, col, found = neighbors.nearest_pairs(a, b, 3, np.full(len(a), float(limit)))
+        assert (found == d[row, col]).all() and len(set(zip(row, col))) == len(row)
+        kth = np.sort(d, axis=1)[:, 2]
+        want = set(zip(*np.nonzero((d <= kth[:, None]) & (d <= limit))))
+        assert want <= set(zip(row, col))
+    if name != "odd":
+        got = np.concatenate([x for _, x in neighbors.distances(a, b)])
+        assert np.abs(got - np.sqrt(d)).max() <= 1e-10 * np.sqrt(d).max()
+
+
+def test_large_blocks_are_not_measured_pair_by_pair(monkeypatch):
+    a, b = blocks()["spread"]
+    monkeypatch.setattr(neighbors, "squared_distances", None)
+    measured = []
+    plain = neighbors.pair_distances
+    monkeypatch.setattr(neighbors, "pair_distances", lambda a, b, row, col: measured.append(len(row)) or plain(a, b, row, col))
+    for _ in neighbors.within(a, b, 1.4), neighbors.distances(a, b):
+        list(_)
+    neighbors.nearest_pairs(a, b, 3, np.full(len(a), np.inf))
+    assert sum(measured) < 0.05 * len(a) * len(b)
+
+
+def test_blocks_grow_with_the_comparison():
+    sides = [neighbors.block_side(n * n) for n in (10, 140, 2000, 10 ** 6)]
+    assert sides[:2] == [neighbors.CHUNK] * 2 and sides[2] == sides[3] == neighbors.WIDEST * neighbors.CHUNK
+
+
 def distances(p):
     return np.sqrt(((p[:, None] - p[None]) ** 2).sum(axis=2))
 
