@@ -280,3 +280,38 @@ def test_queries_fit_whole_grids_and_sizes(spark, data, monkeypatch):
     monkeypatch.setattr(model_queries.V, "clean", lambda spark, sf: rows.select(
         "sample_id", F.col("label").alias("NLOS"), F.array(F.lit(1.0), F.lit(2.0)).alias("cir"), *[F.col("path_id").cast("double").alias(c) for c in model_queries.S.SCALARS]))
     assert wanted("clf_waveform_nn") == ("perceptron", [32 + len(model_queries.S.SCALARS), 32, 16, 2], 100)
+
+
+def test_trees_of_a_forest_grow_side_by_side(data, monkeypatch):
+    train, test = data
+    est, fits = models.forest(10, 5), []
+    plain = type(est).fit
+    monkeypatch.setattr(type(est), "fit", lambda self, df: fits.append((self.getNumTrees(), self.getSeed())) or plain(self, df))
+    monkeypatch.setattr(models, "FIT_TREES", 4)
+    fit = models.fit_forest(train, X, trees=10, depth=5)
+    assert sorted(n for n, _ in fits) == [2, 4, 4] and len({seed for _, seed in fits}) == 3
+    assert len(fit.model.trees) == fit.model.getNumTrees == 10 and fit.model.totalNumNodes == sum(t.numNodes for t in fit.model.trees)
+    assert accuracy(fit, test)["auc"] > 0.85
+    row = test.limit(1)
+    votes = [t.transform(models.assemble(row, X)).first()["probability"][1] for t in fit.model.trees]
+    assert fit.score(row).first()["prob"] == pytest.approx(np.mean(votes))
+
+
+def test_permuted_rows_are_scored_once(data):
+    train, test = data
+    fit = models.fit_forest(train, X, trees=3, depth=3)
+    plain, parts = fit.score, []
+    fit.score = lambda df: parts.append(df.rdd.getNumPartitions()) or plain(df)
+    out = explain.permutation_importance(fit, test, "id")
+    assert parts == [int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))]
+    assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString() and out.count() == 3
+
+
+def test_shapley_values_come_from_bundles_of_trees_and_chunks_of_rows(data, monkeypatch):
+    train, test = data
+    fit = models.fit_forest(train, X, trees=5, depth=4)
+    whole = {r["id"]: list(r["shap"]) for r in explain.tree_shap(test, fit).collect()}
+    monkeypatch.setattr(explain, "TREES_PER_TASK", 2)
+    monkeypatch.setattr(explain, "ROWS_PER_TASK", 20)
+    parts = {r["id"]: list(r["shap"]) for r in explain.tree_shap(test, fit).collect()}
+    assert set(parts) == set(whole) and all(parts[i] == pytest.approx(whole[i]) for i in whole)
