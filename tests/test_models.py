@@ -315,3 +315,14 @@ def test_shapley_values_come_from_bundles_of_trees_and_chunks_of_rows(data, monk
     monkeypatch.setattr(explain, "ROWS_PER_TASK", 20)
     parts = {r["id"]: list(r["shap"]) for r in explain.tree_shap(test, fit).collect()}
     assert set(parts) == set(whole) and all(parts[i] == pytest.approx(whole[i]) for i in whole)
+
+
+def test_fits_have_few_tasks_and_trees_stay_with_the_rows(spark, data):
+    assert [models.fit_tasks(n) for n in (0, 9_999, 10_000, 119_999, 900_000, 2_400_000, 30_000_000)] == [1, 1, 2, 12, 12, 13, 151]
+    rows = spark.range(130_000, numPartitions=30)  # 14 tasks at 10,000 rows each
+    assert models.dealt(rows).rdd.getNumPartitions() == 12
+    assert models.forest().getCacheNodeIds()
+    train, test = data
+    fit = models.fit_forest(train, X, trees=5, depth=12)
+    plain = models._vector_fit("plain", models.forest(5, 12).setCacheNodeIds(False), train, X, "label", "balanced_weight")
+    assert fit.model.toDebugString.split("\n")[1:] == plain.model.toDebugString.split("\n")[1:]
