@@ -238,3 +238,46 @@ def test_sql_links_long_tokens_too(spark):
     found = secrets.secret_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
     got = {r["doc_id"]: r["s"] for r in found.select("doc_id", secrets.joined(found["spans"]).alias("s")).collect()}
     assert got == want and "secret" in got[1] and got[2] == got[3] == ""
+
+
+def test_buckets_are_counted_one_at_a_time(monkeypatch):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(ngram_join, "FLUSH", 190_000)
+    rng = random.Random(3)
+    texts = [" ".join(prose(rng, 400, 60000)) for _ in range(500)]
+    docs = pa.record_batch({"_id": pa.array(range(1000)), "_t": pa.array(texts * 2)})  # every n-gram is in two texts
+    blocks = pa.Table.from_batches(ngram_join._blocks(iter([docs.slice(0, 500), docs.slice(500)]), 6)).sort_by("bucket")
+
+    def run(buckets):
+        some = blocks.filter(pa.array(np.isin(blocks["bucket"].to_numpy(), buckets))).combine_chunks().to_batches()
+        tracemalloc.start()
+        out = list(ngram_join._shared(iter(some)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak, pa.Table.from_batches(out)
+
+    one, _ = run([5])
+    all_of_them, shared = run(range(64))
+    assert all_of_them < 8 * one
+    per = list(ngram_join._counted(iter(shared.sort_by("flush").to_batches())))
+    got = {r["doc_id"]: r for b in per for r in b.to_pylist()}
+    assert len(got) == 1000 and all(r["shared"] == r["n"] == 396 for r in got.values())
+
+
+def test_short_batches_are_for_the_block_only(spark):
+    from wavelattice.llm.common import arrow_rows
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = "n long"
+    count = lambda batches: (b.from_pydict({"n": [b.num_rows]}) for b in batches)
+    with arrow_rows(spark, 256):
+        assert max(r["n"] for r in spark.range(3000, numPartitions=1).mapInArrow(count, sizes).collect()) == 256
+    assert spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), arrow_rows(spark, 256):
+        1 / 0
+    assert spark.conf.get(key) == before
