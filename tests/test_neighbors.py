@@ -337,3 +337,17 @@ def test_smote_points_lie_between_neighbours(spark, points):
         assert [r["a"], r["b"], r["c"]] == pytest.approx(list(a + r["lam"] * (b - a)))
     assert {tuple(r) for r in made} == {tuple(r) for r in augment.smote(rows.repartition(3), "id", ["a", "b", "c"], "y", 0.8, 3).collect()}
     assert augment.smote(rows, "id", ["a", "b", "c"], "y", 0.1, 3).count() == 0
+
+
+def test_assignments_to_several_sets_of_centres(spark):
+    rng = np.random.default_rng(4)
+    p = rng.integers(-3, 4, (500, 24)) / 2 + rng.normal(size=(500, 24)) * (np.arange(500) % 2)[:, None]
+    cols = [f"x{i}" for i in range(24)]
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(p)], ["id", *cols])
+    sets = {f"k{k}": rng.integers(-2, 3, (k, 24)) / 2 for k in range(2, 11)}
+    out = clustering.kmeans_assign_all(df, cols, sets)
+    for name, centres in sets.items():
+        want = clustering.kmeans_assign(df, cols, centres).select("id", "cluster", "dist2")
+        assert sorted(map(tuple, out.select("id", name, f"cost{name}").collect())) == sorted(map(tuple, want.collect()))
+    plan = out.agg(*[F.sum(f"cost{k}") for k in sets])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" - ") < 100  # not a term per column and centre
