@@ -78,3 +78,20 @@ def test_a_boosted_search_takes_few_jobs_and_finds_the_best(spark, rows):
 def test_rows_without_labels_are_refused(spark, rows):
     with pytest.raises(ValueError):
         boosting.grow(rows.select("features", F.lit(None).cast("double").alias("label"), "fold"), [boosting.Setting(2, 2, 0.1, 1.0, None)], False, 7)
+
+
+def test_refits_of_a_boosted_classifier_take_few_jobs(spark, rows):
+    from pyspark.ml.functions import vector_to_array
+    plain = rows.select(F.monotonically_increasing_id().alias("id"), F.col("k").cast("int").alias("label"),
+                        *[vector_to_array("features")[i].alias(c) for i, c in enumerate(X)])
+    plain = models.dealt(plain)
+    for fit in (models.fit_gbt, models.fit_boost):
+        fitted = fit(plain, X, iters=12, depth=3)
+        sc = spark.sparkContext
+        sc.setJobGroup("boosted-refit", "")
+        again = fitted.refit(plain)
+        sc.setJobGroup("", "")
+        assert len(sc.statusTracker().getJobIdsForGroup("boosted-refit")) < 30  # a fit by Spark takes several a tree
+        own, new = (np.array([r["prob"] for r in f.predict(plain, ["id"]).orderBy("id").collect()]) for f in (fitted, again))
+        assert again.name == fitted.name and again.model.getNumTrees() == 12
+        assert np.mean(np.abs(own - new)) < (0.005 if fit is models.fit_gbt else 0.1)
