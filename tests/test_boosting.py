@@ -95,3 +95,20 @@ def test_refits_of_a_boosted_classifier_take_few_jobs(spark, rows):
         own, new = (np.array([r["prob"] for r in f.predict(plain, ["id"]).orderBy("id").collect()]) for f in (fitted, again))
         assert again.name == fitted.name and again.model.getNumTrees() == 12
         assert np.mean(np.abs(own - new)) < (0.005 if fit is models.fit_gbt else 0.1)
+
+
+def test_searches_and_refits_of_dealt_rows_take_few_jobs(spark, rows, monkeypatch):
+    from pyspark.ml.functions import vector_to_array
+    monkeypatch.setattr(models, "FIT_ROWS", 50)  # so that 300 rows are dealt to several tasks
+    plain = models.dealt(rows.select(F.monotonically_increasing_id().alias("id"), F.col("k").cast("int").alias("label"),
+                                     *[vector_to_array("features")[i].alias(c) for i, c in enumerate(X)]).repartition(7))
+    fitted = models.fit_gbt(plain, X, iters=12, depth=3)
+    sc, counts = spark.sparkContext, []
+    spread = models.dealt(rows.select("features", "label", "fold").repartition(7))
+    assert spread.rdd.getNumPartitions() > 1
+    for run in (lambda: fitted.refit(plain), lambda: models.grid_search(GBTRegressor(seed=7), {"maxIter": [20], "maxDepth": [2, 4]}, spread, RegressionEvaluator(), 3)):
+        sc.setJobGroup(f"dealt-{len(counts)}", "")
+        run()
+        sc.setJobGroup("", "")
+        counts.append(len(sc.statusTracker().getJobIdsForGroup(f"dealt-{len(counts)}")))
+    assert max(counts) < 50  # several jobs a round before
