@@ -112,3 +112,12 @@ def test_searches_and_refits_of_dealt_rows_take_few_jobs(spark, rows, monkeypatc
         sc.setJobGroup("", "")
         counts.append(len(sc.statusTracker().getJobIdsForGroup(f"dealt-{len(counts)}")))
     assert max(counts) < 50  # several jobs a round before
+
+
+def test_trees_of_a_joint_growth_stay_off_the_driver(rows):
+    ready = rows.select("features", "label", "fold")
+    settings = [boosting.Setting(5, 3, 0.1, 1.0, 0), boosting.Setting(9, 2, 0.3, 1.0, None)]
+    for s, model in zip(settings, boosting.grow(ready.coalesce(1), settings, False, 7)):
+        assert isinstance(model.trees, boosting.Written) and model.getNumTrees() == s.rounds
+        assert model.totalNumNodes == sum(len(t[3]) for t in model.trees)
+        assert model.first(2).totalNumNodes == sum(len(t[3]) for t in list(model.trees)[:2])
