@@ -159,3 +159,10 @@ def test_odd_labels_and_more_classes(spark, rows):
         forests.written(ready(rows).filter("label > 5"), True)
     three = ready(rows).withColumn("label", F.col("label") + (F.col("fold") == 0).cast("double"))
     assert not forests.fits(forests.written(three, True))  # Spark's fit takes these
+
+
+def test_kernel_features_are_not_kept_twice(rows, monkeypatch):
+    seen, plain = [], models.LinearSVC.fit
+    monkeypatch.setattr(models.LinearSVC, "fit", lambda self, df: seen.append((df.storageLevel.useMemory, df.storageLevel.useDisk)) or plain(self, df))
+    models.fit_svm_rbf(rows, ["a", "b", "c"], size=32, max_iter=5)
+    assert seen == [(False, False)]  # the fit keeps its own blocks of the lifted rows
